@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions.timefn import add_seconds, interval_seconds, time_floor
-from .scans import carry_last_before
+from ..functions.timefn import interval_seconds, time_floor
+from .scans import carry_last_before, time_spine
 
 
 def zone_demand(rides: DataFrame, interval: str | int = P.INTERVAL_SECONDS,
@@ -60,29 +60,12 @@ def zone_extent(demand: DataFrame) -> DataFrame:
     )
 
 
-def grid_spine(extent: DataFrame, interval: str | int = P.INTERVAL_SECONDS,
-               chunk: int = 2048, parts: int | None = None) -> DataFrame:
-    """Every bin from grid_start to grid_end for every zone in ``extent``.
-
-    Two-level ``explode(sequence)``: chunk descriptors first, spread over
-    ``parts`` tasks, then the bins of each chunk.
-    """
-    step = interval_seconds(interval)
-    # NTZ - NTZ is a zone-free day-time interval; as BIGINT it is seconds
-    span = (F.col("grid_end") - F.col("grid_start")).cast("long")
-    n = F.floor(span / step) + 1
-    chunks = extent.select("zone_id", "zone_rank", "grid_start", n.alias("_n"),
-                           F.explode(F.sequence(F.lit(0).cast("long"),
-                                                F.floor((n - 1) / chunk))).alias("_c"))
-    if parts is None:
-        parts = int(extent.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = chunks.repartition(parts, "zone_id", "_c")
-    lo = F.col("_c") * chunk
-    hi = F.least(lo + (chunk - 1), F.col("_n") - 1)
-    idx = chunks.select("zone_id", "zone_rank", "grid_start",
-                        F.explode(F.sequence(lo, hi)).alias("_i"))
-    return idx.select(add_seconds(F.col("grid_start"), F.col("_i") * step).alias("time_bin"),
-                      "zone_id", "zone_rank")
+def grid_spine(extent: DataFrame, interval: str | int = P.INTERVAL_SECONDS) -> DataFrame:
+    """Every bin from grid_start to grid_end for every zone in ``extent``
+    (chunked generation, see ``scans.time_spine``)."""
+    spine = time_spine(extent, "grid_start", "grid_end", interval_seconds(interval),
+                       keys=("zone_id", "zone_rank"), out_col="time_bin")
+    return spine.select("time_bin", "zone_id", "zone_rank")
 
 
 def demand_grid(demand: DataFrame, interval: str | int = P.INTERVAL_SECONDS) -> DataFrame:

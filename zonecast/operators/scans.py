@@ -60,3 +60,25 @@ def carry_last_before(df: DataFrame, time_col: str, value_col: str, out_col: str
     return (d.join(blocks, "__blk")
             .withColumn(out_col, F.coalesce(F.col("__in"), F.col("__carry")))
             .drop("__blk", "__in", "__carry"))
+
+
+def time_spine(bounds: DataFrame, start_col: str, end_col: str, step_seconds: int,
+               keys: Sequence[str] = (), out_col: str = "ts", chunk: int = 2048,
+               parts: int | None = None) -> DataFrame:
+    """Every ``step_seconds`` mark from start to end (inclusive) per row of
+    ``bounds`` (one row per key). Two-level ``explode(sequence)``: chunk
+    descriptors are spread over ``parts`` tasks before the marks are made,
+    so no task generates a whole history."""
+    from ..functions.timefn import add_seconds
+    span = (F.col(end_col) - F.col(start_col)).cast("long")   # zone-free seconds
+    n = F.floor(span / step_seconds) + 1
+    chunks = bounds.select(*keys, F.col(start_col).alias("__start"), n.alias("__n"),
+                           F.explode(F.sequence(F.lit(0).cast("long"),
+                                                F.floor((n - 1) / chunk))).alias("__c"))
+    if parts is None:
+        parts = int(bounds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks.repartition(parts, *keys, "__c")
+    lo = F.col("__c") * chunk
+    hi = F.least(lo + (chunk - 1), F.col("__n") - 1)
+    idx = chunks.select(*keys, "__start", F.explode(F.sequence(lo, hi)).alias("__i"))
+    return idx.select(*keys, add_seconds(F.col("__start"), F.col("__i") * step_seconds).alias(out_col))

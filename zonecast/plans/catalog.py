@@ -19,8 +19,14 @@ from ..functions.timefn import time_floor
 from ..operators.demand import demand_grid, supply_fill, zone_demand
 from ..operators.fleet import (action_mix, add_revenue, allocate, fleet_kpis, revenue_share,
                                top_by_demand)
+from ..operators.features import FEATURE_ORDER
+from ..operators.profiles import (corr_matrix, cumulative_demand, dataset_kpis, describe,
+                                  dow_profile, head_rows, histogram, hour_day, hour_day_pivot,
+                                  hourly_profile, pickup_density, sample_rides, zone_hourly,
+                                  zone_markers, zone_profile)
+from ..operators.rates import cancel_by_regime, expected_rate
 from ..operators.split import first_test_bin
-from ..operators.zones import assign_zone, attach_centroids
+from ..operators.zones import assign_zone, attach_centroids, grid_cell_table, point_to_cell
 from . import context as C
 
 # Trip quote distance scale (ours): km per degree, and a mean speed.
@@ -200,3 +206,129 @@ def q_trip_price(spark, sf_dir):
     q = q.join(f, ["time_bin", "zone_id"])
     return q.select("ride_id", "time_bin", "zone_id", r6("distance_km"), r6("duration_min"), "surge",
                     trip_price(F.col("distance_km"), F.col("duration_min"), F.col("surge")).alias("price"))
+
+
+# ---------------------------------------------------------------- M4 summaries
+
+def _ft(spark, sf_dir):
+    return C.features_table(spark, sf_dir)
+
+
+@register("hourly_profile")
+def q_hourly_profile(spark, sf_dir):
+    return hourly_profile(_ft(spark, sf_dir)).select("hour", r6("avg_demand"), "is_peak")
+
+
+@register("dow_profile")
+def q_dow_profile(spark, sf_dir):
+    return dow_profile(_ft(spark, sf_dir)).select("day_of_week", "day_name", r6("avg_demand"))
+
+
+@register("hour_day")
+def q_hour_day(spark, sf_dir):
+    return hour_day(_ft(spark, sf_dir)).select("day_of_week", "hour", r6("avg_demand"))
+
+
+@register("hour_day_pivot")
+def q_hour_day_pivot(spark, sf_dir):
+    return hour_day_pivot(_ft(spark, sf_dir))
+
+
+@register("zone_profile")
+def q_zone_profile(spark, sf_dir):
+    return zone_profile(_ft(spark, sf_dir)).select("zone_id", r6("avg_demand"), "demand_rank", "zone_order")
+
+
+@register("zone_hourly")
+def q_zone_hourly(spark, sf_dir):
+    return zone_hourly(_ft(spark, sf_dir))
+
+
+@register("cumulative_demand")
+def q_cumulative_demand(spark, sf_dir):
+    return cumulative_demand(_ft(spark, sf_dir))
+
+
+@register("dataset_kpis")
+def q_dataset_kpis(spark, sf_dir):
+    f = _ft(spark, sf_dir).select(*FEATURE_ORDER)
+    return dataset_kpis(f, C.rides(spark, sf_dir))
+
+
+DESCRIBE_COLUMNS = tuple(c for c in FEATURE_ORDER if c not in ("time_bin", "zone_id")) + ("zone_num",)
+
+
+@register("describe")
+def q_describe(spark, sf_dir):
+    f = _ft(spark, sf_dir).withColumn("zone_num", F.col("zone_id").cast("int"))
+    d = describe(f, DESCRIBE_COLUMNS)
+    return d.select("column_name", "count", *[r6(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+
+
+def _hist_out(h):
+    return h.select("bin", r6("bin_start"), r6("bin_end"), "count")
+
+
+@register("demand_hist")
+def q_demand_hist(spark, sf_dir):
+    return _hist_out(histogram(_ft(spark, sf_dir), "demand", 60))
+
+
+@register("lat_hist")
+def q_lat_hist(spark, sf_dir):
+    r = C.rides(spark, sf_dir)
+    lat = _hist_out(histogram(r, "pickup_lat", 60)).withColumn("axis", F.lit("pickup_lat"))
+    lon = _hist_out(histogram(r, "pickup_long", 60)).withColumn("axis", F.lit("pickup_long"))
+    return lat.unionByName(lon)
+
+
+@register("corr_matrix")
+def q_corr_matrix(spark, sf_dir):
+    return corr_matrix(_ft(spark, sf_dir)).select("x", "y", r6("corr"))
+
+
+@register("head_rows")
+def q_head_rows(spark, sf_dir):
+    h = head_rows(_ft(spark, sf_dir), ["zone_id", "time_bin"], 200)
+    return h.select(*FEATURE_OUT, r6("hour_sin"), r6("hour_cos"), r6("day_sin"), r6("day_cos"),
+                    "lag_1", "lag_4", "lag_96", "rolling_mean_4",
+                    "target_15m", "target_30m", "target_60m", "gap", "zone_lat", "zone_lon")
+
+
+@register("ride_sample")
+def q_ride_sample(spark, sf_dir):
+    return sample_rides(C.rides(spark, sf_dir), 1000).select("ride_id", "sample_key", "pickup_lat", "pickup_long")
+
+
+# ---------------------------------------------------------------- M5 spatial, rates
+
+@register("pickup_density")
+def q_pickup_density(spark, sf_dir):
+    return pickup_density(C.rides(spark, sf_dir))
+
+
+@register("zone_markers")
+def q_zone_markers(spark, sf_dir):
+    a = attach_centroids(_sim_bin_alloc(spark, sf_dir), C.zones(spark))
+    return zone_markers(a, "predicted_demand")
+
+
+@register("grid_cells")
+def q_grid_cells(spark, sf_dir):
+    counts = point_to_cell(C.rides(spark, sf_dir)).groupBy("cell_i", "cell_j") \
+        .agg(F.count(F.lit(1)).alias("rides"))
+    cells = grid_cell_table(spark)
+    return cells.join(counts, ["cell_i", "cell_j"], "left") \
+        .withColumn("rides", F.coalesce(F.col("rides"), F.lit(0)))
+
+
+@register("expected_rate")
+def q_expected_rate(spark, sf_dir):
+    e = expected_rate(C.rides(spark, sf_dir))
+    return e.select("day_of_week", "hour", "windows", r6("expected_rides"), "observed_rides", r6("ratio"))
+
+
+@register("cancel_by_regime")
+def q_cancel_by_regime(spark, sf_dir):
+    c = cancel_by_regime(C.rides(spark, sf_dir))
+    return c.select("regime", "windows", "rides", "cancelled", r6("cancel_rate"), "model_cancel_p")

@@ -221,3 +221,169 @@ SELECT q.ride_id, q.time_bin, q.zone_id, round(distance_km, 6) + 0.0 AS distance
   round(distance_km * CAST(2.0 AS DOUBLE), 6) + 0.0 AS duration_min, s.surge,
   round((CAST(5.0 AS DOUBLE) + distance_km * CAST(1.5 AS DOUBLE) + (distance_km * CAST(2.0 AS DOUBLE)) * CAST(0.25 AS DOUBLE)) * s.surge, 2) AS price
 FROM q JOIN s USING (time_bin, zone_id)"""
+
+
+# ---------------------------------------------------------------- M4 summaries
+
+def r6(expr: str, name: str) -> str:
+    return f"round({expr}, 6) + 0.0 AS {name}"
+
+
+SQL["hourly_profile"] = over_features(""", h AS (SELECT hour, avg(demand) AS avg_demand FROM feat GROUP BY hour)
+SELECT hour, round(avg_demand, 6) + 0.0 AS avg_demand,
+  CAST(CASE WHEN row_number() OVER (ORDER BY avg_demand DESC, hour) = 1 THEN 1 ELSE 0 END AS INT) AS is_peak
+FROM h""")
+
+DAY_LIST = "[" + ", ".join(f"'{d}'" for d in P.DAY_NAMES) + "]"
+
+SQL["dow_profile"] = over_features(f""", m AS (SELECT day_of_week, avg(demand) AS avg_demand FROM feat GROUP BY 1),
+d AS (SELECT CAST(range AS INT) AS day_of_week FROM range(7))
+SELECT d.day_of_week, {DAY_LIST}[d.day_of_week + 1] AS day_name, round(m.avg_demand, 6) + 0.0 AS avg_demand
+FROM d LEFT JOIN m USING (day_of_week)""")
+
+SQL["hour_day"] = over_features("""SELECT day_of_week, hour, round(avg(demand), 6) + 0.0 AS avg_demand
+FROM feat GROUP BY day_of_week, hour""")
+
+SQL["hour_day_pivot"] = over_features(
+    "SELECT day_of_week, " + ", ".join(
+        f"round(coalesce(avg(CASE WHEN hour = {h} THEN demand END), CAST(0.0 AS DOUBLE)), 6) + 0.0 AS h{h:02d}"
+        for h in range(24)) + " FROM feat GROUP BY day_of_week")
+
+SQL["zone_profile"] = over_features(""", z AS (SELECT zone_id, avg(demand) AS avg_demand FROM feat GROUP BY zone_id)
+SELECT zone_id, round(avg_demand, 6) + 0.0 AS avg_demand,
+  CAST(row_number() OVER (ORDER BY avg_demand DESC, zone_id) AS INT) AS demand_rank,
+  CAST(row_number() OVER (ORDER BY CAST(zone_id AS INT)) AS INT) AS zone_order
+FROM z""")
+
+SQL["zone_hourly"] = over_features(""", picked AS (
+  SELECT zone_id FROM (SELECT DISTINCT zone_id FROM feat) ORDER BY CAST(zone_id AS INT) LIMIT 3),
+hourly AS (SELECT zone_id, time_bucket(INTERVAL 1 HOUR, time_bin) AS hour_ts, sum(demand) AS demand
+  FROM feat WHERE zone_id IN (SELECT zone_id FROM picked) GROUP BY ALL),
+b AS (SELECT zone_id, min(hour_ts) AS lo, max(hour_ts) AS hi FROM hourly GROUP BY zone_id),
+sp AS (SELECT zone_id, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS hour_ts FROM b)
+SELECT sp.zone_id, sp.hour_ts, CAST(coalesce(h.demand, 0) AS BIGINT) AS demand
+FROM sp LEFT JOIN hourly h USING (zone_id, hour_ts)""")
+
+SQL["cumulative_demand"] = over_features(""", pb AS (SELECT time_bin, sum(demand) AS demand FROM feat GROUP BY time_bin)
+SELECT time_bin, CAST(demand AS BIGINT) AS demand,
+  CAST(sum(demand) OVER (ORDER BY time_bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative
+FROM pb""")
+
+SQL["dataset_kpis"] = over_features("""SELECT count(*) AS "rows", CAST(24 AS INT) AS columns,
+  count(DISTINCT zone_id) AS zones,
+  CAST(floor(epoch(max(time_bin) - min(time_bin)) / 86400) AS BIGINT) AS days,
+  (SELECT count(*) FROM rides) AS raw_rides
+FROM feat""")
+
+_DESCRIBE = ("demand", "active_drivers", "is_cancelled", "hour", "minute", "day_of_week", "is_weekend",
+             "month", "hour_sin", "hour_cos", "day_sin", "day_cos", "lag_1", "lag_4", "lag_96",
+             "rolling_mean_4", "target_15m", "target_30m", "target_60m", "gap", "zone_lat", "zone_lon",
+             "zone_num")
+
+
+def _describe_one(c: str) -> str:
+    x = f"CAST({c} AS DOUBLE)"
+    return (f"SELECT '{c}' AS column_name, count({x}) AS count, {r6(f'avg({x})', 'mean')}, "
+            f"{r6(f'stddev_samp({x})', 'std')}, {r6(f'min({x})', 'min')}, "
+            f"{r6(f'quantile_cont({x}, 0.25)', 'p25')}, {r6(f'quantile_cont({x}, 0.5)', 'p50')}, "
+            f"{r6(f'quantile_cont({x}, 0.75)', 'p75')}, {r6(f'max({x})', 'max')} FROM f2")
+
+
+SQL["describe"] = over_features(", f2 AS (SELECT *, CAST(zone_id AS INT) AS zone_num FROM feat)\n"
+                                + "\nUNION ALL\n".join(_describe_one(c) for c in _DESCRIBE))
+
+
+def hist_sql(table: str, col: str, bins: int = 60, axis: str | None = None) -> str:
+    x = f"CAST({col} AS DOUBLE)"
+    ax = f", '{axis}' AS axis" if axis else ""
+    return f"""(WITH st AS (SELECT min({x}) AS lo, max({x}) AS hi FROM {table}),
+w AS (SELECT lo, hi, (hi - lo) / CAST({bins}.0 AS DOUBLE) AS width FROM st),
+c AS (SELECT CAST(CASE WHEN w.width > 0 THEN least(floor(({x} - w.lo) / w.width), {bins - 1}) ELSE 0 END AS INT) AS bin,
+             count(*) AS cnt FROM {table}, w WHERE {col} IS NOT NULL GROUP BY 1)
+SELECT CAST(b.range AS INT) AS bin, round(w.lo + b.range * w.width, 6) + 0.0 AS bin_start,
+  round(w.lo + (b.range + 1) * w.width, 6) + 0.0 AS bin_end, coalesce(c.cnt, 0) AS count{ax}
+FROM range({bins}) b CROSS JOIN w LEFT JOIN c ON c.bin = b.range)"""
+
+
+SQL["demand_hist"] = over_features("SELECT * FROM " + hist_sql("feat", "demand"))
+SQL["lat_hist"] = with_ctes(RIDES) + "SELECT * FROM " + hist_sql("rides", "pickup_lat", axis="pickup_lat") \
+    + " UNION ALL SELECT * FROM " + hist_sql("rides", "pickup_long", axis="pickup_long")
+
+
+def _corr_sql() -> str:
+    cols = list(P.CORR_COLUMNS)
+    parts = []
+    for i, a in enumerate(cols):
+        for b in cols[i + 1:]:
+            v = f"round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) + 0.0"
+            parts.append(f"SELECT '{a}' AS x, '{b}' AS y, {v} AS corr FROM feat")
+            parts.append(f"SELECT '{b}' AS x, '{a}' AS y, {v} AS corr FROM feat")
+        parts.append(f"SELECT '{a}' AS x, '{a}' AS y, CAST(1.0 AS DOUBLE) AS corr")
+    return "\nUNION ALL\n".join(parts)
+
+
+SQL["corr_matrix"] = over_features(_corr_sql())
+
+SQL["head_rows"] = over_features(FEATURE_SELECT + " ORDER BY zone_id, time_bin LIMIT 200")
+
+SQL["ride_sample"] = with_ctes(RIDES) + """SELECT ride_id, ((ride_id + 42) % 1000003) * 999983 % 1000003 AS sample_key,
+  pickup_lat, pickup_long FROM rides ORDER BY sample_key, ride_id LIMIT 1000"""
+
+
+# ---------------------------------------------------------------- M5 spatial, rates
+
+SQL["pickup_density"] = with_ctes(RIDES) + """, c AS (
+  SELECT CAST(floor(pickup_lat / CAST(0.001 AS DOUBLE)) AS BIGINT) AS cell_lat,
+         CAST(floor(pickup_long / CAST(0.001 AS DOUBLE)) AS BIGINT) AS cell_lon, count(*) AS pickups
+  FROM rides GROUP BY 1, 2)
+SELECT cell_lat, cell_lon, (cell_lat + CAST(0.5 AS DOUBLE)) * CAST(0.001 AS DOUBLE) AS lat,
+  (cell_lon + CAST(0.5 AS DOUBLE)) * CAST(0.001 AS DOUBLE) AS lon, pickups FROM c"""
+
+_CENTER_LAT = repr((P.CITY_LAT_MIN + P.CITY_LAT_MAX) / 2)
+_CENTER_LON = repr((P.CITY_LON_MIN + P.CITY_LON_MAX) / 2)
+
+SQL["zone_markers"] = over_alloc(f"""SELECT rv.zone_id, z.zone_lat, z.zone_lon, rv.predicted_demand AS value,
+  CASE WHEN rv.predicted_demand > 0 THEN sqrt(rv.predicted_demand) * 2 ELSE CAST(5.0 AS DOUBLE) END AS radius,
+  'Zone: ' || rv.zone_id || '<br>Demand: ' || CAST(rv.predicted_demand AS VARCHAR) AS popup,
+  CAST({_CENTER_LAT} AS DOUBLE) AS center_lat, CAST({_CENTER_LON} AS DOUBLE) AS center_lon
+FROM rv JOIN zones z USING (zone_id) WHERE rv.time_bin = (SELECT time_bin FROM simbin)""", SIM_BIN)
+
+_NLAT = int((P.CITY_LAT_MAX - P.CITY_LAT_MIN) / P.GRID_SIZE_LAT)
+_NLON = int((P.CITY_LON_MAX - P.CITY_LON_MIN) / P.GRID_SIZE_LON)
+_D = "AS DOUBLE)"
+
+SQL["grid_cells"] = with_ctes(RIDES) + f""", cells AS (
+  SELECT CAST(trunc(range / {_NLON}) AS INT) AS cell_i, CAST(range % {_NLON} AS INT) AS cell_j FROM range({_NLAT * _NLON})),
+rc AS (SELECT CAST(trunc((pickup_lat - CAST({P.CITY_LAT_MIN!r} AS DOUBLE)) / CAST({P.GRID_SIZE_LAT!r} AS DOUBLE)) AS INT) AS cell_i,
+              CAST(trunc((pickup_long - CAST({P.CITY_LON_MIN!r} AS DOUBLE)) / CAST({P.GRID_SIZE_LON!r} AS DOUBLE)) AS INT) AS cell_j,
+              count(*) AS rides FROM rides GROUP BY 1, 2)
+SELECT CAST(cell_i AS VARCHAR) || '_' || CAST(cell_j AS VARCHAR) AS cell_id, cell_i, cell_j,
+  CAST({P.CITY_LAT_MIN!r} {_D} + cell_i * CAST({P.GRID_SIZE_LAT!r} {_D} AS lat_start,
+  CAST({P.CITY_LAT_MIN!r} {_D} + (cell_i + 1) * CAST({P.GRID_SIZE_LAT!r} {_D} AS lat_end,
+  CAST({P.CITY_LON_MIN!r} {_D} + cell_j * CAST({P.GRID_SIZE_LON!r} {_D} AS lon_start,
+  CAST({P.CITY_LON_MIN!r} {_D} + (cell_j + 1) * CAST({P.GRID_SIZE_LON!r} {_D} AS lon_end,
+  coalesce(rc.rides, 0) AS rides
+FROM cells LEFT JOIN rc USING (cell_i, cell_j)"""
+
+_HW = "[" + ", ".join(f"CAST({w!r} AS DOUBLE)" for w in P.HOUR_WEIGHTS) + "]"
+_DW = "[" + ", ".join(f"CAST({w!r} AS DOUBLE)" for w in P.DAY_WEIGHTS) + "]"
+
+SQL["expected_rate"] = with_ctes(RIDES) + f""", w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ride_ts) AS win FROM rides),
+obs AS (SELECT win, count(*) AS rides FROM w GROUP BY win),
+sp AS (SELECT unnest(generate_series((SELECT min(win) FROM w), (SELECT max(win) FROM w), INTERVAL 5 MINUTE)) AS win),
+pw AS (SELECT CAST(isodow(sp.win) - 1 AS INT) AS day_of_week, CAST(extract(hour FROM sp.win) AS INT) AS hour,
+  CAST(5.0 AS DOUBLE) * {_HW}[extract(hour FROM sp.win) + 1] * {_DW}[isodow(sp.win)] AS expected,
+  coalesce(o.rides, 0) AS rides
+  FROM sp LEFT JOIN obs o USING (win))
+SELECT day_of_week, hour, count(*) AS windows, round(sum(expected), 6) + 0.0 AS expected_rides,
+  CAST(sum(rides) AS BIGINT) AS observed_rides, round(sum(rides) / sum(expected), 6) + 0.0 AS ratio
+FROM pw GROUP BY day_of_week, hour"""
+
+SQL["cancel_by_regime"] = with_ctes(RIDES) + """, pw AS (
+  SELECT time_bucket(INTERVAL 5 MINUTE, ride_ts) AS win, count(*) AS rides, max(active_drivers) AS drivers,
+         sum(is_cancelled) AS cancelled FROM rides GROUP BY 1),
+r AS (SELECT CASE WHEN drivers < rides THEN 'shortage' ELSE 'normal' END AS regime, count(*) AS windows,
+             CAST(sum(rides) AS BIGINT) AS rides, CAST(sum(cancelled) AS BIGINT) AS cancelled FROM pw GROUP BY 1)
+SELECT regime, windows, rides, cancelled, round(cancelled / rides, 6) + 0.0 AS cancel_rate,
+  CASE WHEN regime = 'shortage' THEN CAST(0.2 AS DOUBLE) ELSE CAST(0.05 AS DOUBLE) END AS model_cancel_p
+FROM r"""
