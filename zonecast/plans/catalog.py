@@ -19,7 +19,15 @@ from ..functions.timefn import time_floor
 from ..operators.demand import demand_grid, supply_fill, zone_demand
 from ..operators.fleet import (action_mix, add_revenue, allocate, fleet_kpis, revenue_share,
                                top_by_demand)
+from ..functions.timefn import calendar_columns
 from ..operators.features import FEATURE_ORDER
+from ..operators.forecast import importance_table, metrics, model_card, train
+from ..operators.policy import batch_q, transitions
+from ..operators.scenario import (allocation_records, baseline_forecast, scenario_alloc,
+                                  scenario_grid, scenario_kpis)
+from ..operators.split import chronological_split
+from ..operators.zones import fit_kmeans, kmeans_zone_table
+from ..streaming.demand_stream import events_stream, run_to_table, zone_demand_stream
 from ..operators.profiles import (corr_matrix, cumulative_demand, dataset_kpis, describe,
                                   dow_profile, head_rows, histogram, hour_day, hour_day_pivot,
                                   hourly_profile, pickup_density, sample_rides, zone_hourly,
@@ -332,3 +340,157 @@ def q_expected_rate(spark, sf_dir):
 def q_cancel_by_regime(spark, sf_dir):
     c = cancel_by_regime(C.rides(spark, sf_dir))
     return c.select("regime", "windows", "rides", "cancelled", r6("cancel_rate"), "model_cancel_p")
+
+
+# ---------------------------------------------------------------- M6 scenarios
+
+def _baseline(spark, sf_dir):
+    return baseline_forecast(_ft(spark, sf_dir))
+
+
+@register("baseline_forecast")
+def q_baseline_forecast(spark, sf_dir):
+    b = _baseline(spark, sf_dir)
+    return b.select("zone_id", "hour", "day_of_week", "pred_15m", r6("pred_30m"), r6("pred_60m"))
+
+
+def _scenario_alloc(spark, sf_dir):
+    f = _ft(spark, sf_dir)
+    return scenario_alloc(scenario_grid(f), _baseline(spark, sf_dir))
+
+
+@register("scenario_alloc")
+def q_scenario_alloc(spark, sf_dir):
+    a = _scenario_alloc(spark, sf_dir)
+    return a.select("fleet", "fare", "day_of_week", "hour", "zone_id", "predicted_demand",
+                    r6("pred_30m"), r6("pred_60m"), "prob", "allocated_drivers", "gap", "dsr",
+                    r6("surge_multiplier"), "action", r6("revenue"))
+
+
+@register("scenario_kpis")
+def q_scenario_kpis(spark, sf_dir):
+    return scenario_kpis(_scenario_alloc(spark, sf_dir))
+
+
+@register("alloc_json")
+def q_alloc_json(spark, sf_dir):
+    return allocation_records(_bin_alloc(spark, sf_dir), ["time_bin"], ts_col="time_bin")
+
+
+# ---------------------------------------------------------------- M7 ML
+
+_models: dict = {}
+
+
+def _forecaster(spark, sf_dir, learner="gbt", max_iter=None):
+    iters = max_iter or (ML_ITER if learner == "gbt" else RF_TREES)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), learner, iters)
+    if key not in _models:
+        _models[key] = train(_ft(spark, sf_dir), max_iter=iters, learner=learner)
+    return _models[key]
+
+
+ML_ITER = 20
+RF_TREES = 20
+
+
+@register("kmeans_zones")
+def q_kmeans_zones(spark, sf_dir):
+    model, cost = fit_kmeans(C.rides(spark, sf_dir), k=P.NUM_CLUSTERS, n_init=2, max_iter=20)
+    return kmeans_zone_table(spark, model, cost)
+
+
+@register("time_split")
+def q_time_split(spark, sf_dir):
+    s = chronological_split(_ft(spark, sf_dir))
+    return s.select("time_bin", "zone_id", "row_idx", "split")
+
+
+@register("forecast")
+def q_forecast(spark, sf_dir):
+    fc, data = _forecaster(spark, sf_dir)
+    return fc.predict(data).select("time_bin", "zone_id", "split", "pred_15m", "pred_30m", "pred_60m")
+
+
+@register("forecast_metrics")
+def q_forecast_metrics(spark, sf_dir):
+    fc, data = _forecaster(spark, sf_dir)
+    return metrics(fc.predict(data.where(F.col("split") == "test")))
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    fc, _ = _forecaster(spark, sf_dir)
+    return importance_table(spark, fc, top=15)
+
+
+@register("model_card")
+def q_model_card(spark, sf_dir):
+    fc, _ = _forecaster(spark, sf_dir)
+    return model_card(spark, fc)
+
+
+@register("model_compare")
+def q_model_compare(spark, sf_dir):
+    out = None
+    for learner in ("gbt", "rf"):
+        fc, data = _forecaster(spark, sf_dir, learner)
+        m = metrics(fc.predict(data.where(F.col("split") == "test"))).withColumn("learner", F.lit(learner))
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+@register("score_requests")
+def q_score_requests(spark, sf_dir):
+    """L2: requests (ts, zone, active drivers) from the test slice, scored
+    with features looked up from history: zone centroid (C3), mean lags of
+    (zone, hour, weekday) (J12), expected gap = baseline demand - drivers;
+    then the point surge (H7) of the 15-minute forecast."""
+    fc, data = _forecaster(spark, sf_dir)
+    req = data.where(F.col("split") == "test").select(
+        F.col("time_bin").alias("request_ts"), "zone_id", "active_drivers")
+    req = req.withColumns(calendar_columns(F.col("request_ts")))
+    hist = data.where(F.col("split") == "train").groupBy("zone_id", "hour", "day_of_week").agg(
+        *[F.avg(c).alias(c) for c in ("lag_1", "lag_4", "lag_96", "rolling_mean_4")],
+        F.avg("demand").alias("__base"))
+    r = req.join(hist, ["zone_id", "hour", "day_of_week"], "left").na.fill(0.0, ["lag_1", "lag_4", "lag_96", "rolling_mean_4", "__base"])
+    r = attach_centroids(r, C.zones(spark)).withColumn("gap", F.col("__base") - F.col("active_drivers"))
+    scored = fc.predict(r)
+    return scored.select("request_ts", "zone_id", "active_drivers", "pred_15m", "pred_30m", "pred_60m",
+                         point_surge(F.col("pred_15m"), F.col("active_drivers")).alias("surge_multiplier"))
+
+
+# ---------------------------------------------------------------- M8 policy, streaming
+
+@register("policy_states")
+def q_policy_states(spark, sf_dir):
+    t = transitions(_bin_alloc(spark, sf_dir))
+    return t.select("gap_level", "time_of_day", "action", "next_gap_level", "next_time_of_day",
+                    "transitions", r6("reward_sum"))
+
+
+@register("policy_q")
+def q_policy_q(spark, sf_dir):
+    q = batch_q(transitions(_bin_alloc(spark, sf_dir)), sweeps=10)
+    return q.select("gap_level", "time_of_day", "action", r6("q"), "greedy_action", "is_greedy")
+
+
+@register("stream_zone_demand")
+def q_stream_zone_demand(spark, sf_dir):
+    s = zone_demand_stream(events_stream(spark, sf_dir), C.centroids())
+    return run_to_table(spark, s, "zone-demand")
+
+
+# ---------------------------------------------------------------- flagship
+
+def pipeline_kpis(spark, sf_dir, fleet=P.PIPELINE_FLEET, fare=P.DEFAULT_FARE):
+    """The whole chain as one lazy plan, no materialised table: events ->
+    rides -> zones -> 15-min demand -> dense grid -> features -> allocate
+    ``fleet`` drivers per bin (predicted demand := rolling_mean_4) ->
+    revenue -> one KPI row per bin."""
+    f = C.features(spark, sf_dir).select(
+        "time_bin", "zone_id", F.col("rolling_mean_4").alias("predicted_demand"))
+    return fleet_kpis(add_revenue(allocate(f, ["time_bin"], fleet=fleet), fare=fare), ["time_bin"])
+
+
+register("pipeline_kpis")(pipeline_kpis)

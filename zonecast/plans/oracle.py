@@ -387,3 +387,61 @@ r AS (SELECT CASE WHEN drivers < rides THEN 'shortage' ELSE 'normal' END AS regi
 SELECT regime, windows, rides, cancelled, round(cancelled / rides, 6) + 0.0 AS cancel_rate,
   CASE WHEN regime = 'shortage' THEN CAST(0.2 AS DOUBLE) ELSE CAST(0.05 AS DOUBLE) END AS model_cancel_p
 FROM r"""
+
+
+# ---------------------------------------------------------------- M6 scenarios
+
+BASELINE = """bl AS (SELECT zone_id, hour, day_of_week, round_even(avg(demand) * 1024, 0) / 1024 AS pred_15m
+  FROM feat GROUP BY zone_id, hour, day_of_week)"""
+
+SCEN = (BASELINE, """sc AS (SELECT DISTINCT day_of_week, hour, 150 AS fleet, CAST(15.0 AS DOUBLE) AS fare FROM feat),
+sin AS (SELECT sc.fleet, sc.fare, sc.day_of_week, sc.hour, bl.zone_id, CAST(bl.zone_id AS INT) AS zone_num,
+  bl.pred_15m AS predicted_demand, bl.pred_15m * CAST(1.1 AS DOUBLE) AS pred_30m,
+  bl.pred_15m * CAST(1.3 AS DOUBLE) AS pred_60m
+  FROM sc JOIN bl USING (day_of_week, hour))""",
+        alloc_ctes("sin", "fleet, fare, day_of_week, hour", fleet="fleet", fare="fare", tie="zone_num"))
+
+SQL["baseline_forecast"] = with_ctes(*BASE, BASELINE) + """SELECT zone_id, hour, day_of_week, pred_15m,
+  round(pred_15m * CAST(1.1 AS DOUBLE), 6) + 0.0 AS pred_30m, round(pred_15m * CAST(1.3 AS DOUBLE), 6) + 0.0 AS pred_60m
+FROM bl"""
+
+SQL["scenario_alloc"] = with_ctes(*BASE, *SCEN) + """SELECT fleet, fare, day_of_week, hour, zone_id, predicted_demand,
+  round(pred_30m, 6) + 0.0 AS pred_30m, round(pred_60m, 6) + 0.0 AS pred_60m, prob, allocated_drivers, gap, dsr,
+  round(surge_multiplier, 6) + 0.0 AS surge_multiplier, action, round(revenue, 6) + 0.0 AS revenue FROM rv"""
+
+SQL["scenario_kpis"] = with_ctes(*BASE, *SCEN) + """SELECT fleet, fare, day_of_week, hour,
+  round(sum(revenue), 2) AS total_revenue,
+  round(CASE WHEN sum(predicted_demand) <> 0 THEN sum(fulfilled_rides) / sum(predicted_demand) END * 100, 1)
+    AS service_level,
+  round(avg(surge_multiplier), 2) AS avg_surge, sum(predicted_demand) AS total_demand,
+  count(*) AS zones, count_if(gap > 5) AS shortage_zones,
+  CAST(sum(allocated_drivers) AS BIGINT) AS allocated_total
+FROM rv GROUP BY fleet, fare, day_of_week, hour"""
+
+# ---------------------------------------------------------------- M7 split
+
+SQL["time_split"] = over_features(""", o AS (SELECT time_bin, zone_id,
+    row_number() OVER (ORDER BY time_bin, zone_id) - 1 AS row_idx, count(*) OVER () AS n_rows FROM feat)
+SELECT time_bin, zone_id, row_idx,
+  CASE WHEN row_idx < CAST(trunc(CAST(0.8 AS DOUBLE) * n_rows) AS BIGINT) THEN 'train' ELSE 'test' END AS split
+FROM o""")
+
+# ---------------------------------------------------------------- M8 policy, streaming
+
+SQL["policy_states"] = over_alloc(""", st AS (
+  SELECT time_bin, zone_id, action, revenue,
+    CASE WHEN gap > 5 THEN 'Shortage' WHEN gap < -3 THEN 'Surplus' ELSE 'Balanced' END AS gap_level,
+    CASE WHEN extract(hour FROM time_bin) >= 6 AND extract(hour FROM time_bin) < 11 THEN 'Morning'
+         WHEN extract(hour FROM time_bin) >= 11 AND extract(hour FROM time_bin) < 17 THEN 'Day'
+         WHEN extract(hour FROM time_bin) >= 17 AND extract(hour FROM time_bin) < 22 THEN 'Evening'
+         ELSE 'Night' END AS time_of_day
+  FROM rv)
+SELECT a.gap_level, a.time_of_day, a.action, b.gap_level AS next_gap_level, b.time_of_day AS next_time_of_day,
+  count(*) AS transitions, round(sum(a.revenue), 6) + 0.0 AS reward_sum
+FROM st a JOIN st b ON b.zone_id = a.zone_id AND b.time_bin = a.time_bin + INTERVAL 15 MINUTE
+GROUP BY ALL""")
+
+SQL["stream_zone_demand"] = with_ctes(ZONES, RIDES, ASSIGNED, DEMAND) + """SELECT * FROM demand
+WHERE time_bin + INTERVAL 15 MINUTE <= (SELECT max(ride_ts) FROM rides) - INTERVAL 30 MINUTE"""
+
+SQL["pipeline_kpis"] = SQL["fleet_kpis"]
