@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
+from ..session import materialize
 from ..functions.timefn import add_seconds, calendar_columns, interval_seconds
 from .demand import demand_grid, supply_fill, zone_demand
 from .zones import assign_zone, attach_centroids
@@ -97,12 +98,21 @@ def add_features(grid: DataFrame, zones: DataFrame, interval: str | int = P.INTE
 
 def build_features(rides: DataFrame, zones: DataFrame, interval: str | int = P.INTERVAL_SECONDS,
                    method: str = "shift", keep_rank: bool = False,
-                   centroids=None) -> DataFrame:
+                   centroids=None, cut: bool = True) -> DataFrame:
     """Whole processing chain: rides -> zones -> demand -> grid -> fill -> features.
 
     ``centroids`` (the zone list) saves reading a zone table back when the
-    caller already has it.
+    caller already has it. With ``cut`` (default) the two small
+    intermediates are written once to the checkpoint folder: the demand
+    aggregate (the only step that reads the rides, which are read exactly
+    once) and the filled grid (bins x zones), which several branches of
+    the feature plan read; without it Catalyst re-plans the ride scan in
+    every branch.
     """
     demand = zone_demand(assign_zone(rides, centroids if centroids is not None else zones), interval)
+    if cut:
+        demand = materialize(demand, "zone-demand")
     grid = supply_fill(demand_grid(demand, interval))
+    if cut:
+        grid = materialize(grid, "demand-grid")
     return add_features(grid, zones, interval, method=method, keep_rank=keep_rank)

@@ -35,6 +35,7 @@ from ..operators.profiles import (corr_matrix, cumulative_demand, dataset_kpis,
 from ..operators.rates import cancel_by_regime, expected_rate
 from ..operators.split import first_test_bin
 from ..operators.zones import assign_zone, attach_centroids, grid_cell_table, point_to_cell
+from ..session import materialize
 from . import context as C
 
 # Trip quote distance scale (ours): km per degree, and a mean speed.
@@ -81,14 +82,19 @@ def q_zone_demand(spark, sf_dir):
     return _demand(spark, sf_dir)
 
 
+def _demand_table(spark, sf_dir):
+    """The demand aggregate written once: the grid plan reads it three times."""
+    return materialize(_demand(spark, sf_dir), "zone-demand")
+
+
 @register("demand_grid")
 def q_demand_grid(spark, sf_dir):
-    return demand_grid(_demand(spark, sf_dir), P.INTERVAL_SECONDS)
+    return demand_grid(_demand_table(spark, sf_dir), P.INTERVAL_SECONDS)
 
 
 @register("supply_fill")
 def q_supply_fill(spark, sf_dir):
-    g = supply_fill(demand_grid(_demand(spark, sf_dir), P.INTERVAL_SECONDS))
+    g = supply_fill(demand_grid(_demand_table(spark, sf_dir), P.INTERVAL_SECONDS))
     return g.select("time_bin", "zone_id", "zone_rank", r6("active_drivers"))
 
 

@@ -4,7 +4,7 @@ Each query is ``f(spark, sf_dir) -> DataFrame`` and builds its plan from
 the driver's tables. The processed feature table is the one intermediate
 that many dashboard-level queries read (the reference writes it once and
 every page reads it); ``features_table`` materialises it once per
-application and source folder as a reliable checkpoint in the cluster's
+application and source folder as a parquet table in the cluster's
 checkpoint folder, so those queries do not recompute the grid.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import params as P
 from ..operators.features import build_features
 from ..operators.zones import fixed_zones
-from ..session import checkpoint_dir
+from ..session import materialize
 from ..sources.rides import load_rides
 
 _lock = threading.Lock()
@@ -46,13 +46,12 @@ def features(spark: SparkSession, sf_dir: str, interval: int = P.INTERVAL_SECOND
 
 def features_table(spark: SparkSession, sf_dir: str,
                    interval: int = P.INTERVAL_SECONDS) -> DataFrame:
-    """Materialised feature table (with ``zone_rank``), checkpointed once."""
+    """Materialised feature table (with ``zone_rank``), written once."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), interval)
     with _lock:
         df = _memo.get(key)
         if df is None:
-            checkpoint_dir(spark)
-            df = features(spark, sf_dir, interval, keep_rank=True).checkpoint(eager=True)
+            df = materialize(features(spark, sf_dir, interval, keep_rank=True), "features")
             _memo[key] = df
         return df
 
