@@ -10,6 +10,7 @@ stops on its test slice, which then also scores it).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,16 +91,23 @@ def train(features: DataFrame, max_iter: int = 30, max_depth: int = 5, step_size
                     params={"max_iter": max_iter, "max_depth": max_depth, "step_size": step_size,
                             "learner": learner})
     train_rows = fc.assemble(data.where(F.col("split") == "train")).persist()
+
+    def fit(h, target):
+        if learner == "gbt":
+            est = GBTRegressor(featuresCol=VECTOR, labelCol=target, maxIter=max_iter,
+                               maxDepth=max_depth, stepSize=step_size, seed=seed,
+                               validationIndicatorCol="is_val", validationTol=0.0)
+        else:
+            est = RandomForestRegressor(featuresCol=VECTOR, labelCol=target, numTrees=max_iter,
+                                        maxDepth=max_depth, seed=seed)
+        return h, est.fit(train_rows.withColumn(target, F.col(target).cast("double")))
+
     try:
-        for h, target in horizons:
-            if learner == "gbt":
-                est = GBTRegressor(featuresCol=VECTOR, labelCol=target, maxIter=max_iter,
-                                   maxDepth=max_depth, stepSize=step_size, seed=seed,
-                                   validationIndicatorCol="is_val", validationTol=0.0)
-            else:
-                est = RandomForestRegressor(featuresCol=VECTOR, labelCol=target, numTrees=max_iter,
-                                            maxDepth=max_depth, seed=seed)
-            fc.models[h] = est.fit(train_rows.withColumn(target, F.col(target).cast("double")))
+        train_rows.count()                      # fill the cache once, before the fits
+        # the horizons are independent: their jobs run side by side on the cluster
+        with ThreadPoolExecutor(max_workers=len(horizons)) as pool:
+            for h, model in pool.map(lambda ht: fit(*ht), horizons):
+                fc.models[h] = model
     finally:
         train_rows.unpersist()
     return fc, data

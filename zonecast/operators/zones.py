@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,15 +73,18 @@ def fit_kmeans(rides: DataFrame, k: int = P.NUM_CLUSTERS, seed: int = P.SEED,
     pts = VectorAssembler(inputCols=["pickup_lat", "pickup_long"], outputCol="features") \
         .transform(rides.select("pickup_lat", "pickup_long")).select("features")
     pts = pts.persist()
-    best = None
+
+    def fit(i):
+        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, initMode="k-means||").fit(pts)
+        return model, model.summary.trainingCost
+
     try:
-        for i in range(n_init):
-            model = KMeans(k=k, seed=seed + i, maxIter=max_iter, initMode="k-means||").fit(pts)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[1]:
-                best = (model, cost)
+        pts.count()
+        with ThreadPoolExecutor(max_workers=n_init) as pool:   # independent restarts, side by side
+            fits = list(pool.map(fit, range(n_init)))
     finally:
         pts.unpersist()
+    best = min(fits, key=lambda mc: mc[1])
     return best[0], best[1]
 
 
