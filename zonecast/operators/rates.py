@@ -27,7 +27,7 @@ def expected_rate(rides: DataFrame, window_s: int = P.SUPPLY_WINDOW_SECONDS) ->
     rides."""
     w = rides.select(time_floor(F.col("ride_ts"), window_s).alias("win"))
     observed = w.groupBy("win").agg(F.count(F.lit(1)).alias("rides"))
-    bounds = w.agg(F.min("win").alias("lo"), F.max("win").alias("hi"))
+    bounds = observed.agg(F.min("win").alias("lo"), F.max("win").alias("hi"))   # from the aggregate
     spine = time_spine(bounds, "lo", "hi", window_s, out_col="win")
     rate = (F.lit(P.BASE_RATE_PER_5MIN) * _lookup(P.HOUR_WEIGHTS, F.hour("win"))
             * _lookup(P.DAY_WEIGHTS, weekday_mon0(F.col("win"))))

@@ -42,6 +42,8 @@ from . import context as C
 KM_PER_DEG_LAT = 111.32
 KM_PER_DEG_LON = 88.0
 SPEED_KMH = 30.0
+# Largest per-(bin, zone) table broadcast to the ride side (~24 bytes a row).
+MAX_BROADCAST_ROWS = 2_000_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -214,8 +216,13 @@ def q_trip_price(spark, sf_dir):
     dlat = (F.col("pickup_lat") - F.col("zone_lat")) * F.lit(KM_PER_DEG_LAT)
     dlon = (F.col("pickup_long") - F.col("zone_lon")) * F.lit(KM_PER_DEG_LON)
     km = F.sqrt(dlat * dlat + dlon * dlon)
-    f = C.features_table(spark, sf_dir).select(
-        "time_bin", "zone_id", point_surge(F.col("demand"), F.col("active_drivers")).alias("surge"))
+    ft = C.features_table(spark, sf_dir)
+    f = ft.select("time_bin", "zone_id", point_surge(F.col("demand"), F.col("active_drivers")).alias("surge"))
+    # one surge row per (bin, zone): broadcast it when its checked size allows
+    # (a written table: the count reads parquet footers), else a shuffle join
+    # that AQE splits if one (bin, zone) holds many of the rides
+    if ft.count() <= MAX_BROADCAST_ROWS:
+        f = F.broadcast(f)
     q = rides.withColumn("distance_km", km).withColumn("duration_min", F.col("distance_km") * F.lit(60.0 / SPEED_KMH))
     q = q.join(f, ["time_bin", "zone_id"])
     return q.select("ride_id", "time_bin", "zone_id", r6("distance_km"), r6("duration_min"), "surge",

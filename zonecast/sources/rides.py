@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from .. import params as P
 from ..functions.geo import clip_lat, clip_lon
-from .tables import read_table, require_path
+from .tables import CSV_TS_FORMAT, read_table, require_path
 
 # Ride request as written by a ride log (CSV header names).
 RIDE_CSV_SCHEMA = T.StructType([
@@ -55,7 +55,7 @@ RIDE_COLUMNS = ("ride_id", "ride_ts", "pickup_lat", "pickup_long",
 def read_rides_csv(spark: SparkSession, path: str) -> DataFrame:
     """Ride scan (A1): explicit schema, no inference; ``timestamp`` -> ``ride_ts``."""
     df = (spark.read.schema(RIDE_CSV_SCHEMA).option("header", True)
-          .csv(require_path(path)))
+          .option("timestampNTZFormat", CSV_TS_FORMAT).csv(require_path(path)))
     return df.withColumnRenamed("timestamp", "ride_ts").select(*RIDE_COLUMNS)
 
 
@@ -63,7 +63,7 @@ def read_features(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
     """Feature scan (A2). zone_id stays a string whatever the file holds."""
     r = spark.read.format(fmt)
     if fmt == "csv":
-        r = r.schema(FEATURE_SCHEMA).option("header", True)
+        r = r.schema(FEATURE_SCHEMA).option("header", True).option("timestampNTZFormat", CSV_TS_FORMAT)
     df = r.load(require_path(path))
     return df.withColumn("zone_id", F.col("zone_id").cast("string"))
 

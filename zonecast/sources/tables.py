@@ -7,6 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Ride-log timestamp layout (pandas writes 'YYYY-MM-DD HH:MM:SS'); microseconds optional.
+CSV_TS_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -57,7 +60,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     partitions present in ``df`` (dynamic partition overwrite)."""
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        w = w.option("header", True)
+        w = w.option("header", True).option("timestampNTZFormat", CSV_TS_FORMAT)
     if partition_by:
         w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     w.save(path)
