@@ -4,9 +4,9 @@ D3-D16 E6 F5-F7 A10 A11 B4 G16.
 
 Every summary is one partial aggregate (map-side combine) over the input,
 followed by work on the aggregated rows only (24 hours, 7 days, k zones,
-60 histogram bins, one row per bin). Scalars a summary needs (min / max of
-a histogram) are scalar subqueries, planned by Catalyst; nothing is
-collected to the driver.
+60 histogram bins, one row per bin). The histogram bounds are the one
+scalar pair read back to the driver (as ``RDD.histogram`` does); no rows
+are collected.
 """
 
 from __future__ import annotations
@@ -144,9 +144,12 @@ def histogram(df: DataFrame, column: str, bins: int = 60) -> DataFrame:
     """``bins`` equal-width bins from min to max (the last one closed),
     all bins listed with their bounds and counts."""
     x = F.col(column).cast("double")
-    stats = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-    lo = stats.select("lo").scalar()
-    hi = stats.select("hi").scalar()
+    # Two passes, as Spark's own RDD.histogram(n): one aggregate job for the
+    # bounds (two numbers to the driver), then one counting pass with the
+    # bounds as literals (scalar subqueries here were re-planned at every
+    # reference, one scan of the input each).
+    lo_v, hi_v = df.agg(F.min(x), F.max(x)).first()
+    lo, hi = F.lit(lo_v).cast("double"), F.lit(hi_v).cast("double")
     width = (hi - lo) / F.lit(float(bins))
     idx = F.when(width > 0, F.least(F.floor((x - lo) / width), F.lit(bins - 1))).otherwise(F.lit(0))
     counts = (df.where(x.isNotNull()).select(idx.cast("int").alias("bin"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions.timefn import time_floor, weekday_mon0
+from ..session import materialize
 from .scans import time_spine
 
 
@@ -26,7 +27,9 @@ def expected_rate(rides: DataFrame, window_s: int = P.SUPPLY_WINDOW_SECONDS) ->
     (sum of base x hour weight x day weight over the windows) and observed
     rides."""
     w = rides.select(time_floor(F.col("ride_ts"), window_s).alias("win"))
-    observed = w.groupBy("win").agg(F.count(F.lit(1)).alias("rides"))
+    # one pass over the rides; the per-window counts (one row per window)
+    # are written once and feed both the bounds and the join below
+    observed = materialize(w.groupBy("win").agg(F.count(F.lit(1)).alias("rides")), "window-rides")
     bounds = observed.agg(F.min("win").alias("lo"), F.max("win").alias("hi"))   # from the aggregate
     spine = time_spine(bounds, "lo", "hi", window_s, out_col="win")
     rate = (F.lit(P.BASE_RATE_PER_5MIN) * _lookup(P.HOUR_WEIGHTS, F.hour("win"))

@@ -75,8 +75,10 @@ def time_spine(bounds: DataFrame, start_col: str, end_col: str, step_seconds: in
     chunks = bounds.select(*keys, F.col(start_col).alias("__start"), n.alias("__n"),
                            F.explode(F.sequence(F.lit(0).cast("long"),
                                                 F.floor((n - 1) / chunk))).alias("__c"))
-    if parts is None:
-        parts = int(bounds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if parts is None:   # one wave of tasks: no more than the cluster's cores
+        spark = bounds.sparkSession
+        parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                           spark.sparkContext.defaultParallelism))
     chunks = chunks.repartition(parts, *keys, "__c")
     lo = F.col("__c") * chunk
     hi = F.least(lo + (chunk - 1), F.col("__n") - 1)
