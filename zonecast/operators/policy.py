@@ -63,11 +63,12 @@ def batch_q(trans: DataFrame, sweeps: int = 10, alpha: float = P.Q_ALPHA,
     for _ in range(sweeps):
         v = q.groupBy("gap_level", "time_of_day").agg(F.max("q").alias("v")) \
             .withColumnsRenamed({"gap_level": "next_gap_level", "time_of_day": "next_time_of_day"})
-        fut = (trans.join(v, nk, "left")
+        # every side here is bounded by the state definition (<= 432 rows)
+        fut = (trans.join(F.broadcast(v), nk, "left")
                .groupBy("gap_level", "time_of_day", "action")
                .agg(F.sum(F.col("transitions") * F.coalesce(F.col("v"), F.lit(0.0))).alias("nv")))
-        q = (q.join(sa, ["gap_level", "time_of_day", "action"])
-             .join(fut, ["gap_level", "time_of_day", "action"])
+        q = (q.join(F.broadcast(sa), ["gap_level", "time_of_day", "action"])
+             .join(F.broadcast(fut), ["gap_level", "time_of_day", "action"])
              .select("gap_level", "time_of_day", "action",
                      ((F.lit(1 - alpha) * F.col("q"))
                       + F.lit(alpha) * ((F.col("r") + F.lit(gamma) * F.col("nv")) / F.col("n"))).alias("q"))
