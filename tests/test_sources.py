@@ -76,3 +76,18 @@ def test_forecaster_save_load_and_metrics(spark):
     assert set(m) == {"15m", "30m", "60m"} and all(r.rmse >= 0 for r in m.values())
     preds = back.predict(data).select("pred_15m", "pred_30m", "pred_60m")
     assert preds.where((F.col("pred_15m") < 0) | (F.col("pred_60m") < 0)).count() == 0
+
+
+def test_kmeans_folded_duplicates_keep_the_objective(spark):
+    """Each point twice: the folded (weighted) fit's cost equals the sum
+    over the raw points of the squared distance to the nearest centre."""
+    from zonecast.operators.zones import fit_kmeans
+    from zonecast.plans import context as C
+    r = C.rides(spark, SF_SMALL).select("pickup_lat", "pickup_long")
+    doubled = r.unionByName(r)
+    # tol 0: run until no centre moves, so the reported cost is at the final centres
+    model, cost = fit_kmeans(doubled, k=4, n_init=1, max_iter=300, tol=0.0)
+    centres = [tuple(map(float, c)) for c in model.clusterCenters()]
+    d2 = F.least(*[(F.col("pickup_lat") - a) ** 2 + (F.col("pickup_long") - b) ** 2 for a, b in centres])
+    raw = doubled.agg(F.sum(d2)).first()[0]
+    assert raw == pytest.approx(cost, rel=1e-9)

@@ -61,21 +61,33 @@ def attach_centroids(df: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def fit_kmeans(rides: DataFrame, k: int = P.NUM_CLUSTERS, seed: int = P.SEED,
-               n_init: int = 3, max_iter: int = 20):
+               n_init: int = 3, max_iter: int = 20, fold_duplicates: bool = True,
+               tol: float = 1e-4):
     """Fit zones (J2): Spark ML K-Means on raw degrees, best of ``n_init`` seeds.
 
     Each fit is a distributed job (k-means|| init); only the k centroids
-    come back to the driver.
+    come back to the driver. With ``fold_duplicates`` identical pickup
+    points become one point weighted by its count (a count aggregate,
+    combined map-side, so a hot point costs nothing extra): the weighted
+    objective and Lloyd steps equal those over the raw points, and the
+    cached set every iteration reads shrinks by the duplicate factor.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
+    xy = rides.select("pickup_lat", "pickup_long").where(
+        F.col("pickup_lat").isNotNull() & F.col("pickup_long").isNotNull())
+    if fold_duplicates:
+        xy = xy.groupBy("pickup_lat", "pickup_long").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    else:
+        xy = xy.withColumn("weight", F.lit(1.0))
     pts = VectorAssembler(inputCols=["pickup_lat", "pickup_long"], outputCol="features") \
-        .transform(rides.select("pickup_lat", "pickup_long")).select("features")
+        .transform(xy).select("features", "weight")
     pts = pts.persist()
 
     def fit(i):
-        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, initMode="k-means||").fit(pts)
+        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, initMode="k-means||",
+                       weightCol="weight", tol=tol).fit(pts)
         return model, model.summary.trainingCost
 
     try:
