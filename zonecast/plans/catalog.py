@@ -281,8 +281,11 @@ DESCRIBE_COLUMNS = tuple(c for c in FEATURE_ORDER if c not in ("time_bin", "zone
 
 @register("describe")
 def q_describe(spark, sf_dir):
-    f = _ft(spark, sf_dir).withColumn("zone_num", F.col("zone_id").cast("int"))
-    d = describe(f, DESCRIBE_COLUMNS)
+    ft = _ft(spark, sf_dir)
+    # exact quartiles while the (written) table is within the checked size
+    exact = ft.count() <= P.EXACT_QUANTILE_MAX_ROWS
+    f = ft.withColumn("zone_num", F.col("zone_id").cast("int"))
+    d = describe(f, DESCRIBE_COLUMNS, exact=exact)
     return d.select("column_name", "count", *[r6(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
