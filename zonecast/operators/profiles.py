@@ -140,6 +140,33 @@ def describe(df: DataFrame, columns: Sequence[str], exact: bool = True,
                        F.col("q")[2].alias("p75"), "max")
 
 
+def describe_time(df: DataFrame, column: str = "time_bin") -> DataFrame:
+    """D13, timestamp column: count, mean, min, 25/50/75 % (linear
+    interpolation), max, all as TIMESTAMP_NTZ (no std), one row.
+
+    Works in whole epoch seconds (interval-aligned bins are whole seconds):
+    the mean is an exact decimal sum divided with DIV, the quartiles are
+    exact dyadic interpolations, both then taken to microseconds.
+    """
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    t = F.col(column)
+    sec = F.timestamp_diff("SECOND", epoch, t)
+    agg = df.agg(
+        F.count(t).alias("count"),
+        F.sum(sec.cast("decimal(38,0)")).alias("__sum"),
+        F.min(t).alias("min"), F.max(t).alias("max"),
+        F.percentile(sec, [0.25, 0.5, 0.75]).alias("__q"))
+
+    def at_us(us: Column) -> Column:
+        return F.timestamp_add("MICROSECOND", us, epoch)
+
+    mean_us = F.expr("CAST(__sum * 1000000 DIV count AS BIGINT)")
+    q_us = [F.round(F.col("__q")[i] * F.lit(1000000.0)).cast("long") for i in range(3)]
+    return agg.select(F.lit(column).alias("column_name"), "count", at_us(mean_us).alias("mean"), "min",
+                      at_us(q_us[0]).alias("p25"), at_us(q_us[1]).alias("p50"),
+                      at_us(q_us[2]).alias("p75"), "max")
+
+
 def histogram(df: DataFrame, column: str, bins: int = 60) -> DataFrame:
     """``bins`` equal-width bins from min to max (the last one closed),
     all bins listed with their bounds and counts."""

@@ -28,7 +28,7 @@ from ..operators.scenario import (allocation_records, baseline_forecast, scenari
 from ..operators.split import chronological_split
 from ..operators.zones import fit_kmeans, kmeans_zone_table
 from ..streaming.demand_stream import events_stream, run_to_table, zone_demand_stream
-from ..operators.profiles import (corr_matrix, cumulative_demand, dataset_kpis, describe,
+from ..operators.profiles import (corr_matrix, cumulative_demand, dataset_kpis, describe, describe_time,
                                   dow_profile, head_rows, histogram, hour_day, hour_day_pivot,
                                   hourly_profile, pickup_density, sample_rides, zone_hourly,
                                   zone_markers, zone_profile)
@@ -289,6 +289,12 @@ def q_describe(spark, sf_dir):
     return d.select("column_name", "count", *[r6(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
+@register("describe_time")
+def q_describe_time(spark, sf_dir):
+    """The time_bin row of D13 (timestamps, no std)."""
+    return describe_time(_ft(spark, sf_dir), "time_bin")
+
+
 def _hist_out(h):
     return h.select("bin", r6("bin_start"), r6("bin_end"), "count")
 

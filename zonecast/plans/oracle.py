@@ -293,6 +293,16 @@ SQL["describe"] = over_features(", f2 AS (SELECT *, CAST(zone_id AS INT) AS zone
                                 + "\nUNION ALL\n".join(_describe_one(c) for c in _DESCRIBE))
 
 
+SQL["describe_time"] = over_features("""SELECT 'time_bin' AS column_name, count(time_bin) AS count,
+  make_timestamp(CAST(sum(epoch(time_bin)::HUGEINT) * 1000000 // count(time_bin) AS BIGINT)) AS mean,
+  min(time_bin) AS min,
+  make_timestamp(CAST(round(quantile_cont(epoch(time_bin)::BIGINT, 0.25) * 1000000.0) AS BIGINT)) AS p25,
+  make_timestamp(CAST(round(quantile_cont(epoch(time_bin)::BIGINT, 0.5) * 1000000.0) AS BIGINT)) AS p50,
+  make_timestamp(CAST(round(quantile_cont(epoch(time_bin)::BIGINT, 0.75) * 1000000.0) AS BIGINT)) AS p75,
+  max(time_bin) AS max
+FROM feat""")
+
+
 def hist_sql(table: str, col: str, bins: int = 60, axis: str | None = None) -> str:
     x = f"CAST({col} AS DOUBLE)"
     ax = f", '{axis}' AS axis" if axis else ""
