@@ -91,3 +91,17 @@ def test_kmeans_folded_duplicates_keep_the_objective(spark):
     d2 = F.least(*[(F.col("pickup_lat") - a) ** 2 + (F.col("pickup_long") - b) ** 2 for a, b in centres])
     raw = doubled.agg(F.sum(d2)).first()[0]
     assert raw == pytest.approx(cost, rel=1e-9)
+
+
+def test_forecast_fit_is_reproducible(spark):
+    """Same seed, same data: the same trees (row layout fixed before the fit)."""
+    from zonecast.operators.forecast import train
+    from zonecast.plans import context as C
+    ft = C.features_table(spark, SF_SMALL)
+    a, _ = train(ft, max_iter=5)
+    b, _ = train(ft, max_iter=5)
+    for h in a.models:
+        assert a.models[h].getNumTrees == b.models[h].getNumTrees
+        assert list(a.models[h].featureImportances.toArray()) == list(b.models[h].featureImportances.toArray())
+        trees = [m.models[h].toDebugString.split("\n", 1)[1] for m in (a, b)]   # past the uid line
+        assert trees[0] == trees[1]

@@ -90,7 +90,15 @@ def train(features: DataFrame, max_iter: int = 30, max_depth: int = 5, step_size
     fc = Forecaster(features=feature_list(features, with_supply),
                     params={"max_iter": max_iter, "max_depth": max_depth, "step_size": step_size,
                             "learner": learner})
-    train_rows = fc.assemble(data.where(F.col("split") == "train")).persist()
+    # A fixed row layout (hash placement by key, sorted inside each
+    # partition): Spark's trees take split candidates from a seeded sample
+    # of the partitions, so the same seed gives the same model only when
+    # every row sits in the same place on every run.
+    parts = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    train_rows = (fc.assemble(data.where(F.col("split") == "train"))
+                  .repartition(parts, "zone_id", "time_bin")
+                  .sortWithinPartitions("time_bin", "zone_id")
+                  .persist())
 
     def fit(h, target):
         if learner == "gbt":
