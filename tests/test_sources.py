@@ -105,3 +105,12 @@ def test_forecast_fit_is_reproducible(spark):
         assert list(a.models[h].featureImportances.toArray()) == list(b.models[h].featureImportances.toArray())
         trees = [m.models[h].toDebugString.split("\n", 1)[1] for m in (a, b)]   # past the uid line
         assert trees[0] == trees[1]
+
+
+def test_kmeans_fit_is_reproducible(spark):
+    from zonecast.operators.zones import fit_kmeans
+    from zonecast.plans import context as C
+    r = C.rides(spark, SF_SMALL)
+    (m1, c1), (m2, c2) = (fit_kmeans(r, k=5, n_init=2, max_iter=10) for _ in range(2))
+    assert c1 == c2
+    assert [list(c) for c in m1.clusterCenters()] == [list(c) for c in m2.clusterCenters()]

@@ -80,7 +80,11 @@ def fit_kmeans(rides: DataFrame, k: int = P.NUM_CLUSTERS, seed: int = P.SEED,
     if fold_duplicates:
         xy = xy.groupBy("pickup_lat", "pickup_long").agg(F.count(F.lit(1)).cast("double").alias("weight"))
     else:
-        xy = xy.withColumn("weight", F.lit(1.0))
+        parts = int(rides.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        xy = xy.repartition(parts, "pickup_lat", "pickup_long").withColumn("weight", F.lit(1.0))
+    # hash-placed by point and sorted in each partition: the seeded
+    # k-means|| sampling then sees the same layout on every run
+    xy = xy.sortWithinPartitions("pickup_lat", "pickup_long", "weight")
     pts = VectorAssembler(inputCols=["pickup_lat", "pickup_long"], outputCol="features") \
         .transform(xy).select("features", "weight")
     pts = pts.persist()
