@@ -114,3 +114,21 @@ def test_kmeans_fit_is_reproducible(spark):
     (m1, c1), (m2, c2) = (fit_kmeans(r, k=5, n_init=2, max_iter=10) for _ in range(2))
     assert c1 == c2
     assert [list(c) for c in m1.clusterCenters()] == [list(c) for c in m2.clusterCenters()]
+
+
+def test_row_id_is_consecutive_in_scan_order(spark):
+    """E11 over a multi-file table: ids 1..N, each file's rows consecutive
+    and in file order."""
+    import pyarrow.parquet as pq
+    from zonecast.operators.scans import with_row_id
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_id", "ts")
+    path = tempfile.mkdtemp(prefix="rowid-") + "/t"
+    ev.repartition(4, "event_id").sortWithinPartitions("ts", "event_id").write.parquet(path)
+    t = spark.read.parquet(path).withColumn("__file", F.input_file_name())
+    rows = with_row_id(t, "rid").select("__file", "event_id", "rid").collect()
+    n = len(rows)
+    assert n == ev.count() and sorted(r.rid for r in rows) == list(range(1, n + 1))
+    by_id = {r.event_id: r.rid for r in rows}
+    for f in sorted({r["__file"] for r in rows}):
+        ids = [by_id[e] for e in pq.read_table(f.replace("file://", "")).column("event_id").to_pylist()]
+        assert ids == list(range(ids[0], ids[0] + len(ids)))

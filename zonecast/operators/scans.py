@@ -84,3 +84,22 @@ def time_spine(bounds: DataFrame, start_col: str, end_col: str, step_seconds: in
     hi = F.least(lo + (chunk - 1), F.col("__n") - 1)
     idx = chunks.select(*keys, "__start", F.explode(F.sequence(lo, hi)).alias("__i"))
     return idx.select(*keys, add_seconds(F.col("__start"), F.col("__i") * step_seconds).alias(out_col))
+
+
+def with_row_id(df: DataFrame, out_col: str = "row_id", start: int = 1) -> DataFrame:
+    """Consecutive ids start..start+N-1 in the input's own order
+    (partition by partition, rows in scan order), as ``RDD.zipWithIndex``:
+    one pass counts the rows of each partition (one row per partition), a
+    running offset over those counts, then each row adds its position in
+    its partition. No sort, no single-task step. The input must have a
+    stable layout (a file scan or a written table), as for zipWithIndex.
+    """
+    pos = F.monotonically_increasing_id()          # (partition id << 33) + position
+    d = df.withColumns({"__pid": F.spark_partition_id(), "__pos": pos})
+    counts = d.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)   # one row per partition
+    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    local = F.col("__pos") - F.shiftleft(F.col("__pid").cast("long"), 33)
+    return (d.join(F.broadcast(offsets), "__pid")
+            .withColumn(out_col, F.col("__off") + local + F.lit(start))
+            .drop("__pid", "__pos", "__off"))
