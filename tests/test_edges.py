@@ -170,3 +170,20 @@ def test_allocate_stream_foreach_batch(spark):
     q.awaitTermination()
     first = [r for r in got if r.request_id == 1]
     assert first and sum(r.allocated_drivers for r in first) in (150, len(first) * (150 // len(first)))
+
+
+def test_ride_sample_is_exact_and_spread(spark):
+    """exactly n distinct rides, spread over the whole id range (the
+    sample order has no ties, so it is not the earliest rides of a key)."""
+    from zonecast.operators.profiles import sample_rides
+    from zonecast.plans import context as C
+    from conftest import SF_SMALL
+    r = C.rides(spark, SF_SMALL)
+    lo, hi = r.agg(F.min("ride_id"), F.max("ride_id")).first()
+    ids = [x.ride_id for x in sample_rides(r, 100).collect()]
+    assert len(ids) == len(set(ids)) == 100
+    deciles = [0] * 10
+    for i in ids:
+        deciles[min(9, (i - lo) * 10 // (hi - lo + 1))] += 1
+    assert all(3 <= d <= 20 for d in deciles), deciles
+    assert sample_rides(r, 10 ** 6).count() == r.count()      # n above the rows: all of them

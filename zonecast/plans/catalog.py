@@ -327,7 +327,8 @@ def q_head_rows(spark, sf_dir):
 
 @register("ride_sample")
 def q_ride_sample(spark, sf_dir):
-    return sample_rides(C.rides(spark, sf_dir), 1000).select("ride_id", "sample_key", "pickup_lat", "pickup_long")
+    return sample_rides(C.rides(spark, sf_dir), 1000).select("ride_id", "sample_key", "sample_tie",
+                                                             "pickup_lat", "pickup_long")
 
 
 # ---------------------------------------------------------------- M5 spatial, rates

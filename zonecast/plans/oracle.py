@@ -336,8 +336,10 @@ SQL["corr_matrix"] = over_features(_corr_sql())
 
 SQL["head_rows"] = over_features(FEATURE_SELECT + " ORDER BY zone_id, time_bin LIMIT 200")
 
-SQL["ride_sample"] = with_ctes(RIDES) + """SELECT ride_id, ((ride_id + 42) % 1000003) * 999983 % 1000003 AS sample_key,
-  pickup_lat, pickup_long FROM rides ORDER BY sample_key, ride_id LIMIT 1000"""
+SQL["ride_sample"] = with_ctes(RIDES) + """SELECT ride_id,
+  ((ride_id + 42) % 2147483647) * 950706376 % 2147483647 AS sample_key,
+  ((ride_id + 42) % 2147483629) * 742938285 % 2147483629 AS sample_tie,
+  pickup_lat, pickup_long FROM rides ORDER BY sample_key, sample_tie LIMIT 1000"""
 
 
 # ---------------------------------------------------------------- M5 spatial, rates
