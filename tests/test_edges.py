@@ -187,3 +187,28 @@ def test_ride_sample_is_exact_and_spread(spark):
         deciles[min(9, (i - lo) * 10 // (hi - lo + 1))] += 1
     assert all(3 <= d <= 20 for d in deciles), deciles
     assert sample_rides(r, 10 ** 6).count() == r.count()      # n above the rows: all of them
+
+
+def test_grid_fills_bin_gaps(spark):
+    """C1 + C2: every bin from the first to the last, for every observed
+    zone; bins without rides get demand 0 and no cancellations, and supply
+    is carried from the last seen value (E4)."""
+    d = spark.createDataFrame(
+        [(T(0), "a", 3, 2.0, 1), (T(2), "b", 1, 5.0, 0)],
+        "time_bin timestamp_ntz, zone_id string, demand long, active_drivers double, is_cancelled long")
+    g = supply_fill(demand_grid(d, 900)).orderBy("time_bin", "zone_rank").collect()
+    assert len(g) == 9 * 2                                      # 00:00 .. 02:00 by 15 min, 2 zones
+    assert sum(r.demand for r in g) == 4 and sum(r.is_cancelled for r in g) == 1
+    gap = [r for r in g if T(0) < r.time_bin < T(2)]
+    assert len(gap) == 14 and all(r.demand == 0 and r.active_drivers == 2.0 for r in gap)
+    assert [(r.zone_id, r.active_drivers) for r in g if r.time_bin == T(2)] == [("a", 2.0), ("b", 5.0)]
+
+
+def test_weekday_profile_single_day(spark):
+    """D5 on one day of data: all seven weekdays listed, six without a mean."""
+    from zonecast.operators.profiles import dow_profile
+    f = spark.createDataFrame([(2, 4), (2, 6)], "day_of_week int, demand long")   # Wednesday only
+    rows = {r.day_of_week: r for r in dow_profile(f).collect()}
+    assert sorted(rows) == list(range(7))
+    assert rows[2].day_name == P.DAY_NAMES[2] and rows[2].avg_demand == 5.0
+    assert all(rows[d].avg_demand is None for d in rows if d != 2)
