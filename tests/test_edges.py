@@ -212,3 +212,25 @@ def test_weekday_profile_single_day(spark):
     assert sorted(rows) == list(range(7))
     assert rows[2].day_name == P.DAY_NAMES[2] and rows[2].avg_demand == 5.0
     assert all(rows[d].avg_demand is None for d in rows if d != 2)
+
+
+def test_request_scoring_stream_equals_batch(spark):
+    """L2: a file stream of requests scores exactly as the same batch."""
+    import tempfile
+    from zonecast.operators.forecast import train
+    from zonecast.plans import context as C
+    from zonecast.streaming.demand_stream import run_to_table
+    from zonecast.streaming.request_scoring import history_lookup, score_requests
+    sf = "/root/testdata/sf0.001"
+    fc, data = train(C.features_table(spark, sf), max_iter=3)
+    lookup = history_lookup(data.where(F.col("split") == "train")).cache()
+    req = data.where(F.col("split") == "test").select(
+        F.col("time_bin").alias("request_ts"), "zone_id", "active_drivers")
+    src = tempfile.mkdtemp(prefix="score-") + "/in"
+    req.repartition(3).write.parquet(src)
+    batch = score_requests(spark.read.parquet(src), fc, lookup, C.zones(spark))
+    stream = score_requests(spark.readStream.schema(req.schema).option("maxFilesPerTrigger", 1).parquet(src),
+                            fc, lookup, C.zones(spark))
+    got = run_to_table(spark, stream, "scored")
+    assert got.count() == req.count() > 0
+    assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0

@@ -19,7 +19,6 @@ from ..functions.timefn import time_floor
 from ..operators.demand import demand_grid, supply_fill, zone_demand
 from ..operators.fleet import (action_mix, add_revenue, allocate, fleet_kpis, revenue_share,
                                top_by_demand)
-from ..functions.timefn import calendar_columns
 from ..operators.features import FEATURE_ORDER
 from ..operators.forecast import importance_table, metrics, model_card, train
 from ..operators.policy import batch_q, transitions
@@ -28,6 +27,7 @@ from ..operators.scenario import (allocation_records, baseline_forecast, scenari
 from ..operators.split import chronological_split
 from ..operators.zones import fit_kmeans, kmeans_zone_table
 from ..streaming.demand_stream import events_stream, run_to_table, zone_demand_stream
+from ..streaming.request_scoring import history_lookup, score_requests
 from ..operators.profiles import (corr_matrix, cumulative_demand, dataset_kpis, describe, describe_time,
                                   dow_profile, head_rows, histogram, hour_day, hour_day_pivot,
                                   hourly_profile, pickup_density, sample_rides, zone_hourly,
@@ -465,22 +465,14 @@ def q_model_compare(spark, sf_dir):
 
 @register("score_requests")
 def q_score_requests(spark, sf_dir):
-    """L2: requests (ts, zone, active drivers) from the test slice, scored
-    with features looked up from history: zone centroid (C3), mean lags of
-    (zone, hour, weekday) (J12), expected gap = baseline demand - drivers;
-    then the point surge (H7) of the 15-minute forecast."""
+    """L2 over a batch of requests (ts, zone, active drivers) from the test
+    slice, scored with features looked up from the training slice (see
+    ``streaming.request_scoring``; a stream of requests takes the same plan)."""
     fc, data = _forecaster(spark, sf_dir)
     req = data.where(F.col("split") == "test").select(
         F.col("time_bin").alias("request_ts"), "zone_id", "active_drivers")
-    req = req.withColumns(calendar_columns(F.col("request_ts")))
-    hist = data.where(F.col("split") == "train").groupBy("zone_id", "hour", "day_of_week").agg(
-        *[F.avg(c).alias(c) for c in ("lag_1", "lag_4", "lag_96", "rolling_mean_4")],
-        F.avg("demand").alias("__base"))
-    r = req.join(hist, ["zone_id", "hour", "day_of_week"], "left").na.fill(0.0, ["lag_1", "lag_4", "lag_96", "rolling_mean_4", "__base"])
-    r = attach_centroids(r, C.zones(spark)).withColumn("gap", F.col("__base") - F.col("active_drivers"))
-    scored = fc.predict(r)
-    return scored.select("request_ts", "zone_id", "active_drivers", "pred_15m", "pred_30m", "pred_60m",
-                         point_surge(F.col("pred_15m"), F.col("active_drivers")).alias("surge_multiplier"))
+    lookup = history_lookup(data.where(F.col("split") == "train"))
+    return score_requests(req, fc, lookup, C.zones(spark))
 
 
 # ---------------------------------------------------------------- M8 policy, streaming
