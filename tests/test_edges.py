@@ -234,3 +234,40 @@ def test_request_scoring_stream_equals_batch(spark):
     got = run_to_table(spark, stream, "scored")
     assert got.count() == req.count() > 0
     assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
+
+
+def _allocation_by_rule(preds, fleet):
+    """The allocation rule in plain Python (brute-force check of H1, H2, E8)."""
+    total, n = sum(preds), len(preds)
+    if total <= 0:
+        return [int(fleet / n)] * n
+    alloc = [round(p / total * fleet) for p in preds]          # round() is half-to-even
+    first = min(range(n), key=lambda i: (-preds[i], f"z{i:02d}"))
+    alloc[first] += fleet - sum(alloc)
+    return alloc
+
+
+def test_allocation_matches_rule_property(spark):
+    """Random groups (whole-number demand, so sums are exact in any order):
+    Spark's allocation equals the rule, and a group with demand allocates
+    exactly its fleet."""
+    from hypothesis import given, settings, strategies as st
+
+    group = st.tuples(st.lists(st.integers(0, 40), min_size=1, max_size=12), st.integers(1, 400))
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(group, min_size=1, max_size=25))
+    def check(groups):
+        rows = [(g, f"z{i:02d}", float(p), fleet)
+                for g, (preds, fleet) in enumerate(groups) for i, p in enumerate(preds)]
+        df = spark.createDataFrame(rows, "g int, zone_id string, predicted_demand double, fleet int")
+        got = {}
+        for r in allocate(df, ["g"], fleet=F.col("fleet")).collect():
+            got.setdefault(r.g, {})[r.zone_id] = r.allocated_drivers
+        for g, (preds, fleet) in enumerate(groups):
+            want = _allocation_by_rule(preds, fleet)
+            assert [got[g][f"z{i:02d}"] for i in range(len(preds))] == want
+            if sum(preds) > 0:
+                assert sum(want) == fleet
+
+    check()
