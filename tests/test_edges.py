@@ -271,3 +271,37 @@ def test_allocation_matches_rule_property(spark):
                 assert sum(want) == fleet
 
     check()
+
+
+def test_supply_fill_matches_global_ffill_property(spark):
+    """E4 + E5: the two-level fill equals a plain forward fill over the whole
+    grid in (bin, first-appearance rank) order, on random sparse demand
+    spread over several days (so the day blocks and their carries matter)."""
+    from hypothesis import given, settings, strategies as st
+
+    start = dt.datetime(2024, 1, 1)
+    rec = st.tuples(st.integers(0, 3 * 96 - 1), st.sampled_from("abcde"),
+                    st.one_of(st.none(), st.integers(1, 9)))
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(rec, min_size=1, max_size=30, unique_by=lambda r: (r[0], r[1])))
+    def check(recs):
+        rows = [(start + dt.timedelta(minutes=15 * b), z, 1, None if s is None else float(s), 0)
+                for b, z, s in recs]
+        d = spark.createDataFrame(
+            rows, "time_bin timestamp_ntz, zone_id string, demand long, active_drivers double, is_cancelled long")
+        got = {(r.time_bin, r.zone_id): r.active_drivers for r in supply_fill(demand_grid(d, 900)).collect()}
+        first = {}
+        for b, z, _ in recs:
+            first[z] = min(first.get(z, b), b)
+        zones = sorted(first, key=lambda z: (first[z], z))
+        seen = {(b, z): s for b, z, s in recs}
+        last, want = None, {}
+        for b in range(min(first.values()), max(b for b, _, _ in recs) + 1):
+            for z in zones:
+                s = seen.get((b, z))
+                last = float(s) if s is not None else last
+                want[(start + dt.timedelta(minutes=15 * b), z)] = last if last is not None else 0.0
+        assert got == want
+
+    check()
