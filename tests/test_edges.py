@@ -305,3 +305,20 @@ def test_supply_fill_matches_global_ffill_property(spark):
         assert got == want
 
     check()
+
+
+def test_feature_forms_agree_hourly(spark):
+    """The interval is a parameter: at 1 hour the shift form and the window
+    form still agree, and lag_4 is the demand four hours earlier."""
+    from zonecast.plans import context as C
+    sf = "/root/testdata/sf0.01"
+    shift = C.features(spark, sf, interval=3600, method="shift")
+    window = C.features(spark, sf, interval=3600, method="window")
+    assert shift.count() > 0
+    assert shift.exceptAll(window).count() == 0 and window.exceptAll(shift).count() == 0
+    a = shift.select("time_bin", "zone_id", "lag_4")
+    b = shift.select((F.col("time_bin") + F.expr("INTERVAL 4 HOURS")).alias("time_bin"), "zone_id",
+                     F.col("demand").alias("lag_4"))
+    assert a.join(b, ["time_bin", "zone_id", "lag_4"], "left_anti").where(
+        F.col("time_bin") >= F.lit(shift.agg(F.min("time_bin")).first()[0]) + F.expr("INTERVAL 4 HOURS")
+    ).count() == 0
