@@ -132,3 +132,17 @@ def test_row_id_is_consecutive_in_scan_order(spark):
     for f in sorted({r["__file"] for r in rows}):
         ids = [by_id[e] for e in pq.read_table(f.replace("file://", "")).column("event_id").to_pylist()]
         assert ids == list(range(ids[0], ids[0] + len(ids)))
+
+
+def test_feature_list_follows_present_columns(spark):
+    """The 15 base features, then active_drivers and gap only when the
+    table has them (and in that order)."""
+    from zonecast import params as P
+    from zonecast.operators.forecast import feature_list
+    from zonecast.plans import context as C
+    ft = C.features_table(spark, SF_SMALL)
+    assert len(P.BASE_FEATURES) == 15
+    assert feature_list(ft) == list(P.BASE_FEATURES) + ["active_drivers", "gap"]
+    assert feature_list(ft.drop("gap")) == list(P.BASE_FEATURES) + ["active_drivers"]
+    assert feature_list(ft.drop("active_drivers", "gap")) == list(P.BASE_FEATURES)
+    assert feature_list(ft, with_supply=False) == list(P.BASE_FEATURES)
