@@ -79,7 +79,7 @@ def prepare(features: DataFrame, frac: float = 0.8, val_frac: float = 0.1) -> Da
 
 def train(features: DataFrame, max_iter: int = 30, max_depth: int = 5, step_size: float = 0.05,
           seed: int = P.SEED, with_supply: bool = True, learner: str = "gbt",
-          horizons=P.HORIZONS) -> tuple[Forecaster, DataFrame]:
+          horizons=P.HORIZONS, rows_per_partition: int = 250_000) -> tuple[Forecaster, DataFrame]:
     """Fit one model per horizon on the training rows.
 
     Returns the forecaster and the prepared (split-labelled) data.
@@ -94,8 +94,13 @@ def train(features: DataFrame, max_iter: int = 30, max_depth: int = 5, step_size
     # partition): Spark's trees take split candidates from a seeded sample
     # of the partitions, so the same seed gives the same model only when
     # every row sits in the same place on every run.
-    parts = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    train_rows = (fc.assemble(data.where(F.col("split") == "train"))
+    # The partition count follows the row count (deterministic, unlike
+    # AQE's size-based coalescing), capped by the shuffle partitions.
+    train_only = data.where(F.col("split") == "train")
+    n_rows = train_only.count()
+    cap = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(cap, -(-n_rows // rows_per_partition)))
+    train_rows = (fc.assemble(train_only)
                   .repartition(parts, "zone_id", "time_bin")
                   .sortWithinPartitions("time_bin", "zone_id")
                   .persist())
