@@ -146,3 +146,18 @@ def test_feature_list_follows_present_columns(spark):
     assert feature_list(ft.drop("gap")) == list(P.BASE_FEATURES) + ["active_drivers"]
     assert feature_list(ft.drop("active_drivers", "gap")) == list(P.BASE_FEATURES)
     assert feature_list(ft, with_supply=False) == list(P.BASE_FEATURES)
+
+
+def test_metrics_equal_regression_evaluator(spark):
+    """The one-aggregate RMSE / MAE / R2 equal Spark ML's evaluator."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from zonecast.operators.forecast import metrics, train
+    from zonecast.plans import context as C
+    fc, data = train(C.features_table(spark, SF_SMALL), max_iter=3)
+    test = fc.predict(data.where(F.col("split") == "test")).cache()
+    m = {r.horizon: r for r in metrics(test).collect()}
+    for h, target in (("15m", "target_15m"), ("30m", "target_30m"), ("60m", "target_60m")):
+        df = test.select(F.col(target).cast("double").alias("y"), F.col(f"pred_{h}").alias("p"))
+        for name in ("rmse", "mae", "r2"):
+            want = RegressionEvaluator(labelCol="y", predictionCol="p", metricName=name).evaluate(df)
+            assert getattr(m[h], name) == pytest.approx(want, rel=1e-9, abs=1e-12)
