@@ -161,3 +161,17 @@ def test_metrics_equal_regression_evaluator(spark):
         for name in ("rmse", "mae", "r2"):
             want = RegressionEvaluator(labelCol="y", predictionCol="p", metricName=name).evaluate(df)
             assert getattr(m[h], name) == pytest.approx(want, rel=1e-9, abs=1e-12)
+
+
+def test_split_counts_match_the_tree_text(spark):
+    """Split counts read from the node structure equal the number of
+    'If (feature i ...' lines in the model's own tree description."""
+    import re
+    from zonecast.operators.forecast import split_counts, train
+    from zonecast.plans import context as C
+    fc, _ = train(C.features_table(spark, SF_SMALL), max_iter=3)
+    model = fc.models["15m"]
+    want = [0] * len(fc.features)
+    for i in re.findall(r"If \(feature (\d+) ", model.toDebugString):
+        want[int(i)] += 1
+    assert split_counts(model, len(fc.features)) == want and sum(want) > 0
