@@ -179,11 +179,12 @@ def importance_table(spark: SparkSession, fc: Forecaster, top: int = 15) -> Data
 
 
 def model_card(spark: SparkSession, fc: Forecaster) -> DataFrame:
-    """Trees, depth, learning rate and size per horizon."""
+    """Trees, leaves, depth, learning rate and size per horizon."""
     rows = []
     for h, model in fc.models.items():
+        leaves = sum(split_counts(model, len(fc.features))) + int(model.getNumTrees)   # binary trees
         rows.append((h, fc.params.get("learner", "gbt"), int(model.getNumTrees), int(model.totalNumNodes),
-                     int(fc.params.get("max_depth", 0)), float(fc.params.get("step_size", 0.0))))
-    schema = ("horizon string, learner string, num_trees int, total_nodes int, max_depth int, "
+                     leaves, int(fc.params.get("max_depth", 0)), float(fc.params.get("step_size", 0.0))))
+    schema = ("horizon string, learner string, num_trees int, total_nodes int, num_leaves int, max_depth int, "
               "step_size double")
     return spark.createDataFrame(rows, schema)
