@@ -167,28 +167,57 @@ def describe_time(df: DataFrame, column: str = "time_bin") -> DataFrame:
                       at_us(q_us[2]).alias("p75"), "max")
 
 
-def histogram(df: DataFrame, column: str, bins: int = 60) -> DataFrame:
-    """``bins`` equal-width bins from min to max (the last one closed),
-    all bins listed with their bounds and counts."""
-    x = F.col(column).cast("double")
-    # Two passes, as Spark's own RDD.histogram(n): one aggregate job for the
-    # bounds (two numbers to the driver), then one counting pass with the
-    # bounds as literals (scalar subqueries here were re-planned at every
-    # reference, one scan of the input each).
-    lo_v, hi_v = df.agg(F.min(x), F.max(x)).first()
-    lo, hi = F.lit(lo_v).cast("double"), F.lit(hi_v).cast("double")
-    width = (hi - lo) / F.lit(float(bins))
-    idx = F.when(width > 0, F.least(F.floor((x - lo) / width), F.lit(bins - 1))).otherwise(F.lit(0))
-    counts = (df.where(x.isNotNull()).select(idx.cast("int").alias("bin"))
-              .groupBy("bin").agg(F.count(F.lit(1)).alias("count")))
+def histograms(df: DataFrame, columns: Sequence[str], bins: int = 60) -> DataFrame:
+    """D14 for several columns in two passes over ``df`` whatever their
+    number: ``bins`` equal-width bins from min to max of each column (the
+    last one closed), all bins listed with their bounds and counts, one
+    ``axis`` value per column.
+
+    Pass 1 is one aggregate of every (min, max) (two numbers per column to
+    the driver, as Spark's own ``RDD.histogram``); pass 2 emits one
+    (axis, bin) pair per non-null value and counts them (map-side
+    combined). The bin list is a ``range`` of bins x columns, no cross join.
+    """
+    cols = list(columns)
+    xs = [F.col(c).cast("double") for c in cols]
+    row = df.agg(*[f(x) for x in xs for f in (F.min, F.max)]).first()
+    bounds = [(row[2 * i], row[2 * i + 1]) for i in range(len(cols))]
+
+    def lit(v):
+        return F.lit(v).cast("double")
+
+    pairs = []
+    for i, (x, (lo, hi)) in enumerate(zip(xs, bounds)):
+        width = (lit(hi) - lit(lo)) / F.lit(float(bins))
+        idx = F.when(width > 0, F.least(F.floor((x - lit(lo)) / width), F.lit(bins - 1))).otherwise(F.lit(0))
+        pairs.append(F.when(x.isNotNull(), F.struct(F.lit(i).alias("a"), idx.cast("int").alias("bin"))))
+    counts = (df.select(F.explode(F.array(*pairs)).alias("p")).where(F.col("p").isNotNull())
+              .groupBy(F.col("p.a").alias("a"), F.col("p.bin").alias("bin"))
+              .agg(F.count(F.lit(1)).alias("count")))
     spark = df.sparkSession
-    all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
+    every = spark.range(bins * len(cols)).select((F.col("id") / bins).cast("int").alias("a"),
+                                                 (F.col("id") % bins).cast("int").alias("bin"))
+
+    def per_axis(vals):
+        out = F.lit(None)
+        for i, v in reversed(list(enumerate(vals))):
+            out = F.when(F.col("a") == i, v).otherwise(out)
+        return out
+
+    lo_c = per_axis([lit(lo) for lo, _ in bounds])
+    width_c = per_axis([(lit(hi) - lit(lo)) / F.lit(float(bins)) for lo, hi in bounds])
     b = F.col("bin")
-    return (all_bins.join(counts, "bin", "left")
-            .select("bin", (lo + b * width).alias("bin_start"), (lo + (b + 1) * width).alias("bin_end"),
+    return (every.join(counts, ["a", "bin"], "left")
+            .select(per_axis([F.lit(c) for c in cols]).alias("axis"), "bin",
+                    (lo_c + b * width_c).alias("bin_start"), (lo_c + (b + 1) * width_c).alias("bin_end"),
                     F.coalesce(F.col("count"), F.lit(0)).alias("count")))
 
 
+def histogram(df: DataFrame, column: str, bins: int = 60) -> DataFrame:
+    """D14 for one column (see ``histograms``)."""
+    return histograms(df, [column], bins).drop("axis")
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str] = P.CORR_COLUMNS) -> DataFrame:
     """Pairwise Pearson correlation, long form (x, y, corr).
 

@@ -29,7 +29,7 @@ from ..operators.zones import fit_kmeans, kmeans_zone_table
 from ..streaming.demand_stream import events_stream, run_to_table, zone_demand_stream
 from ..streaming.request_scoring import history_lookup, score_requests
 from ..operators.profiles import (corr_matrix, cumulative_demand, dataset_kpis, describe, describe_time,
-                                  dow_profile, head_rows, histogram, hour_day, hour_day_pivot,
+                                  dow_profile, head_rows, histogram, histograms, hour_day, hour_day_pivot,
                                   hourly_profile, pickup_density, sample_rides, zone_hourly,
                                   zone_markers, zone_profile)
 from ..operators.rates import cancel_by_regime, expected_rate
@@ -306,10 +306,9 @@ def q_demand_hist(spark, sf_dir):
 
 @register("lat_hist")
 def q_lat_hist(spark, sf_dir):
-    r = C.rides(spark, sf_dir)
-    lat = _hist_out(histogram(r, "pickup_lat", 60)).withColumn("axis", F.lit("pickup_lat"))
-    lon = _hist_out(histogram(r, "pickup_long", 60)).withColumn("axis", F.lit("pickup_long"))
-    return lat.unionByName(lon)
+    # both axes in two passes over the rides (bounds, then counts)
+    h = histograms(C.rides(spark, sf_dir), ["pickup_lat", "pickup_long"], 60)
+    return h.select("bin", r6("bin_start"), r6("bin_end"), "count", "axis")
 
 
 @register("corr_matrix")
