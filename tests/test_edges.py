@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from zonecast import params as P
 from zonecast.functions.pricing import allocation_surge, point_surge, trip_price
-from zonecast.operators.demand import demand_grid, supply_fill, zone_demand
+from zonecast.operators.demand import demand_grid, supply_fill
 from zonecast.operators.features import add_features
 from zonecast.operators.fleet import add_revenue, allocate
 from zonecast.operators.zones import fixed_zones

@@ -1,6 +1,5 @@
 """Sources, sinks and persistence (A1-A8): round trips through the writers."""
 
-import os
 import tempfile
 
 import pytest
