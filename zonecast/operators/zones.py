@@ -62,7 +62,7 @@ def attach_centroids(df: DataFrame, zones: DataFrame) -> DataFrame:
 
 def fit_kmeans(rides: DataFrame, k: int = P.NUM_CLUSTERS, seed: int = P.SEED,
                n_init: int = 3, max_iter: int = 20, fold_duplicates: bool = True,
-               tol: float = 1e-4):
+               tol: float = 1e-4, rows_per_partition: int = 500_000):
     """Fit zones (J2): Spark ML K-Means on raw degrees, best of ``n_init`` seeds.
 
     Each fit is a distributed job (k-means|| init); only the k centroids
@@ -80,13 +80,19 @@ def fit_kmeans(rides: DataFrame, k: int = P.NUM_CLUSTERS, seed: int = P.SEED,
     if fold_duplicates:
         xy = xy.groupBy("pickup_lat", "pickup_long").agg(F.count(F.lit(1)).cast("double").alias("weight"))
     else:
-        parts = int(rides.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        xy = xy.repartition(parts, "pickup_lat", "pickup_long").withColumn("weight", F.lit(1.0))
-    # hash-placed by point and sorted in each partition: the seeded
-    # k-means|| sampling then sees the same layout on every run
-    xy = xy.sortWithinPartitions("pickup_lat", "pickup_long", "weight")
+        xy = xy.withColumn("weight", F.lit(1.0))
+    # A fixed layout: the seeded k-means|| sampling depends on where points
+    # sit, so the partition count follows the point count (not AQE's
+    # size-based coalescing) and each partition is sorted. The folded set is
+    # cached first, so the rides are read once.
+    xy = xy.persist()
+    n_pts = xy.count()
+    cap = int(rides.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(cap, -(-n_pts // rows_per_partition)))
+    xy_fixed = (xy.repartition(parts, "pickup_lat", "pickup_long")
+                .sortWithinPartitions("pickup_lat", "pickup_long", "weight"))
     pts = VectorAssembler(inputCols=["pickup_lat", "pickup_long"], outputCol="features") \
-        .transform(xy).select("features", "weight")
+        .transform(xy_fixed).select("features", "weight")
     pts = pts.persist()
 
     def fit(i):
@@ -96,10 +102,12 @@ def fit_kmeans(rides: DataFrame, k: int = P.NUM_CLUSTERS, seed: int = P.SEED,
 
     try:
         pts.count()
+        xy.unpersist()
         with ThreadPoolExecutor(max_workers=n_init) as pool:   # independent restarts, side by side
             fits = list(pool.map(fit, range(n_init)))
     finally:
         pts.unpersist()
+        xy.unpersist()
     best = min(fits, key=lambda mc: mc[1])
     return best[0], best[1]
 
