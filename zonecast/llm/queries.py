@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from zonecast.llm import bpe_codec, token_counts
+from zonecast.llm import bpe_codec, quality_rules, secret_scan, source_mix, token_counts, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +25,58 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(secret_scan.find(table(spark, sf_dir, "documents")))
+
+
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of each document under the default mix, with its place in the order."""
+    return source_mix.plan(table(spark, sf_dir, "documents")).select(
+        F.col("__id").alias("doc_id"), F.when(F.col("__source") != "", F.substr("__source", F.lit(2))).alias("source"),
+        F.col("__tokens").alias("n_tokens"), F.col("copies").alias("n_copies"), F.col("__place").alias("place"))
+
+
+def remainder(of: str | Column, by: int) -> Column:
+    """crc32 of an id as text, modulo ``by``."""
+    return F.crc32(F.col(of).cast("string").cast("binary")) % by
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rules = quality_rules.train(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
+    return quality_rules.score(docs.select("doc_id", "text"), rules).select(
+        "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe_codec": op3_bpe_codec,
     "op5_token_counts": op5_token_counts,
+    "op6_winnowing": op6_winnowing,
+    "op7_secret_scan": op7_secret_scan,
+    "op9_source_mix": op9_source_mix,
+    "op10_quality_rules": op10_quality_rules,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op9_source_mix": r"""
+with d as (
+  select source, doc_id, sum(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0))::bigint as n,
+         md5('mix:' || coalesce(doc_id::varchar, 'null')) as place
+  from documents group by source, doc_id),
+s as (select source, sum(n)::double as t from d group by source),
+x as (select case when max(t) > min(t) then greatest(0, 1 - ln(2) / (ln(max(t)) - ln(min(t)))) else 0 end as a
+      from s where t > 0),
+w as (select source, t, pow(t, a) / t as r from s, x where t > 0),
+e as (select source, t, round(r / (select min(r) from w), 6) as epochs from w
+      union all select source, t, 1.0 from s where t = 0),
+p as (select d.*, e.epochs, (e.epochs - floor(e.epochs)) * e.t as budget,
+             sum(n) over (partition by d.source order by place, doc_id rows unbounded preceding) as upto
+      from d join e on d.source is not distinct from e.source)
+select doc_id, source, n as n_tokens,
+       (floor(epochs) + case when upto <= budget and n > 0 then 1 else 0 end)::bigint as n_copies, place
+from p""",
+}
