@@ -8,19 +8,30 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe_codec, quality_rules, secret_scan, source_mix, token_counts, winnowing
+from zonecast.llm import bpe_codec, lm_score, quality_rules, secret_scan, source_mix, token_counts, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def remainder(of: str | Column, by: int) -> Column:
+    """crc32 of an id as text, modulo ``by``."""
+    return F.crc32(F.col(of).cast("string").cast("binary")) % by
+
+
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe_codec.digest(bpe_codec.encode(docs, path, public_tokenizers.PATTERN))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.coalesce(remainder("doc_id", 7) == 2, F.lit(False)).alias("held_out"))
+    return lm_score.score(docs, lm_score.fit(docs.where("not held_out").select("text")))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -40,11 +51,6 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("__tokens").alias("n_tokens"), F.col("copies").alias("n_copies"), F.col("__place").alias("place"))
 
 
-def remainder(of: str | Column, by: int) -> Column:
-    """crc32 of an id as text, modulo ``by``."""
-    return F.crc32(F.col(of).cast("string").cast("binary")) % by
-
-
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality_rules.train(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
@@ -54,6 +60,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe_codec": op3_bpe_codec,
+    "op4_lm_score": op4_lm_score,
     "op5_token_counts": op5_token_counts,
     "op6_winnowing": op6_winnowing,
     "op7_secret_scan": op7_secret_scan,
