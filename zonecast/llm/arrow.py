@@ -6,10 +6,13 @@ the memory of a task follows the block size and its longest row, not the table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 U64 = np.uint64
 #: Bytes of text that the numpy kernels hold at once.
@@ -19,6 +22,23 @@ _INV = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def reach(spark: SparkSession) -> None:
+    """Puts this package's folder on the Python path of tasks, so that a local
+    session finds it wherever the driver was started; a cluster gets the package
+    with ``--py-files`` or on its machines."""
+    env, top = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if top not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, top])
+
+
+def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                schema: str) -> DataFrame:
+    """``mapInArrow`` with this package within reach of the tasks."""
+    reach(df.sparkSession)
+    return df.mapInArrow(work, schema)
+
+
 def mix(z: np.ndarray) -> np.ndarray:
     """64-bit finaliser: every input bit reaches every output bit."""
     z = z.astype(U64, copy=True)

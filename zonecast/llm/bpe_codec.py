@@ -30,7 +30,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.arrow import list_array
+from zonecast.llm.arrow import list_array, map_batches
 
 #: Code points with the White_Space property.
 _WS = "\t-\r \x85\xa0  -     　"
@@ -227,9 +227,8 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
                 ], names=["id", "ids", "decoded"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(work, f"id {kind}, ids array<int>, decoded binary")
-            .withColumnRenamed("id", id_col))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return map_batches(texts, work, f"id {kind}, ids array<int>, decoded binary").withColumnRenamed("id", id_col)
 
 
 def digest(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.arrow import U64, blocks, mix, words
+from zonecast.llm.arrow import U64, blocks, map_batches, mix, words
 from zonecast.session import materialize
 
 CLASSES, SIZE, NOISE, STEPS = 768, 24, 16, 160
@@ -74,7 +74,7 @@ def _counted(texts: DataFrame, keys) -> DataFrame:
         if kept:
             yield _combined(kept)
 
-    return texts.mapInArrow(work, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    return map_batches(texts, work, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
 class Model:
@@ -231,8 +231,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     named = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"),
                         *(F.col(c).alias(f"k{i}") for i, c in enumerate(kept)))
     kinds = "".join(f", k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(kept))
-    found = materialize(named.mapInArrow(
-        lambda batches: _scored(from_parts(shared.value), batches),
+    found = materialize(map_batches(
+        named, lambda batches: _scored(from_parts(shared.value), batches),
         "row long, h long, n long, known long, logs double, model double, other long" + kinds), "op4-scored")
     rare = (found.where("h is not null").select("row", "h", "n")
             .join(model.counts, "h", "left")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe_codec, lm_score, quality_rules, secret_scan, source_mix, token_counts, winnowing
+from zonecast.llm import bpe_codec, jaccard_join, lm_score, quality_rules, secret_scan, source_mix, token_counts, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def remainder(of: str | Column, by: int) -> Column:
     return F.crc32(F.col(of).cast("string").cast("binary")) % by
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -59,6 +63,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_bpe_codec": op3_bpe_codec,
     "op4_lm_score": op4_lm_score,
     "op5_token_counts": op5_token_counts,

@@ -28,6 +28,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonecast.llm.arrow import map_batches
 from zonecast.llm.bpe_codec import _WS
 
 _CHUNK = re.compile(rf"[^{_WS}]+")
@@ -168,7 +169,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "d
 
     kind = docs.schema[id_col].dataType.simpleString()
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes")
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), size)
-            .mapInArrow(work, f"id {kind}, n_bytes long, n_tokens long")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), size)
+    return (map_batches(texts, work, f"id {kind}, n_bytes long, n_tokens long")
             .withColumn("over_limit", F.col("n_tokens") > limit)
             .withColumnRenamed("id", id_col))
