@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe_codec, jaccard_join, lm_score, quality_rules, secret_scan, source_mix, token_counts, winnowing
+from zonecast.llm import bpe_codec, jaccard_join, lm_score, quality_rules, secret_scan, source_mix, suffix_dedup, token_counts, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,12 @@ def remainder(of: str | Column, by: int) -> Column:
     return F.crc32(F.col(of).cast("string").cast("binary")) % by
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=90)
 
@@ -63,6 +69,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_bpe_codec": op3_bpe_codec,
     "op4_lm_score": op4_lm_score,
