@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe_codec, jaccard_join, lm_score, quality_rules, secret_scan, source_mix, suffix_dedup, token_counts, winnowing
+from zonecast.llm import bpe_codec, jaccard_join, lm_score, multi_index, quality_rules, secret_scan, source_mix, suffix_dedup, token_counts, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.find(table(spark, sf_dir, "documents")))
 
 
+def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of each document under the default mix, with its place in the order."""
     return source_mix.plan(table(spark, sf_dir, "documents")).select(
@@ -76,11 +80,44 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op6_winnowing": op6_winnowing,
     "op7_secret_scan": op7_secret_scan,
+    "op8_multi_index": op8_multi_index,
     "op9_source_mix": op9_source_mix,
     "op10_quality_rules": op10_quality_rules,
 }
 
 SQL: dict[str, str] = {
+    "op2_jaccard_join": r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as w
+  from documents),
+s as (
+  select distinct doc_id, unnest(case when len(w) >= 3
+           then list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+           when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as g
+  from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+both as (select x.doc_id as a, y.doc_id as b, count(*) as c
+         from s x join s y on x.g = y.g and x.doc_id <> y.doc_id group by 1, 2),
+l as (select a, b from both join n p on p.doc_id = a join n q on q.doc_id = b
+      where 100 * c >= 90 * (p.n + q.n - c)),
+r as (select doc_id, doc_id as c from documents union select r.doc_id, l.b from r join l on r.c = l.a)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, r.c as component_id
+from documents d left join n using (doc_id)
+join (select doc_id, min(c) as c from r group by doc_id) r using (doc_id)""",
+    "op8_multi_index": """
+with recursive v as (
+  select vec_id, label, embedding::double[] as e from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l as (select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id
+      where len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.93),
+r as (select vec_id, vec_id as c from embeddings union select r.vec_id, l.b from r join l on r.c = l.a),
+n as (select a, count(*) as n from l group by a)
+select e.vec_id, coalesce(n.n, 0)::bigint as n_links, r.c as component_id, e.vec_id = r.c as kept
+from embeddings e left join n on n.a = e.vec_id
+join (select vec_id, min(c) as c from r group by vec_id) r on r.vec_id = e.vec_id""",
     "op9_source_mix": r"""
 with d as (
   select source, doc_id, sum(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0))::bigint as n,
