@@ -31,7 +31,8 @@ from zonecast.session import materialize
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rules = quality_rules.train(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
-    return quality_rules.score(docs, rules).where("predicted = 1").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), "text")
+    return quality_rules.score(rows, rules).where("predicted = 1").select("__row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,6 +37,8 @@ _WS = "\t-\r \x85\xa0  -     　"
 _UNIT = re.compile(rf" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 #: Units and token pairs that a worker remembers at once.
 KEEP = 400_000
+#: Texts that a task encodes at once.
+ROWS = 1024
 _codecs: dict[tuple[str, str], Codec] = {}
 
 
@@ -216,8 +218,8 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):  # a bounded number of texts at once
-                part = batch.slice(lo, 512)
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
                 raw = [np.frombuffer(x, dtype=np.int32) for x in c.encode(part.column(1).to_pylist())]
                 flat = np.concatenate(raw)
                 yield pa.RecordBatch.from_arrays([

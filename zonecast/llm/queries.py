@@ -97,9 +97,9 @@ s as (
            when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as g
   from w),
 n as (select doc_id, count(*) as n from s group by doc_id),
-both as (select x.doc_id as a, y.doc_id as b, count(*) as c
+pairs as (select x.doc_id as a, y.doc_id as b, count(*) as c
          from s x join s y on x.g = y.g and x.doc_id <> y.doc_id group by 1, 2),
-l as (select a, b from both join n p on p.doc_id = a join n q on q.doc_id = b
+l as (select a, b from pairs join n p on p.doc_id = a join n q on q.doc_id = b
       where 100 * c >= 90 * (p.n + q.n - c)),
 r as (select doc_id, doc_id as c from documents union select r.doc_id, l.b from r join l on r.c = l.a)
 select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, r.c as component_id

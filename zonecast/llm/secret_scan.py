@@ -236,13 +236,16 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> D
     """The documents with every span replaced by ``mark`` (overlapping spans
     by one). The texts are scanned where they are, once for the counts and once
     for the replacement; nothing is shuffled."""
-    least = thresholds(scan(docs.select(text_col), text_col))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    df = scan(docs, text_col).withColumn("__spans", spans(least))
+    least = thresholds(scan(docs.select(F.col(text_col).alias("__text")), "__text"))
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), F.col(text_col).alias("__text"))
+    df = scan(rows, "__text").withColumn("__spans", spans(least))
+    text = F.coalesce(F.col("__text"), F.lit(""))
     done = F.aggregate(
         "__spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
         lambda a, x: F.when(x["end"] <= a["at"], a).when(x["start"] < a["at"], F.struct(a["out"].alias("out"), x["end"].alias("at")))
         .otherwise(F.struct(F.concat(a["out"], F.substring(text, a["at"] + 1, x["start"] - a["at"]), F.lit(mark)).alias("out"),
                             x["end"].alias("at"))),
         lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    return df.withColumn(text_col, F.when(F.size("__spans") > 0, done).otherwise(F.col(text_col))).drop("__base", "__runs", "__spans")
+    clean = F.when(F.size("__spans") > 0, done).otherwise(F.col("__text"))
+    return df.withColumn("__clean", clean).select(
+        *(F.col("__clean").alias(c) if c == text_col else F.col("__row")[c].alias(c) for c in docs.columns))

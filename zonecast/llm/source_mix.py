@@ -121,8 +121,8 @@ def plan(docs: DataFrame, repeat: float = REPEAT, entropy: float | None = None,
 def apply(docs: DataFrame, repeat: float = REPEAT, entropy: float | None = None, id_col: str = "doc_id",
           source_col: str = "source", text_col: str = "text") -> DataFrame:
     """The documents, each as often as the mix takes it."""
-    picks = plan(docs, repeat, entropy, id_col, source_col, text_col).select("__source", "__id", "copies")
-    left = docs.withColumn("__key", _key(F.col(source_col)))
-    both = left.join(picks, F.col("__key").eqNullSafe(F.col("__source")) & left[id_col].eqNullSafe(F.col("__id")))
-    return (both.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.greatest("copies", F.lit(1)))))
-            .where("copies >= 1").select(*docs.columns))
+    picks = plan(docs, repeat, entropy, id_col, source_col, text_col).select("__source", "__id", F.col("copies").alias("__copies"))
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), _key(F.col(source_col)).alias("__key"), F.col(id_col).alias("__doc"))
+    both = rows.join(picks, (F.col("__key") == F.col("__source")) & F.col("__doc").eqNullSafe(F.col("__id")))
+    return (both.where("__copies >= 1").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+            .select("__row.*"))
