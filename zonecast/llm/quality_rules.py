@@ -126,13 +126,17 @@ def fit(x: np.ndarray, y: np.ndarray) -> Rules:
         z += RATE * value
         found.update(dict.fromkeys(tuple(sorted(set(q))) for q in paths))
     rules = list(found)
-    hold = np.stack([np.all([(x[:, f] <= b) == below for f, below, b in r], axis=0) for r in rules], axis=1).astype(np.float64)
+    hold = np.zeros((len(y), len(rules)))
+    for i, r in enumerate(rules):
+        hold[:, i] = np.all([(x[:, f] <= b) == below for f, below, b in r], axis=0)
     keep = (hold.mean(0) > 0.002) & (hold.mean(0) < 0.998)
     hold, rules = hold[:, keep], [r for r, k in zip(rules, keep, strict=True) if k]
+    if not rules:  # too few rows to split
+        return Rules(math.log(share / (1 - share)), [])
     mean, sd = hold.mean(0), hold.std(0)
     a = (hold - mean) / sd
     w, v, bias, t = np.zeros(a.shape[1]), np.zeros(a.shape[1]), math.log(share / (1 - share)), 1.0
-    size = 4 * len(y) / np.linalg.norm(a, 2) ** 2 if a.shape[1] else 1.0
+    size = 4 * len(y) / np.linalg.norm(a, 2) ** 2
     for _ in range(ROUNDS):  # accelerated proximal gradient steps
         p = 1 / (1 + np.exp(-(a @ v + bias)))
         bias -= 2 * (p - y).mean()
