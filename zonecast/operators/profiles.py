@@ -243,29 +243,16 @@ def head_rows(df: DataFrame, order_cols: Sequence[str], n: int = 200) -> DataFra
     return df.orderBy(*order_cols).limit(n)
 
 
-# Sample-order permutations: multiplicative hashes modulo two primes below
-# 2^31 (fixed values; every product stays below 2^63 in any engine).
-SAMPLE_PRIME_1 = 2147483647
-SAMPLE_MULT_1 = 950706376
-SAMPLE_PRIME_2 = 2147483629
-SAMPLE_MULT_2 = 742938285
-
-
 def sample_rides(rides: DataFrame, n: int = 1000, seed: int = P.SEED) -> DataFrame:
     """exactly min(n, rows) rides without replacement, seeded.
 
-    Rides are ordered by two seeded multiplicative hashes of ride_id (each a
-    permutation of the residues modulo a prime near 2^31) and the first n
-    kept: a top-k (n rows per task, then a merge), no global sort. The pair
-    of residues is distinct for every ride_id below ~4.6e18 (Chinese
-    remainder theorem), so no ties decide the sample however many rides
-    there are. Same seed, same sample, on any engine.
+    Rides are ordered by the MD5 digest of the seed and ride_id and the first
+    n kept: a top-k (n rows per task, then a merge), no global sort. Same
+    seed, same sample, on any engine; rides that share an id are ordered by
+    their time and place.
     """
-    x = F.col("ride_id") + F.lit(seed)
-    k1 = (x % SAMPLE_PRIME_1) * F.lit(SAMPLE_MULT_1) % SAMPLE_PRIME_1
-    k2 = (x % SAMPLE_PRIME_2) * F.lit(SAMPLE_MULT_2) % SAMPLE_PRIME_2
-    return (rides.withColumns({"sample_key": k1, "sample_tie": k2})
-            .orderBy("sample_key", "sample_tie").limit(n))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.col("ride_id").cast("string")).cast("binary"))
+    return rides.withColumn("sample_key", key).orderBy("sample_key", "ride_ts", "pickup_lat", "pickup_long").limit(n)
 
 
 def pickup_density(rides: DataFrame, cell: float = 0.001) -> DataFrame:

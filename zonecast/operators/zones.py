@@ -52,16 +52,15 @@ def assign_zone(rides: DataFrame, zones: DataFrame | Centroids,
 
 
 def attach_centroids(df: DataFrame, zones: DataFrame) -> DataFrame:
-    """Centroid lookup (C3): broadcast join on zone_id.
-
-    The zone table is model output of k rows (checked by
-    ``zone_centroids`` wherever it is built), so broadcasting it is safe.
+    """Centroid lookup (C3): a left join on zone_id, so a row whose zone is
+    unknown stays, without a centroid. Spark broadcasts the zone table (model
+    output of k rows) when its size allows.
     """
-    return df.join(F.broadcast(zones.select("zone_id", "zone_lat", "zone_lon")), "zone_id")
+    return df.join(zones.select("zone_id", "zone_lat", "zone_lon"), "zone_id", "left")
 
 
 def fit_kmeans(rides: DataFrame, k: int = P.NUM_CLUSTERS, seed: int = P.SEED,
-               n_init: int = 3, max_iter: int = 20, fold_duplicates: bool = True,
+               n_init: int = 10, max_iter: int = 300, fold_duplicates: bool = True,
                tol: float = 1e-4, rows_per_partition: int = 500_000):
     """Fit zones (J2): Spark ML K-Means on raw degrees, best of ``n_init`` seeds.
 
@@ -87,8 +86,7 @@ def fit_kmeans(rides: DataFrame, k: int = P.NUM_CLUSTERS, seed: int = P.SEED,
     # cached first, so the rides are read once.
     xy = xy.persist()
     n_pts = xy.count()
-    cap = int(rides.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, min(cap, -(-n_pts // rows_per_partition)))
+    parts = max(1, -(-n_pts // rows_per_partition))
     xy_fixed = (xy.repartition(parts, "pickup_lat", "pickup_long")
                 .sortWithinPartitions("pickup_lat", "pickup_long", "weight"))
     pts = VectorAssembler(inputCols=["pickup_lat", "pickup_long"], outputCol="features") \

@@ -143,6 +143,53 @@ def _sim_bin_alloc(spark, sf_dir):
     return a.where(F.col("time_bin") == sim_bin)
 
 
+DAY_SECONDS = 86400
+DAILY_FLEETS = (60, 150)
+
+
+def _daily_alloc(spark, sf_dir):
+    """Whole days as bins and their demand as the prediction, under two fleets:
+    demand well above the fleet, so every surge, band and action occurs."""
+    rides = assign_zone(C.rides(spark, sf_dir), C.centroids())
+    grid = demand_grid(materialize(zone_demand(rides, DAY_SECONDS), "daily-demand"), DAY_SECONDS)
+    d = grid.select("time_bin", "zone_id", F.col("demand").cast("double").alias("predicted_demand"),
+                    F.explode(F.array(*[F.lit(n) for n in DAILY_FLEETS])).alias("fleet"))
+    return add_revenue(allocate(d, ["fleet", "time_bin"], fleet=F.col("fleet")))
+
+
+@register("alloc_daily")
+def q_alloc_daily(spark, sf_dir):
+    a = _daily_alloc(spark, sf_dir)
+    return a.select("fleet", *ALLOC_OUT[:5], "optimal_supply", "gap", r6("dsr"), r6("surge_multiplier"), "action")
+
+
+@register("revenue_daily")
+def q_revenue_daily(spark, sf_dir):
+    a = _daily_alloc(spark, sf_dir)
+    return a.select("fleet", "time_bin", "zone_id", r6("conversion_rate"), r6("effective_demand"),
+                    r6("fulfilled_rides"), r6("revenue"))
+
+
+@register("surge_bands_daily")
+def q_surge_bands_daily(spark, sf_dir):
+    a = _daily_alloc(spark, sf_dir)
+    return a.select("fleet", "time_bin", "zone_id", surge_band(F.col("surge_multiplier")).alias("surge_band"),
+                    gap_sign(F.col("gap")).alias("gap_sign"))
+
+
+@register("kpis_daily")
+def q_kpis_daily(spark, sf_dir):
+    return fleet_kpis(_daily_alloc(spark, sf_dir), ["fleet", "time_bin"])
+
+
+@register("policy_states_daily")
+def q_policy_states_daily(spark, sf_dir):
+    a = _daily_alloc(spark, sf_dir).where(F.col("fleet") == DAILY_FLEETS[0])
+    t = transitions(a, DAY_SECONDS)
+    return t.select("gap_level", "time_of_day", "action", "next_gap_level", "next_time_of_day",
+                    "transitions", r6("reward_sum"))
+
+
 @register("alloc_at_bin")
 def q_alloc_at_bin(spark, sf_dir):
     return _alloc_cols(_sim_bin_alloc(spark, sf_dir))
@@ -216,15 +263,16 @@ def q_trip_price(spark, sf_dir):
     dlat = (F.col("pickup_lat") - F.col("zone_lat")) * F.lit(KM_PER_DEG_LAT)
     dlon = (F.col("pickup_long") - F.col("zone_lon")) * F.lit(KM_PER_DEG_LON)
     km = F.sqrt(dlat * dlat + dlon * dlon)
-    ft = C.features_table(spark, sf_dir)
-    f = ft.select("time_bin", "zone_id", point_surge(F.col("demand"), F.col("active_drivers")).alias("surge"))
-    # one surge row per (bin, zone): broadcast it when its checked size allows
-    # (a written table: the count reads parquet footers), else a shuffle join
-    # that AQE splits if one (bin, zone) holds many of the rides
-    if ft.count() <= MAX_BROADCAST_ROWS:
+    # the filled grid has every (bin, zone) a ride can fall in, so every ride gets
+    # its price; one surge row per (bin, zone): broadcast it when its checked size
+    # allows (a written table: the count reads parquet footers), else a shuffle
+    # join that AQE splits if one (bin, zone) holds many of the rides
+    grid = materialize(supply_fill(demand_grid(_demand_table(spark, sf_dir), P.INTERVAL_SECONDS)), "surge-grid")
+    f = grid.select("time_bin", "zone_id", point_surge(F.col("demand"), F.col("active_drivers")).alias("surge"))
+    if grid.count() <= MAX_BROADCAST_ROWS:
         f = F.broadcast(f)
     q = rides.withColumn("distance_km", km).withColumn("duration_min", F.col("distance_km") * F.lit(60.0 / SPEED_KMH))
-    q = q.join(f, ["time_bin", "zone_id"])
+    q = q.join(f, ["time_bin", "zone_id"], "left")
     return q.select("ride_id", "time_bin", "zone_id", r6("distance_km"), r6("duration_min"), "surge",
                     trip_price(F.col("distance_km"), F.col("duration_min"), F.col("surge")).alias("price"))
 
@@ -326,8 +374,7 @@ def q_head_rows(spark, sf_dir):
 
 @register("ride_sample")
 def q_ride_sample(spark, sf_dir):
-    return sample_rides(C.rides(spark, sf_dir), 1000).select("ride_id", "sample_key", "sample_tie",
-                                                             "pickup_lat", "pickup_long")
+    return sample_rides(C.rides(spark, sf_dir), 1000).select("ride_id", "sample_key", "pickup_lat", "pickup_long")
 
 
 # ---------------------------------------------------------------- M5 spatial, rates
@@ -418,7 +465,7 @@ RF_TREES = 20
 
 @register("kmeans_zones")
 def q_kmeans_zones(spark, sf_dir):
-    model, cost = fit_kmeans(C.rides(spark, sf_dir), k=P.NUM_CLUSTERS, n_init=2, max_iter=20)
+    model, cost = fit_kmeans(C.rides(spark, sf_dir), k=P.NUM_CLUSTERS)
     return kmeans_zone_table(spark, model, cost)
 
 

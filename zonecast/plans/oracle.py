@@ -168,6 +168,42 @@ def over_alloc(select_sql: str, *extra: str) -> str:
 
 
 SQL["alloc"] = over_alloc(ALLOC_SELECT)
+# Whole days as bins, two fleets: demand far above the fleet.
+DAILY = ("""dd AS (SELECT CAST(date_trunc('day', ride_ts) AS TIMESTAMP) AS time_bin, zone_id, count(ride_id) AS demand
+  FROM assigned GROUP BY ALL)""", """dgrid AS (
+  SELECT b.time_bin, z.zone_id, f.fleet, CAST(coalesce(d.demand, 0) AS DOUBLE) AS predicted_demand
+  FROM (SELECT unnest(generate_series((SELECT min(time_bin) FROM dd), (SELECT max(time_bin) FROM dd), INTERVAL 1 DAY)) AS time_bin) b
+  CROSS JOIN (SELECT DISTINCT zone_id FROM dd) z CROSS JOIN (VALUES (60), (150)) f(fleet)
+  LEFT JOIN dd d ON d.time_bin = b.time_bin AND d.zone_id = z.zone_id)""",
+         alloc_ctes("dgrid", "fleet, time_bin", fleet="fleet"))
+
+
+def over_daily(select_sql: str) -> str:
+    return with_ctes(ZONES, RIDES, ASSIGNED, *DAILY) + select_sql
+
+
+SQL["alloc_daily"] = over_daily("""SELECT fleet, time_bin, zone_id, predicted_demand, prob, allocated_drivers,
+  optimal_supply, gap, round(dsr, 6) + 0.0 AS dsr, round(surge_multiplier, 6) + 0.0 AS surge_multiplier, action FROM rv""")
+SQL["revenue_daily"] = over_daily("""SELECT fleet, time_bin, zone_id, round(conversion_rate, 6) + 0.0 AS conversion_rate,
+  round(effective_demand, 6) + 0.0 AS effective_demand, round(fulfilled_rides, 6) + 0.0 AS fulfilled_rides,
+  round(revenue, 6) + 0.0 AS revenue FROM rv""")
+SQL["surge_bands_daily"] = over_daily("""SELECT fleet, time_bin, zone_id,
+  CASE WHEN surge_multiplier <= 1.1 THEN 'low' WHEN surge_multiplier <= 1.5 THEN 'mid' ELSE 'high' END AS surge_band,
+  CASE WHEN gap > 0 THEN 'shortage' ELSE 'surplus' END AS gap_sign FROM rv""")
+SQL["kpis_daily"] = over_daily("""SELECT fleet, time_bin, round(sum(revenue), 2) AS total_revenue,
+  round(CASE WHEN sum(predicted_demand) <> 0 THEN sum(fulfilled_rides) / sum(predicted_demand) END * 100, 1)
+    AS service_level,
+  round(avg(surge_multiplier), 2) AS avg_surge, sum(predicted_demand) AS total_demand,
+  count(*) AS zones, count_if(gap > 5) AS shortage_zones,
+  CAST(sum(allocated_drivers) AS BIGINT) AS allocated_total FROM rv GROUP BY fleet, time_bin""")
+SQL["policy_states_daily"] = over_daily(""", st AS (
+  SELECT time_bin, zone_id, action, revenue,
+    CASE WHEN gap > 5 THEN 'Shortage' WHEN gap < -3 THEN 'Surplus' ELSE 'Balanced' END AS gap_level
+  FROM rv WHERE fleet = 60)
+SELECT a.gap_level, 'Night' AS time_of_day, a.action, b.gap_level AS next_gap_level, 'Night' AS next_time_of_day,
+  count(*) AS transitions, round(sum(a.revenue), 6) + 0.0 AS reward_sum
+FROM st a JOIN st b ON b.zone_id = a.zone_id AND b.time_bin = a.time_bin + INTERVAL 1 DAY
+GROUP BY ALL""")
 SQL["alloc_at_bin"] = over_alloc(ALLOC_SELECT + " WHERE time_bin = (SELECT time_bin FROM simbin)", SIM_BIN)
 SQL["alloc_matrix"] = over_alloc(
     """SELECT zone_id AS Zone, predicted_demand AS Demand, allocated_drivers AS Drivers, gap AS Gap,
@@ -216,11 +252,11 @@ SQL["trip_price"] = with_ctes(*BASE) + f""", q AS (
     sqrt(((a.pickup_lat - z.zone_lat) * CAST(111.32 AS DOUBLE)) * ((a.pickup_lat - z.zone_lat) * CAST(111.32 AS DOUBLE))
        + ((a.pickup_long - z.zone_lon) * CAST(88.0 AS DOUBLE)) * ((a.pickup_long - z.zone_lon) * CAST(88.0 AS DOUBLE))) AS distance_km
   FROM assigned a JOIN zones z USING (zone_id)),
-s AS (SELECT time_bin, zone_id, {POINT_SURGE} AS surge FROM feat)
+s AS (SELECT time_bin, zone_id, {POINT_SURGE} AS surge FROM filled)
 SELECT q.ride_id, q.time_bin, q.zone_id, round(distance_km, 6) + 0.0 AS distance_km,
   round(distance_km * CAST(2.0 AS DOUBLE), 6) + 0.0 AS duration_min, s.surge,
   round((CAST(5.0 AS DOUBLE) + distance_km * CAST(1.5 AS DOUBLE) + (distance_km * CAST(2.0 AS DOUBLE)) * CAST(0.25 AS DOUBLE)) * s.surge, 2) AS price
-FROM q JOIN s USING (time_bin, zone_id)"""
+FROM q LEFT JOIN s USING (time_bin, zone_id)"""
 
 
 # ---------------------------------------------------------------- M4 summaries
@@ -336,10 +372,8 @@ SQL["corr_matrix"] = over_features(_corr_sql())
 
 SQL["head_rows"] = over_features(FEATURE_SELECT + " ORDER BY zone_id, time_bin LIMIT 200")
 
-SQL["ride_sample"] = with_ctes(RIDES) + """SELECT ride_id,
-  ((ride_id + 42) % 2147483647) * 950706376 % 2147483647 AS sample_key,
-  ((ride_id + 42) % 2147483629) * 742938285 % 2147483629 AS sample_tie,
-  pickup_lat, pickup_long FROM rides ORDER BY sample_key, sample_tie LIMIT 1000"""
+SQL["ride_sample"] = with_ctes(RIDES) + """SELECT ride_id, md5('42:' || CAST(ride_id AS VARCHAR)) AS sample_key,
+  pickup_lat, pickup_long FROM rides ORDER BY sample_key LIMIT 1000"""
 
 
 # ---------------------------------------------------------------- M5 spatial, rates

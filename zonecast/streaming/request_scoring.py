@@ -8,7 +8,8 @@ horizon models then score it (J6) and the point surge (H7) of the
 15-minute forecast is attached.
 
 The history lookup has at most zones x 24 x 7 rows and the zone table k
-rows, so both joins broadcast them (a stream-static join for a stream);
+rows; Spark broadcasts either when its size allows (a stream-static join for
+a stream);
 scoring itself is a per-row projection, no shuffle and no state.
 """
 
@@ -32,12 +33,18 @@ def history_lookup(history: DataFrame) -> DataFrame:
 
 
 def score_requests(requests: DataFrame, forecaster, lookup: DataFrame, zones: DataFrame) -> DataFrame:
-    """L2: requests -> pred_15m / pred_30m / pred_60m and surge_multiplier."""
+    """L2: requests -> pred_15m / pred_30m / pred_60m and surge_multiplier. A
+    request for a zone that the zone table lacks is answered too: without
+    forecasts, with ``known_zone`` false."""
     req = requests.select("request_ts", "zone_id", "active_drivers")
     req = req.withColumns(calendar_columns(F.col("request_ts")))
-    r = (req.join(F.broadcast(lookup), list(LOOKUP_KEYS), "left")
+    r = (req.join(lookup, list(LOOKUP_KEYS), "left")
          .na.fill(0.0, [*LAG_COLUMNS, "__base"]))
     r = attach_centroids(r, zones).withColumn("gap", F.col("__base") - F.col("active_drivers"))
+    r = r.withColumn("known_zone", F.col("zone_lat").isNotNull()).na.fill(0.0, ["zone_lat", "zone_lon"])
     scored = forecaster.predict(r)
-    return scored.select("request_ts", "zone_id", "active_drivers", "pred_15m", "pred_30m", "pred_60m",
-                         point_surge(F.col("pred_15m"), F.col("active_drivers")).alias("surge_multiplier"))
+    only = lambda c: F.when(F.col("known_zone"), c)
+    return scored.select("request_ts", "zone_id", "active_drivers",
+                         *[only(F.col(c)).alias(c) for c in ("pred_15m", "pred_30m", "pred_60m")],
+                         only(point_surge(F.col("pred_15m"), F.col("active_drivers"))).alias("surge_multiplier"),
+                         "known_zone")
