@@ -322,3 +322,56 @@ def test_feature_forms_agree_hourly(spark):
     assert a.join(b, ["time_bin", "zone_id", "lag_4"], "left_anti").where(
         F.col("time_bin") >= F.lit(shift.agg(F.min("time_bin")).first()[0]) + F.expr("INTERVAL 4 HOURS")
     ).count() == 0
+
+
+def test_stream_of_part_files_in_mixed_order_equals_batch(spark, tmp_path):
+    from zonecast.plans import context as C
+    from zonecast.plans.catalog import _demand
+    from zonecast.streaming.demand_stream import events_stream, run_to_table, zone_demand_stream
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    stream = zone_demand_stream(events_stream(spark, str(tmp_path), 1), C.centroids(), delay=None)
+    path = f"{tmp_path}/job"
+    got = run_to_table(spark, stream, keys=("time_bin", "zone_id"), path=path)
+    want = _demand(spark, str(tmp_path))
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    again = run_to_table(spark, stream, keys=("time_bin", "zone_id"), path=path)  # resumes: nothing new
+    assert again.count() == want.count()
+
+
+def test_every_ride_is_priced(spark):
+    from zonecast.plans.catalog import QUERIES
+    priced, rides = (QUERIES[q](spark, "/root/testdata/sf0.001") for q in ("trip_price", "rides_scan"))
+    assert priced.count() == rides.count() == priced.where("price is not null").count()
+
+
+def test_daily_queries_reach_every_branch(spark):
+    from zonecast.plans.catalog import QUERIES
+    alloc, bands = (QUERIES[q](spark, "/root/testdata/sf0.01") for q in ("alloc_daily", "surge_bands_daily"))
+    assert {r[0] for r in alloc.select("action").distinct().collect()} == {"Request Influx", "Hold", "Move Out"}
+    assert alloc.where("surge_multiplier > 1").count() and alloc.where("gap > 5").count()
+    assert {r[0] for r in bands.select("surge_band").distinct().collect()} == {"low", "mid", "high"}
+
+
+def test_unknown_zones_and_hours_are_kept(spark):
+    from pyspark.sql import functions as F
+
+    from zonecast.operators.scenario import scenario_alloc, scenario_grid, whole_week
+    from zonecast.operators.zones import attach_centroids, fixed_zones
+    rows = spark.createDataFrame([("0", 1), ("99", 2)], "zone_id string, n int")
+    assert {(r.zone_id, r.zone_lat is None) for r in attach_centroids(rows, fixed_zones(spark)).collect()} == {("0", False), ("99", True)}
+    fc = spark.createDataFrame([("0", 8, 1, 2.0, 2.2, 2.6), ("1", 8, 1, 4.0, 4.4, 5.2)],
+                               "zone_id string, hour int, day_of_week int, pred_15m double, pred_30m double, pred_60m double")
+    assert whole_week(fc).count() == 2 * 168
+    seen = spark.createDataFrame([(8, 1), (3, 6)], "hour int, day_of_week int")
+    out = scenario_alloc(scenario_grid(seen, fleets=(10, 20), fares=(5.0,), capacities=(1.0, 3.0)), fc)
+    assert out.count() == 2 * 2 * 2 * 2
+    per = out.groupBy("fleet", "capacity", "hour").agg(F.sum("allocated_drivers").alias("s"))
+    assert per.where("s <> fleet").count() == 0
+
+
+def test_sample_is_spread(spark):
+    from zonecast.plans.catalog import QUERIES
+    ids = sorted(r.ride_id for r in QUERIES["ride_sample"](spark, "/root/testdata/sf0.01").collect())
+    gaps = {b - a for a, b in zip(ids, ids[1:], strict=False)}
+    assert len(ids) == 1000 and len(gaps) > 30

@@ -69,7 +69,7 @@ def test_forecaster_save_load_and_metrics(spark):
     fc, data = train(C.features(spark, SF_SMALL), max_iter=3)
     path = tempfile.mkdtemp(prefix="fc-") + "/m"
     fc.save(path)
-    back = Forecaster.load(path, fc.features)
+    back = Forecaster.load(path)
     assert set(back.models) == {"15m", "30m", "60m"}
     m = {r.horizon: r for r in metrics(back.predict(data)).collect()}
     assert set(m) == {"15m", "30m", "60m"} and all(r.rmse >= 0 for r in m.values())

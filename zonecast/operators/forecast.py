@@ -51,20 +51,27 @@ class Forecaster:
         return out.drop(VECTOR)
 
     def save(self, path: str) -> None:
-        """One artifact per horizon."""
+        """One artifact per horizon, and a table that names each horizon's
+        learner and the features."""
+        from pyspark.sql import SparkSession
         for h, model in self.models.items():
             model.write().overwrite().save(f"{path.rstrip('/')}/{h}")
+        rows = [(h, type(model).__name__, list(self.features)) for h, model in self.models.items()]
+        (SparkSession.getActiveSession().createDataFrame(rows, "horizon string, learner string, features array<string>")
+         .coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/_card"))
 
     @classmethod
-    def load(cls, path: str, features: list[str]) -> "Forecaster":
-        """Load the horizons that are present."""
-        from pyspark.ml.regression import GBTRegressionModel
-        fc = cls(features=features)
+    def load(cls, path: str) -> "Forecaster":
+        """The saved horizons with their learners and features; a damaged model
+        is an error."""
+        from pyspark.ml import regression
+        from pyspark.sql import SparkSession
+        rows = SparkSession.getActiveSession().read.parquet(f"{path.rstrip('/')}/_card").collect()
+        fc = cls(features=list(rows[0]["features"]))
+        saved = {r["horizon"]: r["learner"] for r in rows}
         for h, _ in P.HORIZONS:
-            try:
-                fc.models[h] = GBTRegressionModel.load(f"{path.rstrip('/')}/{h}")
-            except Exception:  # noqa: BLE001 - absent horizon
-                continue
+            if h in saved:
+                fc.models[h] = getattr(regression, saved[h]).load(f"{path.rstrip('/')}/{h}")
         return fc
 
 

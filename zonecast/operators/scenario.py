@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import params as P
 from .fleet import add_revenue, allocate, fleet_kpis
 
-SCENARIO_KEYS = ("fleet", "fare", "day_of_week", "hour")
+SCENARIO_KEYS = ("fleet", "fare", "capacity", "day_of_week", "hour")
 
 
 def baseline_forecast(features: DataFrame, quantum: int = 1024) -> DataFrame:
@@ -32,26 +32,42 @@ def baseline_forecast(features: DataFrame, quantum: int = 1024) -> DataFrame:
 
 
 def scenario_grid(features: DataFrame, fleets: Sequence[int] = (P.PIPELINE_FLEET,),
-                  fares: Sequence[float] = (P.DEFAULT_FARE,)) -> DataFrame:
-    """One scenario per observed (weekday, hour) x fleet x fare."""
-    dh = features.select("day_of_week", "hour").distinct()
-    with_fleet = dh.select("day_of_week", "hour",
-                           F.explode(F.array(*[F.lit(int(f)) for f in fleets])).alias("fleet"))
-    return with_fleet.select("*", F.explode(F.array(*[F.lit(float(x)) for x in fares])).alias("fare"))
-
-
-def scenario_alloc(scenarios: DataFrame, forecast: DataFrame,
-                   capacity: float = P.CAPACITY_PER_DRIVER) -> DataFrame:
-    """C8 + H15: allocation and revenue of every zone under every scenario.
+                  fares: Sequence[float] = (P.DEFAULT_FARE,),
+                  capacities: Sequence[float] = (P.CAPACITY_PER_DRIVER,)) -> DataFrame:
+    """One scenario per observed (weekday, hour) x fleet x fare x rides a
+    driver can take."""
+    grid = features.select("day_of_week", "hour").distinct()
+    for name, values in (("fleet", [int(f) for f in fleets]), ("fare", [float(x) for x in fares]),
+                         ("capacity", [float(x) for x in capacities])):
+        grid = grid.select("*", F.explode(F.array(*map(F.lit, values))).alias(name))
+    return grid
+
+
+def whole_week(forecast: DataFrame) -> DataFrame:
+    """The forecast with a row for every (zone, hour, weekday): an hour without
+    history takes the zone's mean over the hours that have one (at most
+    zones x 168 rows)."""
+    preds = ("pred_15m", "pred_30m", "pred_60m")
+    zones = forecast.groupBy("zone_id").agg(*[F.avg(c).alias(f"__{c}") for c in preds])
+    hours = zones.select("*", F.explode(F.sequence(F.lit(0), F.lit(167))).alias("__h"))
+    every = hours.withColumns({"hour": (F.col("__h") % 24).cast("int"),
+                               "day_of_week": F.floor(F.col("__h") / 24).cast("int")})
+    both = every.join(forecast, ["zone_id", "hour", "day_of_week"], "left")
+    return both.select("zone_id", "hour", "day_of_week", *[F.coalesce(c, f"__{c}").alias(c) for c in preds])
+
+
+def scenario_alloc(scenarios: DataFrame, forecast: DataFrame) -> DataFrame:
+    """C8 + H15: allocation and revenue of every zone under every scenario,
+    also of hours that the forecast has no row for.
 
     Zones are ordered by their number for ties (the reference builds its
     scenario frame in centroid order).
     """
-    s = scenarios.join(forecast, ["day_of_week", "hour"])
+    s = scenarios.join(whole_week(forecast), ["day_of_week", "hour"])
     s = s.withColumns({"predicted_demand": F.col("pred_15m"),
                        "zone_num": F.col("zone_id").cast("int")})
-    a = allocate(s, SCENARIO_KEYS, fleet=F.col("fleet"), tie_cols=("zone_num",), capacity=capacity)
-    return add_revenue(a, fare=F.col("fare"), capacity=capacity)
+    a = allocate(s, SCENARIO_KEYS, fleet=F.col("fleet"), tie_cols=("zone_num",), capacity=F.col("capacity"))
+    return add_revenue(a, fare=F.col("fare"), capacity=F.col("capacity"))
 
 
 def scenario_kpis(alloc: DataFrame) -> DataFrame:

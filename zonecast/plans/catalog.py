@@ -144,12 +144,12 @@ def _sim_bin_alloc(spark, sf_dir):
 
 
 DAY_SECONDS = 86400
-DAILY_FLEETS = (60, 150)
+DAILY_FLEETS = (60, 150, 300, 600)
 
 
 def _daily_alloc(spark, sf_dir):
-    """Whole days as bins and their demand as the prediction, under two fleets:
-    demand well above the fleet, so every surge, band and action occurs."""
+    """Whole days as bins and their demand as the prediction, under four fleets:
+    demand from far above to far below the fleet, so every surge band and action occurs."""
     rides = assign_zone(C.rides(spark, sf_dir), C.centroids())
     grid = demand_grid(materialize(zone_demand(rides, DAY_SECONDS), "daily-demand"), DAY_SECONDS)
     d = grid.select("time_bin", "zone_id", F.col("demand").cast("double").alias("predicted_demand"),
@@ -423,16 +423,22 @@ def q_baseline_forecast(spark, sf_dir):
     return b.select("zone_id", "hour", "day_of_week", "pred_15m", r6("pred_30m"), r6("pred_60m"))
 
 
+WHAT_IF_FLEETS = (20, 150, 1000)
+WHAT_IF_FARES = (5.0, 15.0, 100.0)
+WHAT_IF_CAPACITIES = (1.0, 3.0, 10.0)
+
+
 def _scenario_alloc(spark, sf_dir):
     f = _ft(spark, sf_dir)
-    return scenario_alloc(scenario_grid(f), _baseline(spark, sf_dir))
+    grid = scenario_grid(f, WHAT_IF_FLEETS, WHAT_IF_FARES, WHAT_IF_CAPACITIES)
+    return scenario_alloc(grid, materialize(_baseline(spark, sf_dir), "baseline"))
 
 
 @register("scenario_alloc")
 def q_scenario_alloc(spark, sf_dir):
     a = _scenario_alloc(spark, sf_dir)
-    return a.select("fleet", "fare", "day_of_week", "hour", "zone_id", "predicted_demand",
-                    r6("pred_30m"), r6("pred_60m"), "prob", "allocated_drivers", "gap", "dsr",
+    return a.select("fleet", "fare", "capacity", "day_of_week", "hour", "zone_id", "predicted_demand",
+                    r6("pred_30m"), r6("pred_60m"), "prob", "allocated_drivers", "gap", r6("dsr"),
                     r6("surge_multiplier"), "action", r6("revenue"))
 
 
@@ -469,6 +475,53 @@ def q_kmeans_zones(spark, sf_dir):
     return kmeans_zone_table(spark, model, cost)
 
 
+# ------------------------------------------------- forecast -> allocation -> revenue
+
+def _baseline_test(spark, sf_dir):
+    """The test slice with the forecast of J11 fitted on the training slice:
+    an exact predictor on the models' path to the allocation."""
+    data = materialize(chronological_split(_ft(spark, sf_dir)), "split")
+    keys = ["zone_id", "hour", "day_of_week"]
+    fit = baseline_forecast(data.where(F.col("split") == "train"))
+    test = data.where(F.col("split") == "test").join(fit, keys, "left")
+    return test.fillna(0.0, ["pred_15m", "pred_30m", "pred_60m"])
+
+
+def _forecast_alloc(scored):
+    """Allocation and revenue per bin from the 15-minute forecast, rounded to
+    1/1024 so that sums are exact in any order."""
+    d = scored.select("time_bin", "zone_id", (F.rint(F.col("pred_15m") * 1024) / 1024).alias("predicted_demand"))
+    return add_revenue(allocate(d, ["time_bin"], fleet=P.PIPELINE_FLEET))
+
+
+@register("baseline_test_alloc")
+def q_baseline_test_alloc(spark, sf_dir):
+    a = _forecast_alloc(_baseline_test(spark, sf_dir))
+    return a.select(*[c for c in ALLOC_OUT if c not in ("prob", "dsr")], r6("prob"), r6("dsr"),
+                    r6("surge_multiplier"), "action", r6("revenue"))
+
+
+@register("baseline_test_metrics")
+def q_baseline_test_metrics(spark, sf_dir):
+    m = metrics(_baseline_test(spark, sf_dir))
+    return m.select("horizon", r6("rmse"), r6("mae"), r6("r2"), "n_test")
+
+
+def _model_test_alloc(spark, sf_dir):
+    fc, data = _forecaster(spark, sf_dir)
+    return _forecast_alloc(fc.predict(data.where(F.col("split") == "test")))
+
+
+@register("forecast_alloc")
+def q_forecast_alloc(spark, sf_dir):
+    return _model_test_alloc(spark, sf_dir).select(*ALLOC_OUT, r6("surge_multiplier"), "action", r6("revenue"))
+
+
+@register("forecast_kpis")
+def q_forecast_kpis(spark, sf_dir):
+    return fleet_kpis(_model_test_alloc(spark, sf_dir), ["time_bin"])
+
+
 @register("time_split")
 def q_time_split(spark, sf_dir):
     s = chronological_split(_ft(spark, sf_dir))
@@ -538,8 +591,8 @@ def q_policy_q(spark, sf_dir):
 
 @register("stream_zone_demand")
 def q_stream_zone_demand(spark, sf_dir):
-    s = zone_demand_stream(events_stream(spark, sf_dir), C.centroids())
-    return run_to_table(spark, s, "zone-demand")
+    s = zone_demand_stream(events_stream(spark, sf_dir), C.centroids(), delay=None)
+    return run_to_table(spark, s, "zone-demand", keys=("time_bin", "zone_id"))
 
 
 # ---------------------------------------------------------------- flagship

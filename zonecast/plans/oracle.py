@@ -122,7 +122,7 @@ SQL["features"] = over_features(FEATURE_SELECT)
 # ---------------------------------------------------------------- M3 fleet
 
 def alloc_ctes(src: str, group: str, fleet: str = "150", fare: str = "15.0",
-               tie: str = "zone_id") -> str:
+               tie: str = "zone_id", cap: str = "CAST(3.0 AS DOUBLE)") -> str:
     """Allocation + revenue over CTE ``src``(group, zone_id, predicted_demand ...);
     defines a1..a6, alloc, rv."""
     return f"""a1 AS (SELECT *, sum(predicted_demand) OVER (PARTITION BY {group}) AS total,
@@ -135,7 +135,7 @@ a4 AS (SELECT *, {fleet} - sum(a0) OVER (PARTITION BY {group}) AS diff FROM a3),
 a5 AS (SELECT *, CAST(CASE WHEN total <= 0 THEN CAST(trunc({fleet} / n) AS BIGINT)
                           ELSE a0 + CASE WHEN rn = 1 THEN diff ELSE 0 END END AS INTEGER) AS allocated_drivers
   FROM a4),
-a6 AS (SELECT *, CAST(ceil(predicted_demand / CAST(3.0 AS DOUBLE)) AS DOUBLE) AS optimal_supply,
+a6 AS (SELECT *, CAST(ceil(predicted_demand / {cap}) AS DOUBLE) AS optimal_supply,
          predicted_demand - allocated_drivers AS gap,
          predicted_demand / (allocated_drivers + CAST(1e-5 AS DOUBLE)) AS dsr FROM a5),
 alloc AS (SELECT *, CASE WHEN dsr > 1 THEN least(CAST(3.0 AS DOUBLE), greatest(CAST(1.0 AS DOUBLE),
@@ -145,7 +145,7 @@ alloc AS (SELECT *, CASE WHEN dsr > 1 THEN least(CAST(3.0 AS DOUBLE), greatest(C
   FROM a6),
 rv1 AS (SELECT *, CAST(1.0 AS DOUBLE) / pow(surge_multiplier, CAST(0.8 AS DOUBLE)) AS conversion_rate FROM alloc),
 rv2 AS (SELECT *, predicted_demand * conversion_rate AS effective_demand FROM rv1),
-rv3 AS (SELECT *, least(effective_demand, allocated_drivers * CAST(3.0 AS DOUBLE)) AS fulfilled_rides FROM rv2),
+rv3 AS (SELECT *, least(effective_demand, allocated_drivers * {cap}) AS fulfilled_rides FROM rv2),
 rv AS (SELECT *, fulfilled_rides * (CAST({fare} AS DOUBLE) * surge_multiplier) AS revenue FROM rv3)"""
 
 
@@ -168,12 +168,12 @@ def over_alloc(select_sql: str, *extra: str) -> str:
 
 
 SQL["alloc"] = over_alloc(ALLOC_SELECT)
-# Whole days as bins, two fleets: demand far above the fleet.
+# Whole days as bins, four fleets: demand from far above to far below the fleet.
 DAILY = ("""dd AS (SELECT CAST(date_trunc('day', ride_ts) AS TIMESTAMP) AS time_bin, zone_id, count(ride_id) AS demand
   FROM assigned GROUP BY ALL)""", """dgrid AS (
   SELECT b.time_bin, z.zone_id, f.fleet, CAST(coalesce(d.demand, 0) AS DOUBLE) AS predicted_demand
   FROM (SELECT unnest(generate_series((SELECT min(time_bin) FROM dd), (SELECT max(time_bin) FROM dd), INTERVAL 1 DAY)) AS time_bin) b
-  CROSS JOIN (SELECT DISTINCT zone_id FROM dd) z CROSS JOIN (VALUES (60), (150)) f(fleet)
+  CROSS JOIN (SELECT DISTINCT zone_id FROM dd) z CROSS JOIN (VALUES (60), (150), (300), (600)) f(fleet)
   LEFT JOIN dd d ON d.time_bin = b.time_bin AND d.zone_id = z.zone_id)""",
          alloc_ctes("dgrid", "fleet, time_bin", fleet="fleet"))
 
@@ -440,29 +440,31 @@ FROM r"""
 BASELINE = """bl AS (SELECT zone_id, hour, day_of_week, round_even(avg(demand) * 1024, 0) / 1024 AS pred_15m
   FROM feat GROUP BY zone_id, hour, day_of_week)"""
 
-SCEN = (BASELINE, """sc AS (SELECT DISTINCT day_of_week, hour, 150 AS fleet, CAST(15.0 AS DOUBLE) AS fare FROM feat),
-sin AS (SELECT sc.fleet, sc.fare, sc.day_of_week, sc.hour, bl.zone_id, CAST(bl.zone_id AS INT) AS zone_num,
+SCEN = (BASELINE, """sc AS (SELECT dh.*, fleet, CAST(fare AS DOUBLE) AS fare, CAST(capacity AS DOUBLE) AS capacity
+  FROM (SELECT DISTINCT day_of_week, hour FROM feat) dh CROSS JOIN (VALUES (20), (150), (1000)) a(fleet)
+  CROSS JOIN (VALUES (5), (15), (100)) b(fare) CROSS JOIN (VALUES (1), (3), (10)) c(capacity)),
+sin AS (SELECT sc.fleet, sc.fare, sc.capacity, sc.day_of_week, sc.hour, bl.zone_id, CAST(bl.zone_id AS INT) AS zone_num,
   bl.pred_15m AS predicted_demand, bl.pred_15m * CAST(1.1 AS DOUBLE) AS pred_30m,
   bl.pred_15m * CAST(1.3 AS DOUBLE) AS pred_60m
   FROM sc JOIN bl USING (day_of_week, hour))""",
-        alloc_ctes("sin", "fleet, fare, day_of_week, hour", fleet="fleet", fare="fare", tie="zone_num"))
+        alloc_ctes("sin", "fleet, fare, capacity, day_of_week, hour", fleet="fleet", fare="fare", tie="zone_num", cap="capacity"))
 
 SQL["baseline_forecast"] = with_ctes(*BASE, BASELINE) + """SELECT zone_id, hour, day_of_week, pred_15m,
   round(pred_15m * CAST(1.1 AS DOUBLE), 6) + 0.0 AS pred_30m, round(pred_15m * CAST(1.3 AS DOUBLE), 6) + 0.0 AS pred_60m
 FROM bl"""
 
-SQL["scenario_alloc"] = with_ctes(*BASE, *SCEN) + """SELECT fleet, fare, day_of_week, hour, zone_id, predicted_demand,
-  round(pred_30m, 6) + 0.0 AS pred_30m, round(pred_60m, 6) + 0.0 AS pred_60m, prob, allocated_drivers, gap, dsr,
+SQL["scenario_alloc"] = with_ctes(*BASE, *SCEN) + """SELECT fleet, fare, capacity, day_of_week, hour, zone_id, predicted_demand,
+  round(pred_30m, 6) + 0.0 AS pred_30m, round(pred_60m, 6) + 0.0 AS pred_60m, prob, allocated_drivers, gap, round(dsr, 6) + 0.0 AS dsr,
   round(surge_multiplier, 6) + 0.0 AS surge_multiplier, action, round(revenue, 6) + 0.0 AS revenue FROM rv"""
 
-SQL["scenario_kpis"] = with_ctes(*BASE, *SCEN) + """SELECT fleet, fare, day_of_week, hour,
+SQL["scenario_kpis"] = with_ctes(*BASE, *SCEN) + """SELECT fleet, fare, capacity, day_of_week, hour,
   round(sum(revenue), 2) AS total_revenue,
   round(CASE WHEN sum(predicted_demand) <> 0 THEN sum(fulfilled_rides) / sum(predicted_demand) END * 100, 1)
     AS service_level,
   round(avg(surge_multiplier), 2) AS avg_surge, sum(predicted_demand) AS total_demand,
   count(*) AS zones, count_if(gap > 5) AS shortage_zones,
   CAST(sum(allocated_drivers) AS BIGINT) AS allocated_total
-FROM rv GROUP BY fleet, fare, day_of_week, hour"""
+FROM rv GROUP BY fleet, fare, capacity, day_of_week, hour"""
 
 # ---------------------------------------------------------------- M7 split
 
@@ -472,6 +474,30 @@ SELECT time_bin, zone_id, row_idx,
   CASE WHEN row_idx < CAST(trunc(CAST(0.8 AS DOUBLE) * n_rows) AS BIGINT) THEN 'train' ELSE 'test' END AS split
 FROM o""")
 
+# The baseline fitted on the training slice, applied to the test slice.
+TEST_BASELINE = ("""o AS (SELECT *, row_number() OVER (ORDER BY time_bin, zone_id) - 1 AS row_idx, count(*) OVER () AS n_rows FROM feat)""",
+                 """sp AS (SELECT *, CASE WHEN row_idx < CAST(trunc(CAST(0.8 AS DOUBLE) * n_rows) AS BIGINT) THEN 'train' ELSE 'test' END AS split FROM o)""",
+                 """bt AS (SELECT zone_id, hour, day_of_week, round_even(avg(demand) * 1024, 0) / 1024 AS p
+  FROM sp WHERE split = 'train' GROUP BY ALL)""",
+                 """te AS (SELECT sp.*, coalesce(bt.p, 0) AS predicted_demand FROM sp LEFT JOIN bt USING (zone_id, hour, day_of_week)
+  WHERE split = 'test')""")
+
+SQL["baseline_test_alloc"] = with_ctes(
+    *BASE, *TEST_BASELINE, "ain AS (SELECT time_bin, zone_id, predicted_demand FROM te)", alloc_ctes("ain", "time_bin")) + """SELECT time_bin, zone_id,
+  predicted_demand, round(prob, 6) + 0.0 AS prob, allocated_drivers, optimal_supply, gap, round(dsr, 6) + 0.0 AS dsr,
+  round(surge_multiplier, 6) + 0.0 AS surge_multiplier, action, round(revenue, 6) + 0.0 AS revenue FROM rv"""
+
+
+def _test_metric(horizon: str, target: str, factor: str) -> str:
+    e = f"(predicted_demand * CAST({factor} AS DOUBLE) - {target})"
+    return f"""SELECT '{horizon}' AS horizon, round(sqrt(avg({e} * {e})), 6) + 0.0 AS rmse, round(avg(abs({e})), 6) + 0.0 AS mae,
+  round(CAST(1.0 AS DOUBLE) - sum({e} * {e}) / (sum({target} * {target}) - CAST(sum({target}) AS DOUBLE) * sum({target}) / count(*)), 6) + 0.0 AS r2,
+  count(*) AS n_test FROM te"""
+
+
+SQL["baseline_test_metrics"] = with_ctes(*BASE, *TEST_BASELINE) + "\nUNION ALL\n".join(
+    _test_metric(*x) for x in (("15m", "target_15m", "1.0"), ("30m", "target_30m", "1.1"), ("60m", "target_60m", "1.3")))
+
 # ---------------------------------------------------------------- M8 policy, streaming
 
 SQL["policy_states"] = over_alloc(""", st AS (
@@ -525,7 +551,6 @@ FROM {last} q JOIN (
 
 SQL["policy_q"] = _policy_q_sql()
 
-SQL["stream_zone_demand"] = with_ctes(ZONES, RIDES, ASSIGNED, DEMAND) + """SELECT * FROM demand
-WHERE time_bin + INTERVAL 15 MINUTE <= (SELECT max(ride_ts) FROM rides) - INTERVAL 30 MINUTE"""
+SQL["stream_zone_demand"] = SQL["zone_demand"]
 
 SQL["pipeline_kpis"] = SQL["fleet_kpis"]
