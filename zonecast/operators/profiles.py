@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
+from ..session import materialize
 from ..functions.timefn import time_floor
 from .scans import running_sum, time_spine
 
@@ -114,30 +115,59 @@ def dataset_kpis(features: DataFrame, rides: DataFrame) -> DataFrame:
         raw.alias("raw_rides"))
 
 
-def describe(df: DataFrame, columns: Sequence[str], exact: bool = True,
-             accuracy: int = 10000) -> DataFrame:
+QUANTILE_BLOCKS = 1024
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact quantiles (linear interpolation) at any size: (column_name, q).
+
+    Equal values of a column are counted first (combined map-side), then the
+    running counts of the distinct values are taken in two levels, over at most
+    ``QUANTILE_BLOCKS`` value ranges of a column and inside each range, and the
+    values at the wanted ranks picked. No task holds a column.
+    """
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns]
+    counts = (df.select(F.inline(F.array(*pairs))).where("v is not null")
+              .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("c")))
+    counts = materialize(counts, "value-counts")
+    extent = counts.groupBy("column_name").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"))
+    place = F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * (QUANTILE_BLOCKS - 1))
+    rows = counts.join(extent, "column_name").withColumn(
+        "block", F.when(F.col("hi") > F.col("lo"), place).otherwise(0).cast("int"))
+    earlier = Window.partitionBy("column_name").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = (rows.groupBy("column_name", "block").agg(F.sum("c").alias("b"))
+              .select("column_name", "block", F.coalesce(F.sum("b").over(earlier), F.lit(0)).alias("before")))
+    inside = Window.partitionBy("column_name", "block").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("upto", F.sum("c").over(inside)).join(before, ["column_name", "block"])
+    last = F.col("before") + F.col("upto")
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = (F.col("n") - 1) * F.lit(float(p))
+        for side, rank in (("l", F.floor(pos)), ("h", F.ceil(pos))):
+            aggs.append(F.max(F.when((last - F.col("c") <= rank) & (rank < last), F.col("v"))).alias(f"{side}{i}"))
+        aggs.append(F.max(pos - F.floor(pos)).alias(f"f{i}"))
+    q = [F.col(f"l{i}") + (F.col(f"h{i}") - F.col(f"l{i}")) * F.col(f"f{i}") for i in range(len(probs))]
+    return rows.groupBy("column_name").agg(*aggs).select("column_name", F.array(*q).alias("q"))
+
+
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, std (n-1), min, 25/50/75 % (linear interpolation),
     max per column, one output row per column.
 
-    A single wide aggregate over all columns (one pass, partial aggregation)
-    then an unpivot of its one row. Exact ``percentile`` keeps a value ->
-    count map per column, small for the low-cardinality feature columns;
-    ``exact=False`` switches to ``percentile_approx`` for wide-valued data.
+    One wide aggregate over all columns (one pass, partial aggregation), then an
+    unpivot of its one row; the quartiles are exact, see ``quantiles``.
     """
     aggs = []
     for c in columns:
         x = F.col(c).cast("double")
-        q = (F.percentile(x, [0.25, 0.5, 0.75]) if exact
-             else F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).cast("array<double>"))
         aggs.append(F.struct(
             F.lit(c).alias("column_name"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-            q.alias("q"), F.max(x).alias("max")).alias(f"__{c}"))
+            F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")).alias(f"__{c}"))
     wide = df.agg(*aggs)
     long = wide.select(F.inline(F.array(*[F.col(f"__{c}") for c in columns])))
-    return long.select("column_name", "count", "mean", "std", "min",
-                       F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
-                       F.col("q")[2].alias("p75"), "max")
+    return long.join(quantiles(df, columns), "column_name", "left").select(
+        "column_name", "count", "mean", "std", "min",
+        F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
 
 
 def describe_time(df: DataFrame, column: str = "time_bin") -> DataFrame:
@@ -154,8 +184,9 @@ def describe_time(df: DataFrame, column: str = "time_bin") -> DataFrame:
     agg = df.agg(
         F.count(t).alias("count"),
         F.sum(sec.cast("decimal(38,0)")).alias("__sum"),
-        F.min(t).alias("min"), F.max(t).alias("max"),
-        F.percentile(sec, [0.25, 0.5, 0.75]).alias("__q"))
+        F.min(t).alias("min"), F.max(t).alias("max"), F.lit("__sec").alias("column_name"))
+    quarters = quantiles(df.select(sec.alias("__sec")), ["__sec"]).withColumnRenamed("q", "__q")
+    agg = agg.join(quarters, "column_name", "left")
 
     def at_us(us: Column) -> Column:
         return F.timestamp_add("MICROSECOND", us, epoch)

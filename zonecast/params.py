@@ -146,8 +146,3 @@ TOD_CUTS = (6, 11, 17, 22)
 MAX_INLINE_ZONES = 4096
 # Sample seed.
 SEED = 42
-
-# Largest input for exact quartiles in describe (D13): exact ``percentile``
-# merges a value -> count map per column into one task; above this many
-# rows ``percentile_approx`` (rank error 1 / accuracy) is used instead.
-EXACT_QUANTILE_MAX_ROWS = 5_000_000
