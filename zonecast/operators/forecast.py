@@ -102,11 +102,10 @@ def train(features: DataFrame, max_iter: int = 30, max_depth: int = 5, step_size
     # of the partitions, so the same seed gives the same model only when
     # every row sits in the same place on every run.
     # The partition count follows the row count (deterministic, unlike
-    # AQE's size-based coalescing), capped by the shuffle partitions.
+    # AQE's size-based coalescing).
     train_only = data.where(F.col("split") == "train")
     n_rows = train_only.count()
-    cap = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, min(cap, -(-n_rows // rows_per_partition)))
+    parts = max(1, -(-n_rows // rows_per_partition))
     train_rows = (fc.assemble(train_only)
                   .repartition(parts, "zone_id", "time_bin")
                   .sortWithinPartitions("time_bin", "zone_id")

@@ -252,16 +252,27 @@ def histogram(df: DataFrame, column: str, bins: int = 60) -> DataFrame:
 def corr_matrix(df: DataFrame, columns: Sequence[str] = P.CORR_COLUMNS) -> DataFrame:
     """Pairwise Pearson correlation, long form (x, y, corr).
 
-    One aggregate with the n(n-1)/2 distinct pairs, then the unpivot, the
-    mirror and the unit diagonal.
+    The sums of the n(n+1)/2 products are computed once, of values centred by
+    their means (one small aggregate before), and all coefficients derived from
+    them; then the mirror and the unit diagonal. As in SQL, a pair counts the
+    rows that have both values, and the coefficient is null without variance.
     """
     cols = list(columns)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}")
-                    for a, b in pairs])
+    means = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    x = df.select(*[(F.col(c).cast("double") - F.lit(means[c] if means[c] is not None else 0.0)).alias(c) for c in cols])
+    full = not any(f.nullable for f in df.select(*cols).schema) or x.where(
+        " or ".join(f"`{c}` is null" for c in cols)).isEmpty()
+    if full:
+        squares = [F.sum(F.col(c) * F.col(c)).alias(f"{c}|{c}") for c in cols]
+        wide = x.agg(*squares, *[F.sum(F.col(a) * F.col(b)).alias(f"{a}|{b}") for a, b in pairs])
+        coef = {(a, b): F.try_divide(F.col(f"`{a}|{b}`"), F.sqrt(F.col(f"`{a}|{a}`") * F.col(f"`{b}|{b}`")))
+                for a, b in pairs}
+    else:
+        wide = x.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+        coef = {(a, b): F.col(f"`{a}|{b}`") for a, b in pairs}
     entries = []
-    for a, b in pairs:
-        v = F.col(f"`{a}|{b}`")
+    for (a, b), v in coef.items():
         entries.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), v.alias("corr")))
         entries.append(F.struct(F.lit(b).alias("x"), F.lit(a).alias("y"), v.alias("corr")))
     for a in cols:

@@ -67,19 +67,15 @@ def time_spine(bounds: DataFrame, start_col: str, end_col: str, step_seconds: in
                parts: int | None = None) -> DataFrame:
     """Every ``step_seconds`` mark from start to end (inclusive) per row of
     ``bounds`` (one row per key). Two-level ``explode(sequence)``: chunk
-    descriptors are spread over ``parts`` tasks before the marks are made,
-    so no task generates a whole history."""
+    descriptors are spread over ``parts`` tasks (the shuffle partitions when
+    not given) before the marks are made, so no task generates a whole history."""
     from ..functions.timefn import add_seconds
     span = (F.col(end_col) - F.col(start_col)).cast("long")   # zone-free seconds
     n = F.floor(span / step_seconds) + 1
     chunks = bounds.select(*keys, F.col(start_col).alias("__start"), n.alias("__n"),
                            F.explode(F.sequence(F.lit(0).cast("long"),
                                                 F.floor((n - 1) / chunk))).alias("__c"))
-    if parts is None:   # one wave of tasks: no more than the cluster's cores
-        spark = bounds.sparkSession
-        parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                           spark.sparkContext.defaultParallelism))
-    chunks = chunks.repartition(parts, *keys, "__c")
+    chunks = chunks.repartition(parts, *keys, "__c") if parts else chunks.repartition(*keys, "__c")
     lo = F.col("__c") * chunk
     hi = F.least(lo + (chunk - 1), F.col("__n") - 1)
     idx = chunks.select(*keys, "__start", F.explode(F.sequence(lo, hi)).alias("__i"))

@@ -6,6 +6,7 @@ DuckDB statement of each name that has one.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -452,14 +453,16 @@ def q_alloc_json(spark, sf_dir):
 # ---------------------------------------------------------------- M7 ML
 
 _models: dict = {}
+_models_lock = threading.Lock()
 
 
 def _forecaster(spark, sf_dir, learner="gbt", max_iter=None):
     iters = max_iter or (ML_ITER if learner == "gbt" else RF_TREES)
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), learner, iters)
-    if key not in _models:
-        _models[key] = train(_ft(spark, sf_dir), max_iter=iters, learner=learner)
-    return _models[key]
+    with _models_lock:
+        if key not in _models:
+            _models[key] = train(_ft(spark, sf_dir), max_iter=iters, learner=learner)
+        return _models[key]
 
 
 ML_ITER = 20
@@ -595,7 +598,8 @@ def q_stream_zone_demand(spark, sf_dir):
 # ---------------------------------------------------------------- flagship
 
 def pipeline_kpis(spark, sf_dir, fleet=P.PIPELINE_FLEET, fare=P.DEFAULT_FARE):
-    """The whole chain as one lazy plan, no materialised table: events ->
+    """The whole chain (``build_features`` writes the demand and the filled grid
+    to the checkpoint folder while it is planned): events ->
     rides -> zones -> 15-min demand -> dense grid -> features -> allocate
     ``fleet`` drivers per bin (predicted demand := rolling_mean_4) ->
     revenue -> one KPI row per bin."""

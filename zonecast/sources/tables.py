@@ -38,11 +38,8 @@ def require_path(path: str) -> str:
 def path_exists(spark: SparkSession, path: str) -> bool:
     if _is_local(path):
         return os.path.exists(_local(path))
-    try:
-        spark.read.format("parquet").load(path).schema  # noqa: B018 - probe
-        return True
-    except Exception:  # noqa: BLE001 - any failure means absent
-        return False
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)  # an error is an error
 
 
 def table_path(sf_dir: str, name: str) -> str:
