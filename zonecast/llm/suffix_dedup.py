@@ -99,7 +99,7 @@ def _substrings(data: np.ndarray, start: np.ndarray, length) -> np.ndarray:
 
 
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each anchor: (gram, context digest, row, first, last, pos)."""
+    """One row for each anchor: (gram, context digest, row, shape)."""
     for batch in batches:
         keys = batch.column("row").to_numpy()
         held: list[tuple] = []
@@ -112,7 +112,8 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             long = last - first + LENGTH
             shape = mix((long.astype(U64) << U64(20)) | (pos - first).astype(U64))
             whole = mix(_substrings(data, first, long) + shape)
-            held.append((gram.view(np.int64), whole.view(np.int64), np.full(len(pos), keys[i]), first, last, pos))
+            held.append((gram.view(np.int64), whole.view(np.int64), np.full(len(pos), keys[i]),
+                         (first << 16) | ((last - first) << 8) | (pos - first)))
             size += len(pos)
             if size > 200_000:
                 yield _table(held)
@@ -132,13 +133,14 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
 
 
-_ROWS = ("gram", "whole", "row", "first", "last", "pos")
+#: ``shape`` packs the first window, and how far the last one and the anchor
+#: are behind it (each less than LENGTH): a row of four longs shuffles cheaply.
+_ROWS = ("gram", "whole", "row", "shape")
 
 
 def _table(held: list[tuple]) -> pa.RecordBatch:
     cols = [np.concatenate(x) for x in zip(*held, strict=True)]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-    return pa.RecordBatch.from_arrays([pa.array(c).cast(k) for c, k in zip(cols, kinds, strict=True)], names=list(_ROWS))
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=list(_ROWS))
 
 
 def _texts(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
@@ -155,8 +157,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, data in _texts(column):
             own = open_[i].as_py()
             for o in own:
-                rows.append((o["gram"], o["first"], o["last"], o["pos"], o["n"]))
-                grams.append(data[o["first"]:o["last"] + LENGTH].tobytes())
+                first = o["shape"] >> 16
+                last, pos = first + (o["shape"] >> 8 & 255), first + (o["shape"] & 255)
+                rows.append((o["gram"], first, last, pos, o["n"]))
+                grams.append(data[first:last + LENGTH].tobytes())
                 spans.append(i)
         if not rows:
             continue
@@ -271,68 +275,85 @@ def _cover(starts: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(lo.tolist(), hi.tolist(), strict=True))
 
 
-_SPANS = "row long, start int, end int"
+_FOUND = "row long, start int, end int, h1 long, h2 long"
 
 
-def _sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of repeated windows, from contexts sorted by gram."""
-    def work(held: list[pa.Table]) -> pa.RecordBatch:
-        t = pa.concat_tables(held)
-        cols = [t.column(c).to_numpy() for c in ("gram", "first", "last", "pos", "row")]
-        found = repeated_windows(t.column("bytes").to_pylist(), *(c.astype(np.int64) for c in cols[:4]))
-        out = [(cols[4][k], lo, hi) for k, starts in found for lo, hi in _cover(starts)]
-        row, lo, hi = zip(*out, strict=True) if out else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())],
-                                          names=["row", "start", "end"])
+def _rows(row, start, end, h1=None, h2=None) -> pa.RecordBatch:
+    none = pa.nulls(len(row), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(row, pa.int64()), pa.array(start, pa.int32()), pa.array(end, pa.int32()),
+         none if h1 is None else pa.array(h1), none if h2 is None else pa.array(h2)], names=["row", "start", "end", "h1", "h2"])
 
-    held, size = [], 0
-    for t in runs(batches, "gram"):
-        held.append(t)
-        size += int((t.column("last").to_numpy() - t.column("first").to_numpy() + 1).sum())
-        if size > SORTED:
-            yield work(held)
-            held, size = [], 0
-    if held:
-        yield work(held)
 
+def _sorted(held: list[pa.Table]) -> pa.RecordBatch:
+    """Spans of repeated windows of contexts in order of their grams."""
+    t = pa.concat_tables(held)
+    cols = [t.column(c).to_numpy() for c in ("gram", "first", "last", "pos", "row")]
+    found = repeated_windows(t.column("bytes").to_pylist(), *(c.astype(np.int64) for c in cols[:4]))
+    out = [(cols[4][k], lo, hi) for k, starts in found for lo, hi in _cover(starts)]
+    return _rows(*(zip(*out, strict=True) if out else ((), (), ())))
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A 128-bit digest of every window of very common grams."""
-    for batch in batches:
-        row, first = batch.column("row").to_numpy(), batch.column("first").to_numpy()
-        for i, data in _texts(batch.column("bytes")):
-            count = len(data) - LENGTH + 1
-            p, q = Prefix(data), Prefix(data ^ np.uint8(0x5A))
-            at = np.arange(count)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(mix(p.of(at, LENGTH)).view(np.int64)), pa.array(mix(q.of(at, LENGTH)).view(np.int64)),
-                 pa.array(np.full(count, row[i])), pa.array((first[i] + at).astype(np.int32))], names=["h1", "h2", "row", "start"])
+
+def _windows(t: pa.Table) -> Iterator[pa.RecordBatch]:
+    """A 128-bit digest of every window of contexts of very common grams."""
+    row, first = t.column("row").to_numpy(), t.column("first").to_numpy()
+    for i, raw in enumerate(t.column("bytes").to_pylist()):
+        data = np.frombuffer(raw, dtype=np.uint8)
+        at = np.arange(len(data) - LENGTH + 1)
+        h = [mix(Prefix(x).of(at, LENGTH)).view(np.int64) for x in (data, data ^ np.uint8(0x5A))]
+        start = first[i] + at
+        yield _rows(np.full(len(at), row[i]), start, start + LENGTH, *h)
+
+
+def _resolved(group: int):
+    """From contexts sorted by unit: spans of repeated windows, and digests of
+    the windows that Spark is to count."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for t in runs(batches, "unit"):
+            if t.column("n")[0].as_py() > group:
+                yield from _windows(t)
+                continue
+            held.append(t)
+            size += int((t.column("last").to_numpy() - t.column("first").to_numpy() + 1).sum())
+            if size > SORTED:
+                yield _sorted(held)
+                held, size = [], 0
+        if held:
+            yield _sorted(held)
+
+    return work
 
 
 def spans(texts: DataFrame) -> DataFrame:
     """(row, spans array<struct<start, end>>): repeated runs, unmerged, of the
     texts (row long, text) that have any; rows of one name hold one text."""
     grams = map_batches(texts.select("text"), _grams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    found = map_batches(texts, _anchored, "gram long, whole long, row long, first int, last int, pos int")
+    found = map_batches(texts, _anchored, "gram long, whole long, row long, shape long")
     shared = materialize(found.join(grams.where("n > 1"), "gram", "left_semi"), "op1-shared")
     counts = materialize(shared.groupBy("gram", "whole").agg(F.count("row").alias("same")), "op1-counts")
-    often = counts.where("same > 1").select("gram", "whole", F.lit(True).alias("again"))
-    shared = shared.join(often, ["gram", "whole"], "left")
-    whole = shared.where("again").select("row", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("end"))
+    kinds = counts.groupBy("gram").agg(F.count("whole").alias("kinds"))
+    known = counts.join(kinds, "gram").where("same > 1 or kinds > 1")
+    shared = materialize(shared.join(known, ["gram", "whole"]), "op1-known")
+    first = F.shiftright("shape", 16)
+    whole = shared.where("same > 1").select(
+        "row", first.cast("int").alias("start"),
+        (first + F.shiftright("shape", 8).bitwiseAND(F.lit(255)) + LENGTH).cast("int").alias("end"))
 
     # a context that differs from all others of its gram may still share windows with them
-    kinds = counts.groupBy("gram").agg(F.count("whole").alias("kinds")).where("kinds > 1")
-    some = shared.join(kinds, "gram")
-    one = some.where("again is null").unionByName(some.where("again").dropDuplicates(["gram", "whole"]))
-    wanted = one.groupBy("row").agg(F.collect_list(F.struct("gram", "first", "last", "pos", F.col("kinds").alias("n"))).alias("open"))
+    some = shared.where("kinds > 1")
+    one = some.where("same = 1").unionByName(some.where("same > 1").dropDuplicates(["gram", "whole"]))
+    wanted = one.groupBy("row").agg(F.collect_list(F.struct("gram", "shape", F.col("kinds").alias("n"))).alias("open"))
     cut = map_batches(texts.join(wanted, "row").select("row", "text", "open"), _cut,
                       "gram long, row long, first int, last int, pos int, n long, bytes binary")
-    cut = materialize(cut, "op1-contexts")
-    few = map_batches(cut.where(F.col("n") <= GROUP).repartition("gram").sortWithinPartitions("gram", "row", "first"), _sorted, _SPANS)
-    many = map_batches(cut.where(F.col("n") > GROUP), _windows, "h1 long, h2 long, row long, start int")
+    # contexts of a very common gram need not meet: they are dealt apart
+    cut = cut.withColumn("unit", F.when(F.col("n") <= GROUP, F.col("gram")).otherwise(F.xxhash64("row", "first")))
+    met = cut.repartition("unit").sortWithinPartitions("unit", "gram", "row", "first")
+    met = materialize(map_batches(met, _resolved(GROUP), _FOUND), "op1-resolved")
+    many = met.where("h1 is not null")
     twice = many.groupBy("h1", "h2").agg(F.count("row").alias("c")).where("c > 1").select("h1", "h2")
-    common = many.join(twice, ["h1", "h2"]).select("row", "start", (F.col("start") + LENGTH).alias("end"))
-    every = whole.unionByName(few).unionByName(common)
+    common = many.join(twice, ["h1", "h2"])
+    every = whole.unionByName(met.where("h1 is null").select("row", "start", "end")).unionByName(common.select("row", "start", "end"))
     return every.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
