@@ -159,28 +159,34 @@ def block_values(sets: list[np.ndarray], owner: np.ndarray, percent: int) -> tup
 
 
 def _tied(value: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(value, least owner) once for each value, and the distinct (least, owner)
-    ties of values with several owners."""
+    """(value, least owner) once for each value, and (value, least, owner) for
+    each other owner of it."""
     order = np.lexsort((owner, value))
     value, owner = value[order], owner[order]
-    start = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
+    fresh = np.append(True, value[1:] != value[:-1])
+    start = np.flatnonzero(fresh)
     least = np.repeat(owner[start], np.diff(np.append(start, len(value))))
-    ties = np.unique(np.stack([least, owner], axis=1)[least != owner], axis=0)
-    return value[start], owner[start], ties[:, 0], ties[:, 1]
+    more = (owner != least) & np.append(True, (owner[1:] != owner[:-1]) | fresh[1:])
+    return value[start], owner[start], value[more], least[more], owner[more]
 
 
-def _rows(value, a, b, kind: int) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(value, type=pa.int64()), pa.array(a, type=pa.int64()), pa.array(b, type=pa.int64()),
-         pa.array(np.full(len(a), kind, dtype=np.int32))], names=["value", "a", "b", "kind"])
+def _rows(key, value, a, b, kind: int) -> pa.RecordBatch:
+    cols = [pa.array(x, type=pa.int64()) for x in (key, value, a, b)]
+    return pa.RecordBatch.from_arrays([*cols, pa.array(np.full(len(a), kind, dtype=np.int32))],
+                                      names=["key", "value", "a", "b", "kind"])
+
+
+_ROWS = "key long, value long, a long, b long, kind int"
 
 
 def _valued(k: int, percent: int):
-    """Rows (value, a, -, 0): a holds the block value; (-, a, b, 1): b shares a value with a."""
+    """Rows of kind 0, dealt by value: a is the least holder of the value here;
+    rows of kind 1, dealt by value and a: b holds it too, beside a."""
     def flush(held):
-        value, a, least, member = _tied(*(np.concatenate(x) for x in zip(*held, strict=True)))
-        yield _rows(value.view(np.int64), a, a, 0)
-        yield _rows(mix(least.view(U64)).view(np.int64), least, member, 1)
+        value, first, shared, least, member = _tied(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        v, w = value.view(np.int64), shared.view(np.int64)
+        yield _rows(v, v, first, first, 0)
+        yield _rows(mix(shared ^ mix(least.view(U64))).view(np.int64), w, least, member, 1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -200,13 +206,14 @@ def _valued(k: int, percent: int):
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by value: ties (kind 1) as they are, and for each value
-    with several holders the holders beside the least (kind 0)."""
+    """From rows sorted by key: ties (kind 1) as they are, and for each value
+    with several holders the holders beside the least, b (kind 0)."""
     carry_value, carry_least = None, None
     for batch in batches:
-        value, a, b, kind = (batch.column(i).to_numpy() for i in range(4))
-        yield _rows(value[kind == 1], a[kind == 1], b[kind == 1], 1)
-        value, a = value[kind == 0], a[kind == 0]
+        _, value, a, b, kind = (batch.column(i).to_numpy() for i in range(5))
+        tie = kind == 1
+        yield _rows(value[tie], value[tie], a[tie], b[tie], 1)
+        value, a = value[~tie], a[~tie]
         if not len(value):
             continue
         start = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
@@ -214,9 +221,9 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if carry_value is not None and value[0] == carry_value:
             least[0] = carry_least
         carry_value, carry_least = value[-1], least[-1]
-        g = np.repeat(least, np.diff(np.append(start, len(value))))
-        pairs = np.unique(np.stack([a, g], axis=1)[a != g], axis=0)
-        yield _rows(pairs[:, 0], pairs[:, 0], pairs[:, 1], 0)
+        head = np.repeat(least, np.diff(np.append(start, len(value))))
+        other = a != head
+        yield _rows(value[other], value[other], a[other], head[other], 0)
 
 
 class Forest:
@@ -326,16 +333,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     full = seen.where("n > 0")
     classes = materialize(full.groupBy("n", "d1", "d2").agg(F.min("id").alias("id"), F.first("sketch").alias("sketch")), "op2-sets")
 
-    values = map_batches(base.select("text"), _valued(k, percent), "value long, a long, b long, kind int")
-    met = materialize(map_batches(values.repartition("value").sortWithinPartitions("value", "a"), _met,
-                                  "value long, a long, b long, kind int"), "op2-met")
-    ties = met.where("kind = 1").select(F.col("a").alias("least"), F.col("b").alias("member")).distinct()
-    lead = met.where("kind = 0").select(F.col("a").alias("least"), F.col("b").alias("head")).distinct()
-    # a task's ties follow their least holder to every head it meets
-    joined = ties.join(lead, "least").select("head", "member")
-    units = (lead.select("head", F.col("least").alias("member")).unionByName(joined)
-             .unionByName(ties.select(F.col("least").alias("head"), "member")))
-    units = units.unionByName(units.select("head", F.col("head").alias("member"))).distinct()
+    values = map_batches(base.select("text"), _valued(k, percent), _ROWS)
+    met = materialize(map_batches(values.repartition("key").sortWithinPartitions("key", "kind", "a"), _met, _ROWS), "op2-met")
+    ties = met.where("kind = 1").select("value", F.col("a").alias("least"), F.col("b").alias("member"))
+    lead = met.where("kind = 0").select("value", F.col("a").alias("least"), F.col("b").alias("head")).distinct()
+    # a task's ties follow their least holder to the head of the value
+    units = (ties.join(lead, ["value", "least"], "left").select(F.coalesce("head", "least").alias("head"), "member")
+             .unionByName(lead.select("head", F.col("least").alias("member"))).distinct())
+    units = units.unionByName(units.select("head", F.col("head").alias("member")).distinct())
     named = classes.where("id is not null").select("id", "n", F.col("d1").alias("member"), "sketch")
     close = _by_unit(in_chunks(units.join(named, "member").select("head", "id", "n", "sketch"), "head"))
     close = materialize(map_batches(close.select("unit", "side", "id", "n", "sketch"), _compared(percent, False),
