@@ -92,20 +92,33 @@ def _tail_steps(z: Column) -> Column:
     return F.when(z <= 0, 0).otherwise(F.least(F.floor(p * STEPS), F.lit(MOST))).cast("int")
 
 
-def _symbols(c: Column) -> Column:
-    """Encoding, symbol numbers and character classes of a run."""
+def _encoded(c: Column) -> Column:
+    """A run's body and the alphabet of its inferred encoding."""
     body = F.translate(F.rtrim(F.translate(c["run"], "=", " ")), "-_", "+/")
     alphabet = F.lit(BASE64)
     for pattern, letters in reversed(ENCODINGS):
         alphabet = F.when(body.rlike(pattern), F.lit(letters)).otherwise(alphabet)
-    chars = F.filter(F.split(body, ""), lambda x: x != "")
+    return F.struct(c["start"].alias("start"), c["end"].alias("end"), alphabet.alias("alphabet"),
+                    F.filter(F.split(body, ""), lambda x: x != "").alias("chars"))
+
+
+# What a nested lambda reads is a field of the step before, not an expression:
+# Spark would evaluate an expression anew for every symbol.
+
+def _symbols(c: Column) -> Column:
+    """Alphabet size, symbol numbers and character classes of a run."""
     return F.struct(
-        c["start"].alias("start"), c["end"].alias("end"), F.length(alphabet).cast("double").alias("a"),
-        F.transform(chars, lambda x: F.instr(alphabet, x) - 1).alias("s"),
-        F.transform(chars, lambda x: F.when(x.between("0", "9"), 1).when(x.between("A", "Z"), 2)
+        c["start"].alias("start"), c["end"].alias("end"), F.length(c["alphabet"]).cast("double").alias("a"),
+        F.transform(c["chars"], lambda x: F.instr(c["alphabet"], x) - 1).alias("s"),
+        F.transform(c["chars"], lambda x: F.when(x.between("0", "9"), 1).when(x.between("A", "Z"), 2)
                     .when(x.between("a", "z"), 3).otherwise(4)).alias("k"))
 
 
+def _centred(c: Column) -> Column:
+    return F.struct(c["start"].alias("start"), c["end"].alias("end"), c["a"].alias("a"), c["s"].alias("s"), c["k"].alias("k"),
+                    (_sum(c["s"], lambda x: x) / F.size(c["s"])).alias("mean"), (c["a"] / 2).alias("half"))
+
+
 def _sum(a: Column, f) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda t, x: t + f(x).cast("double"))
 
@@ -116,10 +129,9 @@ def _pairs(a: Column, f) -> Column:
 
 
 def _sums(c: Column) -> Column:
-    half = c["a"] / 2
-    mean = _sum(c["s"], lambda x: x) / F.size(c["s"])
+    half, mean = c["half"], c["mean"]
     return F.struct(
-        c["start"], c["end"], c["a"], F.size(c["s"]).cast("double").alias("n"),
+        c["start"].alias("start"), c["end"].alias("end"), c["a"].alias("a"), F.size(c["s"]).cast("double").alias("n"),
         _sum(F.transform(F.array_distinct(c["s"]), lambda v: F.pow(F.size(F.filter(c["s"], lambda x: x == v)), F.lit(2.0))),
              lambda x: x).alias("squares"),
         _sum(_pairs(c["s"], lambda x, y: (x >= half) != (y >= half)), lambda x: x.cast("int")).alias("turns"),
@@ -169,7 +181,9 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     empty = F.expr("cast(array() as array<struct<start:int,end:int,band:int,steps:int,even:boolean>>)")
     return (docs.withColumn("__base", F.concat(*kinds))
             .withColumn("__runs", run)
+            .withColumn("__runs", F.transform("__runs", _encoded))
             .withColumn("__runs", F.transform("__runs", _symbols))
+            .withColumn("__runs", F.transform("__runs", _centred))
             .withColumn("__runs", F.transform("__runs", _sums))
             .withColumn("__runs", F.coalesce(F.transform("__runs", _verdict), empty)))
 
