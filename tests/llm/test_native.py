@@ -216,6 +216,26 @@ def test_lm_learns_word_order():
     assert uni + 0.8 * (best - uni) < mine
 
 
+def test_lm_classes_grow_with_the_vocabulary(spark, monkeypatch):
+    """Words beyond the CLASSES most frequent ones keep a class and a context:
+    each of 300 words has one next word."""
+    monkeypatch.setattr(lm_score, "CLASSES", 4)
+    rng = random.Random(11)
+    rows = []
+    for i in range(400):
+        at = rng.randrange(300)
+        rows.append((i, " ".join(f"w{(at + k) % 300}" for k in range(60))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = lm_score.fit(df.where("doc_id < 360").select("text"))
+    grown = math.ceil(lm_score.GROWTH * math.sqrt(model.v))
+    assert (model.v, model.n_own, model.n_shared) == (301, 4 + grown, grown)
+    assert (np.bincount(model.classes(model.hot), minlength=model.n_classes)[model.n_own:] > 0).sum() > 0.9 * grown
+    held = lm_score.score(df.where("doc_id >= 360"), model).toPandas()
+    assert (held.score - held.base_score).sum() / held.n_tokens.sum() > 0.5
+    with_unseen = lm_score.score(spark.createDataFrame([(0, "w1 never seen")], "doc_id long, text string"), model).first()
+    assert with_unseen.n_known == 2 and with_unseen.score < 0
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     left, rows = docs, {}

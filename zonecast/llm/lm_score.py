@@ -1,16 +1,19 @@
 """LM scoring with a log-bilinear model trained by noise-contrastive estimation (operator 4).
 
 Spark counts every training word and every pair of neighbouring word classes.
-Classes are the ``CLASSES`` most frequent words and one for all others; a
-word's probability is that of its class after the class before it, times its
-smoothed share of its class. The class model is log-bilinear: the vector of the
-class before, carried through a context matrix, times the vector of the next
-class plus a bias. It is trained in numpy on the driver over the class pair
-counts, which hold at most (CLASSES + 2)^2 numbers however large the corpus is
-(every pair of every training text counts): the noise-contrastive objective
-with ``NOISE`` draws from the unigram distribution for each pair is taken in
-expectation, so there is no sampling error. Batched matrix products give the
-normalised log-probabilities.
+The number of classes grows with the V distinct words: the ``CLASSES`` +
+``GROWTH`` sqrt(V) most frequent words have a class of their own, all others
+(unseen ones too) share ``GROWTH`` sqrt(V) classes by their hash, so every word
+has a vector as target and as context. A word's probability is that of its
+class after the class before it, times its smoothed share of its class. The
+class model is log-bilinear: the vector of the class before, carried through a
+context matrix, times the vector of the next class plus a bias. It is trained
+in numpy on the driver over the class pair counts, a sparse table that Spark
+gathers: at most one row for each pair of classes, so it grows as V does. The
+noise-contrastive objective with ``NOISE`` draws from the unigram distribution
+for each pair is taken in expectation, so there is no sampling error; work and
+memory go by blocks of ``ROWS`` classes. Tasks get the vectors and the
+normaliser of each class, not a table of pairs.
 
 Counts of the words of at most ``HOT`` rows (the most frequent ones) go to the
 tasks; all other tokens are joined with the count table by their hash, which
@@ -25,7 +28,7 @@ table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +38,9 @@ from pyspark.sql import functions as F
 from zonecast.llm.arrow import U64, blocks, map_batches, mix, words
 from zonecast.session import materialize
 
-CLASSES, SIZE, NOISE, STEPS = 768, 24, 16, 160
+CLASSES, GROWTH, SIZE, NOISE, STEPS = 768, 2, 24, 16, 160
+#: Classes whose pairs are held at once in training; tokens at once in scoring.
+ROWS, SPAN = 256, 1 << 16
 HOT = 1 << 18
 #: Pairs of tokens a task combines before it hands counts on.
 HELD = 1 << 22
@@ -84,19 +89,31 @@ class Model:
         self.counts, self.n, self.v = counts, n, v
         order = np.argsort(hot)
         self.hot, self.hot_counts = hot[order], hot_counts[order]
-        most = np.lexsort((self.hot, -self.hot_counts))[:CLASSES]
-        self.rank = np.zeros(len(hot), dtype=np.int32)  # class of each hot word, 0: other
-        self.rank[most] = np.arange(1, len(most) + 1)
-        self.n_classes = len(most) + 1
-        self.n_other = n - int(self.hot_counts[most].sum())
-        self.v_other = v - len(most)
-        self.log10p = np.zeros((self.n_classes + 1, self.n_classes))
+        grown = math.ceil(GROWTH * math.sqrt(v))
+        most = np.lexsort((self.hot, -self.hot_counts))[:CLASSES + grown]
+        self.n_own, self.n_shared = len(most), max(grown, 1)
+        self.rank = np.full(len(hot), -1, dtype=np.int32)  # class of each hot word, -1: shared
+        self.rank[most] = np.arange(len(most))
+        self.n_classes = self.n_own + self.n_shared
+        self.shared_log = self._shared_log(most)
+        self.vectors: dict = {}
+
+    def _shared_log(self, own: np.ndarray) -> np.ndarray:
+        """log10(tokens + words + 1) of each shared class, without the words
+        that have a class of their own."""
+        found = self.counts.groupBy(F.pmod("h", F.lit(self.n_shared)).alias("k")).agg(
+            (F.sum("c") + F.count("c")).alias("size")).toArrow()
+        size = np.zeros(self.n_shared, dtype=np.int64)
+        size[found.column("k").to_numpy()] = found.column("size").to_numpy()
+        np.subtract.at(size, self.hot[own] % self.n_shared, self.hot_counts[own] + 1)
+        return np.log10(size + 1.0)
 
     def classes(self, found: np.ndarray) -> np.ndarray:
+        shared = self.n_own + found % self.n_shared
         if not len(self.hot):
-            return np.zeros(len(found), dtype=np.int64)
+            return shared
         at = np.minimum(np.searchsorted(self.hot, found), len(self.hot) - 1)
-        return np.where(self.hot[at] == found, self.rank[at], 0)
+        return np.where((self.hot[at] == found) & (self.rank[at] >= 0), self.rank[at], shared)
 
     def pairs(self, found: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(class before, class) of each token; the start is a class of its own."""
@@ -106,17 +123,80 @@ class Model:
         prev[starts[:-1]] = self.n_classes
         return prev, cls
 
+    def logs(self, prev: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        """log10 P(class | class before) of each token."""
+        x, out = self.vectors, np.empty(len(cls))
+        for lo in range(0, len(cls), SPAN):
+            a, b = prev[lo:lo + SPAN], cls[lo:lo + SPAN]
+            out[lo:lo + SPAN] = np.einsum("ij,ij->i", x["h"][a], x["q"][b]) + x["b"][b] - x["z"][a]
+        return out / math.log(10)
+
+    @property
+    def log10p(self) -> np.ndarray:
+        """The table of all pairs, classes before in rows; for small models."""
+        return _table(self.vectors)
+
+
+def _table(x: dict) -> np.ndarray:
+    return (x["h"] @ x["q"].T + x["b"] - x["z"][:, None]) / math.log(10)
+
 
 def train(pairs: np.ndarray) -> np.ndarray:
-    """log10 P(class | class before) from the pair counts, by noise-contrastive
-    estimation of a log-bilinear model, full batch, Adam steps."""
+    """log10 P(class | class before) from a table of pair counts."""
     rows, cols = pairs.shape
-    total = pairs.sum()
+    key = np.flatnonzero(pairs)
+    return _table(learn(_by_block([(key, pairs.ravel()[key])], rows, cols), rows, cols))
+
+
+def _by_block(found: Iterable[tuple[np.ndarray, np.ndarray]], rows: int, cols: int) -> list:
+    """(place, count) of the pairs of each block of ROWS classes before, by
+    place, from pieces of (class before * cols + class, count)."""
+    held: list = [[] for _ in range(-(-rows // ROWS))]
+    for key, n in found:
+        order = np.argsort(key)
+        block, place = np.divmod(key[order], ROWS * cols)
+        place, n = place.astype(np.uint32), n[order].astype(np.float32)
+        at = np.append(np.flatnonzero(np.append(True, block[1:] != block[:-1])), len(block)) if len(block) else [0]
+        for lo, hi in zip(at, at[1:], strict=False):
+            held[block[lo]].append((place[lo:hi].copy(), n[lo:hi].copy()))
+    for k, pieces in enumerate(held):
+        place = np.concatenate([x for x, _ in pieces] or [np.zeros(0, np.uint32)])
+        n = np.concatenate([x for _, x in pieces] or [np.zeros(0, np.float32)])
+        order = np.argsort(place)
+        held[k] = place[order], n[order]
+    return held
+
+
+def _gathered(pairs: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The counted pairs, a batch at a time: the driver holds one partition
+    beside what it keeps."""
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c.to_numpy(zero_copy_only=False).tobytes()], pa.binary()) for c in batch.columns],
+                names=["h", "c"])
+
+    for r in map_batches(pairs, packed, "h binary, c binary").toLocalIterator(prefetchPartitions=True):
+        yield np.frombuffer(r.h, np.int64), np.frombuffer(r.c, np.int64)
+
+
+def learn(pairs: list, rows: int, cols: int) -> dict:
+    """Vectors of the classes before (h), of the next ones (q), their biases (b)
+    and log normalisers (z) from the counted pairs by block, by noise-contrastive
+    estimation of a log-bilinear model, full batch, Adam steps."""
+    of_col, of_row = np.zeros(cols), np.zeros(rows)
+    for k, (place, n) in enumerate(pairs):
+        of_col += np.bincount(place % cols, n, cols)
+        found = np.bincount(place // cols, n)
+        of_row[k * ROWS:k * ROWS + len(found)] = found
+    total = of_row.sum()
     if not total:
-        return np.full(pairs.shape, -math.log10(cols))
-    noise = (pairs.sum(0) + 1.0) / (total + cols)
-    before = pairs.sum(1, keepdims=True) / total
-    seen = pairs / total
+        return {"h": np.zeros((rows, SIZE)), "q": np.zeros((cols, SIZE)), "b": np.zeros(cols),
+                "z": np.full(rows, math.log(cols))}
+    noise = (of_col + 1.0) / (total + cols)
+    before = of_row / total
+    drawn = (NOISE * cols * noise).astype(np.float32)
+    cuts = [*range(0, rows, ROWS), rows]
     rng = np.random.default_rng(7)
     p = {"r": rng.normal(0, 0.1, (rows, SIZE)), "c": np.eye(SIZE), "q": rng.normal(0, 0.1, (cols, SIZE)),
          "b": np.log(noise)}
@@ -125,17 +205,35 @@ def train(pairs: np.ndarray) -> np.ndarray:
     shift = np.log(NOISE * noise)
     for step in range(1, STEPS + 1):
         h = p["r"] @ p["c"]
-        real = 1 / (1 + np.exp(shift - h @ p["q"].T - p["b"]))  # that a pair is data, not noise
-        err = (seen * (1 - real) - NOISE * before * noise * real) * cols
-        grad = {"b": err.sum(0), "q": err.T @ h, "c": p["r"].T @ (err @ p["q"]), "r": err @ p["q"] @ p["c"].T}
+        h32, q32, b32 = h.astype(np.float32), p["q"].astype(np.float32), (p["b"] - shift).astype(np.float32)
+        gb, gq, gh = np.zeros(cols), np.zeros((cols, SIZE)), np.empty((rows, SIZE))
+        for k, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            real = h32[lo:hi] @ q32.T
+            real += b32
+            np.negative(real, out=real)
+            np.exp(np.minimum(real, 80, out=real), out=real)
+            real += 1
+            np.reciprocal(real, out=real)  # that a pair is data, not noise
+            here, n = pairs[k]
+            gain = n * np.float32(cols / total) * (1 - real.ravel()[here])
+            real *= drawn
+            real *= -before[lo:hi, None].astype(np.float32)
+            real.ravel()[here] += gain
+            gb += real.sum(0)
+            gq += real.T @ h32[lo:hi]
+            gh[lo:hi] = real @ q32
+        grad = {"b": gb, "q": gq, "c": p["r"].T @ gh, "r": gh @ p["c"].T}
         rate = 0.03 * (1 - step / (STEPS + 1))
         for k, g in grad.items():
             m[k] = 0.9 * m[k] + 0.1 * g
             s[k] = 0.99 * s[k] + 0.01 * g * g
             p[k] = p[k] + rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(s[k] / (1 - 0.99 ** step)) + 1e-10)
-    z = p["r"] @ p["c"] @ p["q"].T + p["b"]
-    z -= z.max(1, keepdims=True)
-    return (z - np.log(np.exp(z).sum(1, keepdims=True))) / math.log(10)
+    h, z = p["r"] @ p["c"], np.empty(rows)
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
+        x = h[lo:hi] @ p["q"].T + p["b"]
+        top = x.max(1)
+        z[lo:hi] = top + np.log(np.exp(x - top[:, None]).sum(1))
+    return {"h": h, "q": p["q"], "b": p["b"], "z": z}
 
 
 def fit(texts: DataFrame) -> Model:
@@ -155,18 +253,15 @@ def fit(texts: DataFrame) -> Model:
     hot = counts.where(F.col("c") >= least).toArrow() if bins and (taken == 0 or least > 1) else None
     keys = hot.column("h").to_numpy() if hot else np.zeros(0, np.int64)
     model = Model(counts, keys, hot.column("c").to_numpy() if hot else np.zeros(0, np.int64), n, v)
-    width = model.n_classes + 1
+    width = model.n_classes
     shared = texts.sparkSession.sparkContext.broadcast(model_parts(model))
-    found = _counted(texts, lambda f, starts: _pair_keys(from_parts(shared.value), f, starts, width)).toArrow()
-    pairs = np.zeros((width, width - 1))
-    key = found.column("h").to_numpy()
-    pairs[key // width, key % width] = found.column("c").to_numpy()
-    model.log10p = train(pairs)
+    found = _counted(texts, lambda f, starts: _pair_keys(from_parts(shared.value), f, starts, width))
+    model.vectors = learn(_by_block(_gathered(found), width + 1, width), width + 1, width)
     return model
 
 
 def model_parts(model: Model) -> dict:
-    """What tasks need of a model: numpy arrays and numbers of bounded size."""
+    """What tasks need of a model: numpy arrays of the hot words and the classes."""
     return {k: x for k, x in vars(model).items() if k != "counts"}
 
 
@@ -200,11 +295,13 @@ def _scored(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             if hot.any():
                 logs[hot] = np.log10(model.hot_counts[at[hot]] + 1.0)
             keys = batch.column("row").to_numpy()[lo:hi]
+            own = model.logs(prev, cls)
+            among = np.flatnonzero(cls >= model.n_own)  # the share of a word in a shared class
+            own[among] += logs[among] - model.shared_log[cls[among] - model.n_own]
             out = [keys, np.full(hi - lo, None), np.diff(starts), _sums(hot.astype(np.int64), starts),
-                   _sums(logs, starts), _sums(model.log10p[prev, cls] + np.where(cls == 0, logs, 0.0), starts),
-                   _sums((cls == 0).astype(np.int64), starts)]
-            names = ["row", "h", "n", "known", "logs", "model", "other"]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
+                   _sums(logs, starts), _sums(own, starts)]
+            names = ["row", "h", "n", "known", "logs", "model"]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
             through = batch.columns[2:]
             kept = batch.schema.names[2:]
             yield pa.RecordBatch.from_arrays(
@@ -219,7 +316,7 @@ def _scored(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
                 none = pa.nulls(len(new), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys[r[new]]), pa.array(f[new]), pa.array(times), none,
-                     none.cast(pa.float64()), none.cast(pa.float64()), none,
+                     none.cast(pa.float64()), none.cast(pa.float64()),
                      *(pa.nulls(len(new), c.type) for c in through)], names=names + kept)
 
 
@@ -233,7 +330,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     kinds = "".join(f", k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(kept))
     found = materialize(map_batches(
         named, lambda batches: _scored(from_parts(shared.value), batches),
-        "row long, h long, n long, known long, logs double, model double, other long" + kinds), "op4-scored")
+        "row long, h long, n long, known long, logs double, model double" + kinds), "op4-scored")
     rare = (found.where("h is not null").select("row", "h", "n")
             .join(model.counts, "h", "left")
             .groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"),
@@ -241,7 +338,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     whole = found.where("h is null").drop("h").join(rare, "row", "left")
     more, rare_known = F.coalesce("rare_logs", F.lit(0.0)), F.coalesce("rare_known", F.lit(0))
     base = F.col("logs") + more - F.col("n") * F.lit(math.log10(model.n + model.v + 1))
-    own = F.col("model") + more - F.col("other") * F.lit(math.log10(model.n_other + model.v_other + 1))
+    own = F.col("model") + more
     return whole.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(kept)),
                         F.col("n").alias("n_tokens"), (F.col("known") + rare_known).alias("n_known"),
                         F.lit(model.n).cast("long").alias("train_tokens"), base.alias("base_score"), own.alias("score"))
