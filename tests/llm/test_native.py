@@ -70,6 +70,22 @@ def test_winnowing_guarantee_and_positions(spark):
     assert all([x["pos"] for x in r.fingerprint] == sorted({x["pos"] for x in r.fingerprint}) for r in found)
 
 
+def test_winnowing_of_texts_without_white_space(spark, tmp_path):
+    """Near copies of Chinese, Thai and minified text are alike; short words stay whole."""
+    rng = random.Random(5)
+    rows = []
+    for k, letters in enumerate(("天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往秋收冬藏", "กขคงจฉชซญดตถทนบปผพ", "abcdef01(){};=+.🎉")):
+        text = "".join(rng.choice(letters) for _ in range(600))
+        rows += [(4 * k, text), (4 * k + 1, text[:300] + "#" + text[301:])]
+    rows.append((20, f"{'w' * winnowing.RUN} {'v' * (winnowing.RUN + 1)} 中x文"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op6_winnowing"](spark, str(tmp_path)).collect()}
+    assert all(got[4 * k].near_next > 0.8 and got[4 * k].near_edited > 0.3 and got[4 * k + 1].near_edited > 0.2 for k in range(3))
+    units = df.where("doc_id = 20").select(F.regexp_extract_all("text", F.lit(winnowing.MIXED), F.lit(0))).first()[0]
+    assert units == ["w" * winnowing.RUN, *"v" * (winnowing.RUN + 1), "中", "x", "文"]
+
+
 def base_spans(text):
     pats = [(secret_scan.ASSIGN, 2, 6), (secret_scan.ACCESS, 0, 20), (secret_scan.HEX, 0, 24)]
     return sorted((m.start(), k, m.end()) for k, (p, g, n) in enumerate(pats) for m in re.finditer(p, text or "") if len(m.group(g)) >= n)

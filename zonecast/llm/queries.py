@@ -47,7 +47,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return winnowing.edited_likeness(table(spark, sf_dir, "documents"))
+    return winnowing.edited_likeness(table(spark, sf_dir, "documents"), unit="mixed")
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
