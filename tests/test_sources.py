@@ -92,6 +92,23 @@ def test_kmeans_folded_duplicates_keep_the_objective(spark):
     assert raw == pytest.approx(cost, rel=1e-9)
 
 
+def test_forecast_keeps_the_best_round_under_patience(spark):
+    from zonecast.operators import forecast as fo
+    from zonecast.plans import catalog, context as C
+    assert catalog.ML_ITER == 500
+    assert fo.best_round([5, 4, 4.5, 3, 3, 3.5, 1], 2) == 4 and fo.best_round([5, 4, 4.5, 3, 3, 3.5, 1], 3) == 7
+    ft = C.features_table(spark, SF_SMALL)
+    (fc, data), (full, _) = (fo.train(ft, max_iter=30, horizons=fo.P.HORIZONS[:1], patience=p) for p in (3, 30))
+    val = fc.assemble(data.where("is_val")).withColumn("target_15m", F.col("target_15m").cast("double"))
+    errors = full.models["15m"].evaluateEachIteration(val, "squared")
+    kept = fc.models["15m"].evaluateEachIteration(val, "squared")
+    assert kept == pytest.approx(errors[:len(kept)]) and min(kept) == kept[-1]
+    path = tempfile.mkdtemp(prefix="fc-") + "/m"
+    fc.save(path)
+    a, b = (x.predict(data).agg(F.sum("pred_15m")).first()[0] for x in (fc, fo.Forecaster.load(path)))
+    assert a == pytest.approx(b)
+
+
 def test_forecast_fit_is_reproducible(spark):
     """Same seed, same data: the same trees (row layout fixed before the fit)."""
     from zonecast.operators.forecast import train

@@ -5,7 +5,9 @@ on the chronological 80 % and scored on the rest. Spark's GBT grows
 depth-limited trees, not the reference's leaf-wise ones, so numbers differ;
 the interface and the evaluation are the same. Early stopping uses a
 validation slice cut from the end of the training rows (the reference
-stops on its test slice, which then also scores it).
+stops on its test slice, which then also scores it): all rounds are fitted on
+the other training rows, and the rounds up to the best one that ``patience``
+further rounds do not improve are kept.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import params as P
+from ..session import checkpoint_dir
 from .split import chronological_split
 
 VECTOR = "features_vec"
@@ -84,9 +87,36 @@ def prepare(features: DataFrame, frac: float = 0.8, val_frac: float = 0.1) -> Da
     return s.withColumn("is_val", (F.col("split") == "train") & (F.col("row_idx") >= val_start))
 
 
-def train(features: DataFrame, max_iter: int = 30, max_depth: int = 5, step_size: float = 0.05,
+def best_round(errors: list[float], patience: int) -> int:
+    """Rounds up to the least error before ``patience`` rounds without gain."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def first_rounds(model, n: int):
+    """The boosted model cut to its first ``n`` trees."""
+    from pyspark import SparkContext
+    from pyspark.ml.regression import GBTRegressionModel
+    sc, full = SparkContext._active_spark_context, model._java_obj
+    jvm = sc._jvm
+    trees = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = sc._gateway.new_array(jvm.double, n)
+    for to, of in ((trees, full.trees()), (weights, full.treeWeights())):
+        for i in range(n):
+            to[i] = of[i]
+    cut = jvm.org.apache.spark.ml.regression.GBTRegressionModel(full.uid(), trees, weights, full.numFeatures())
+    cut = full.copyValues(cut, jvm.org.apache.spark.ml.param.ParamMap.empty())
+    return model._copyValues(GBTRegressionModel(cut))
+
+
+def train(features: DataFrame, max_iter: int = 500, max_depth: int = 5, step_size: float = 0.05,
           seed: int = P.SEED, with_supply: bool = True, learner: str = "gbt",
-          horizons=P.HORIZONS, rows_per_partition: int = 250_000) -> tuple[Forecaster, DataFrame]:
+          horizons=P.HORIZONS, rows_per_partition: int = 250_000, patience: int = 50) -> tuple[Forecaster, DataFrame]:
     """Fit one model per horizon on the training rows.
 
     Returns the forecaster and the prepared (split-labelled) data.
@@ -112,15 +142,18 @@ def train(features: DataFrame, max_iter: int = 30, max_depth: int = 5, step_size
                   .persist())
 
     def fit(h, target):
-        if learner == "gbt":
-            est = GBTRegressor(featuresCol=VECTOR, labelCol=target, maxIter=max_iter,
-                               maxDepth=max_depth, stepSize=step_size, seed=seed,
-                               validationIndicatorCol="is_val", validationTol=0.0)
-        else:
-            est = RandomForestRegressor(featuresCol=VECTOR, labelCol=target, numTrees=max_iter,
-                                        maxDepth=max_depth, seed=seed)
-        return h, est.fit(train_rows.withColumn(target, F.col(target).cast("double")))
-
+        rows = train_rows.withColumn(target, F.col(target).cast("double"))
+        if learner != "gbt":
+            return h, RandomForestRegressor(featuresCol=VECTOR, labelCol=target, numTrees=max_iter,
+                                            maxDepth=max_depth, seed=seed).fit(rows)
+        model = GBTRegressor(featuresCol=VECTOR, labelCol=target, maxIter=max_iter, maxDepth=max_depth,
+                             stepSize=step_size, seed=seed).fit(rows.where("not is_val"))
+        val = rows.where("is_val")
+        if val.isEmpty():
+            return h, model
+        return h, first_rounds(model, best_round(model.evaluateEachIteration(val, "squared"), patience))
+
+    checkpoint_dir(features.sparkSession)       # boosting cuts its lineage there
     try:
         train_rows.count()                      # fill the cache once, before the fits
         # the horizons are independent: their jobs run side by side on the cluster

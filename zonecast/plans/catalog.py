@@ -465,8 +465,8 @@ def _forecaster(spark, sf_dir, learner="gbt", max_iter=None):
         return _models[key]
 
 
-ML_ITER = 20
-RF_TREES = 20
+ML_ITER = 500
+RF_TREES = 100
 
 
 @register("kmeans_zones")
