@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe_codec, jaccard_join, lm_score, multi_index, quality_rules, secret_scan, source_mix, suffix_dedup, token_counts, winnowing
+from zonecast.llm import best_fit, bpe_codec, centroid_tree, fill_middle, jaccard_join, lm_score, multi_index, quality_rules, secret_scan, source_mix, suffix_dedup, token_counts, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +72,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op11_centroid_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_tree.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return best_fit.pack(best_fit.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -83,8 +96,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_multi_index": op8_multi_index,
     "op9_source_mix": op9_source_mix,
     "op10_quality_rules": op10_quality_rules,
+    "op11_centroid_tree": op11_centroid_tree,
+    "op12_best_fit": op12_best_fit,
+    "op13_fill_middle": op13_fill_middle,
 }
 
+
+def _lloyd_sql(k: int, rounds: int, dim: int) -> str:
+    """Lloyd's rounds over integer vectors, every centroid compared."""
+    steps = [f"""v as (
+  select row_number() over () as r, vec_id, list_transform(embedding::double[], lambda x: floor({dim} * x)::bigint) as v
+  from embeddings
+  where len(embedding) = {dim} and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+c0 as (select row_number() over (order by sha256('1:' || coalesce(vec_id::varchar, 'null')), v) - 1 as c, v as m
+       from v qualify c < {k})"""]
+    d = f"list_sum(list_transform(range(1, {dim + 1}), lambda i: (v.v[i] - x.m[i]) * (v.v[i] - x.m[i])))::bigint"
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} as (select r, vec_id, v, min(struct_pack(d, c)) as b
+       from (select v.r, v.vec_id, v.v, x.c, {d} as d from v cross join c{i} x) group by all)""")
+        steps.append(f"""c{i + 1} as (
+  select x.c, coalesce(n.m, x.m) as m from c{i} x left join (
+    select c, list((s - ((s % n) + n) % n) // n order by i)::bigint[] as m from (
+      select b.c as c, i, sum(v[i]) as s, count(*) as n from a{i}, range(1, {dim + 1}) t(i) group by 1, 2)
+    group by c) n using (c))""")
+    return f"""with {", ".join(steps)}
+select a.vec_id, a.b.c::int as cluster, a.b.d as distance, (sum(a.b.d) over (partition by a.b.c))::bigint as cluster_inertia,
+       (sum(a.b.d) over ())::bigint as inertia, sha256(array_to_string(x.m, ',')) as centroid_sha256
+from a{rounds} a join c{rounds} x on x.c = a.b.c"""
+
+
 SQL: dict[str, str] = {
     "op2_jaccard_join": r"""
 with recursive w as (
@@ -135,4 +175,23 @@ p as (select d.*, e.epochs, (e.epochs - floor(e.epochs)) * e.t as budget,
 select doc_id, source, n as n_tokens,
        (floor(epochs) + case when upto <= budget and n > 0 then 1 else 0 end)::bigint as n_copies, place
 from p""",
+    "op11_centroid_tree": _lloyd_sql(16, 3, 64),
+    "op13_fill_middle": """
+with h as (
+  select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n,
+         sha256('1:' || coalesce(doc_id::varchar, 'null')) as h
+  from documents),
+g as (select *, [('0x' || substr(h, 1 + 8 * i, 8))::bigint for i in range(4)] as d from h),
+c as (
+  select *, least(d[1] % (n + 1), d[2] % (n + 1)) as a, greatest(d[1] % (n + 1), d[2] % (n + 1)) as b,
+         case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or d[3] % 100 >= 90 then 'plain'
+              when d[4] % 100 < 20 then 'spm' else 'psm' end as form
+  from g),
+x as (select *, substring(t, 1, a) as p, substring(t, a + 1, b - a) as m, substring(t, b + 1) as s from c)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then a end as prefix_chars,
+       case when form <> 'plain' then b - a end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+              else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+       sha256(t) as restored_sha256
+from x""",
 }
