@@ -160,12 +160,14 @@ def test_match_across_ranges_equals_one_stack(spark, rows):
     """Pairs found inside ranges and by rank between ranges are those of one sweep."""
     rng = random.Random(rows)
     pieces = [(i, rng.randrange(1, 60), (i,)) for i in range(150)]
-    gaps = [(i, 100, rng.randrange(1, 70), 1) for i in range(90)]
+    gaps = [(i, rng.randrange(1, 70), 1) for i in range(90)]
     active = spark.createDataFrame(pieces, "uid long, size long, row struct<i: long>")
-    slots = spark.createDataFrame(gaps, "seq long, free long, size long, slot long")
-    got = {r.uid: r.seq for r in best_fit.match(active, slots, 240, rows).where("met").collect()}
+    slots = spark.createDataFrame(gaps, "seq long, size long, slot long")
+    done, rest = best_fit.match(active, slots, 240, rows)
+    got = {r.uid: r.seq for r in done.collect()}
+    assert sorted([*got, *(r.uid for r in rest.collect())]) == list(range(150))
     stack, want = [], {}
-    for size, piece, i in sorted([(-s, 1, i) for i, s, _ in pieces] + [(-s, 0, i) for i, _, s, _ in gaps]):
+    for size, piece, i in sorted([(-s, 1, i) for i, s, _ in pieces] + [(-s, 0, i) for i, s, _ in gaps]):
         if not piece:
             stack.append(i)
         elif stack:

@@ -13,9 +13,9 @@ begins. Before a round, as many sequences are opened as the band needs at least
 volume. A gap that could take several of the largest pieces is offered in parts of
 that size, so that small pieces don't need a round each.
 
-The driver sees histograms over sizes (``capacity`` rows at most) and two counts a
+The driver sees histograms over sizes (``capacity`` rows at most) and one count a
 range; rows move between tasks only. The number of rounds follows the spread of the
-sizes (11 to 17 in trials from 1,000 to 1,000,000 pieces), not their number.
+sizes (6 to 16 in trials from 1,000 to 1,000,000 pieces), not their number.
 
 Defined results: null counts as empty, which is one token (the end); a piece of full
 length is a sequence of its own; rows with one id, and equal rows, are packed each by
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import tiktoken
-from pyspark import SparkFiles, TaskContext
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -43,8 +43,10 @@ from zonecast.session import materialize
 
 #: Rows of a sweep that a task takes.
 ROWS = 250_000
-#: Below this size all pieces are one band.
-SMALL = 64
+#: Rows of a table between rounds that a file holds at least.
+FILE_ROWS = 20_000
+#: From this share of the capacity down all pieces are one band.
+SMALL = 8
 _coders: dict[tuple[str, str], Coder] = {}
 
 
@@ -137,55 +139,63 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     t = pa.Table.from_batches(held)
     piece = t.column("piece").to_numpy()
     rank, gaps, taken = brackets(piece)
-    seq, slot, free = (t.column(c).to_numpy().copy() for c in ("seq", "slot", "free"))
+    seq, slot = (t.column(c).to_numpy().copy() for c in ("seq", "slot"))
     met = np.zeros(len(piece), dtype=bool)
     met[taken] = True
-    for c in (seq, slot, free):
+    for c in (seq, slot):
         c[taken] = c[gaps]
     stay = piece.copy()
     stay[~piece] = True
     stay[gaps] = False
-    columns = [t.column("piece"), t.column("uid"), t.column("size"), pa.array(seq), pa.array(slot), pa.array(free), t.column("row"),
-               pa.array(met), pa.array(rank.astype(np.int64)), pa.array(np.full(len(piece), TaskContext.get().partitionId(), np.int64))]
-    out = pa.Table.from_arrays(columns, names=["piece", "uid", "size", "seq", "slot", "free", "row", "met", "rank", "part"])
+    columns = [t.column("piece"), t.column("uid"), t.column("size"), pa.array(seq), pa.array(slot), t.column("row"),
+               t.column("part"), pa.array(met), pa.array(rank.astype(np.int64))]
+    out = pa.Table.from_arrays(columns, names=["piece", "uid", "size", "seq", "slot", "row", "part", "met", "rank"])
     yield from out.filter(pa.array(stay)).to_batches(max_chunksize=20_000)
 
 
-def match(active: DataFrame, slots: DataFrame, count: int, rows: int = ROWS) -> DataFrame:
-    """One round: the pieces ``active`` (uid, size, row) with the sequence, part of a
-    gap and free room that each one got (``met``), or none."""
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of about ``rows`` rows in no more partitions than those need."""
+    return df.coalesce(max(1, -(-rows // FILE_ROWS)))
+
+
+def match(active: DataFrame, slots: DataFrame, count: int, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
+    """One round over the pieces ``active`` (uid, size, row), ``count`` rows with the
+    slots: (uid, size, seq, slot, row) of those that got a part of a gap, and (uid,
+    size, row) of the others."""
     spark = active.sparkSession
     kind = active.schema["row"].dataType
     none = F.lit(-1).cast("long")
-    both = (active.select(F.lit(True).alias("piece"), "uid", "size", none.alias("seq"), none.alias("slot"), none.alias("free"), "row")
-            .unionByName(slots.select(F.lit(False).alias("piece"), F.col("seq").alias("uid"), "size", "seq", "slot", "free",
+    both = (active.select(F.lit(True).alias("piece"), "uid", "size", none.alias("seq"), none.alias("slot"), "row")
+            .unionByName(slots.select(F.lit(False).alias("piece"), F.col("seq").alias("uid"), "size", "seq", "slot",
                                       F.lit(None).cast(kind).alias("row"))))
     order = [F.desc("size"), F.asc("piece"), F.asc("uid"), F.asc("slot")]
-    dealt = both.repartitionByRange(max(1, -(-count // rows)), *order).sortWithinPartitions(*order)
-    out = (f"piece boolean, uid long, size long, seq long, slot long, free long, row {kind.simpleString()}, met boolean, "
-           "rank long, part long")
-    swept = materialize(map_batches(dealt, _sweep, out), "best-fit-sweep")
-    # gaps less pieces left in the ranges before each range: two counts a range
-    left = swept.where("not met").groupBy("part").agg(F.sum(F.when(F.col("piece"), -1).otherwise(1)).alias("d")).collect()
+    dealt = (both.repartitionByRange(max(1, -(-count // rows)), *order).sortWithinPartitions(*order)
+             .withColumn("part", F.spark_partition_id()))
+    out = f"piece boolean, uid long, size long, seq long, slot long, row {kind.simpleString()}, part int, met boolean, rank long"
+    swept = materialize(few(map_batches(dealt, _sweep, out), count), "best-fit-sweep")
+    # gaps less pieces left in the ranges before each range: one count a range
+    left = few(swept.where("not met").groupBy("part").agg(F.sum(F.when(F.col("piece"), -1).otherwise(1)).alias("d")), 1).collect()
     base, before = [], 0
     for r in sorted(left, key=lambda r: r["part"]):
         base.append((r["part"], before))
         before += r["d"]
-    done = swept.where("met").select("uid", "size", "seq", "slot", "free", "row", "met")
-    if len(base) < 2:
-        return done.unionByName(swept.where("piece and not met").select(*done.columns))
-    rest = swept.where("not met").join(F.broadcast(spark.createDataFrame(base, "part long, base long")), "part")
-    w = Window.partitionBy(F.col("rank") + F.col("base")).orderBy("part", F.desc("piece"))
-    gap = F.struct("piece", "seq", "slot", "free")
-    rest = rest.withColumn("gap", F.lag(gap).over(w)).where("piece")
-    hit = F.coalesce(~F.col("gap.piece"), F.lit(False))
-    rest = rest.select("uid", "size", *[F.when(hit, F.col(f"gap.{c}")).otherwise(F.col(c)).alias(c) for c in ("seq", "slot", "free")],
-                       "row", hit.alias("met"))
-    return done.unionByName(rest)
+    done = swept.where("met").select("uid", "size", "seq", "slot", "row")
+    rest = swept.where("not met")
+    if len(base) > 1:
+        rest = rest.join(F.broadcast(spark.createDataFrame(base, "part int, base long")), "part")
+        w = Window.partitionBy(F.col("rank") + F.col("base")).orderBy("part", F.desc("piece"))
+        rest = rest.withColumn("gap", F.lag(F.struct("piece", "seq", "slot")).over(w)).where("piece")
+        hit = F.coalesce(~F.col("gap.piece"), F.lit(False))
+        rest = materialize(few(rest.select("uid", "size", F.when(hit, F.col("gap.seq")).alias("seq"),
+                                           F.when(hit, F.col("gap.slot")).alias("slot"), "row"), count), "best-fit-rest")
+        done, rest = done.unionByName(rest.where("seq is not null")), rest.where("seq is null")
+    else:
+        rest = rest.where("piece")
+    return done, rest.select("uid", "size", "row")
 
 
 def _histogram(df: DataFrame, size: str) -> dict[int, int]:
-    return {int(r[0]): int(r[1]) for r in df.groupBy(size).count().collect()}
+    return {int(r[0]): int(r[1]) for r in few(df.groupBy(size).count(), 1).collect()}
 
 
 def pack(pieces: DataFrame, capacity: int = 2048, length_col: str = "length", rows: int = ROWS) -> DataFrame:
@@ -198,13 +208,13 @@ def pack(pieces: DataFrame, capacity: int = 2048, length_col: str = "length", ro
     if waiting and not 1 <= min(waiting) <= max(waiting) <= capacity:
         raise ValueError(f"a length is outside 1..{capacity}")
     # a full piece needs no search; sequences below zero are theirs
-    out = [base.where(F.col("size") == capacity).select("row", (-1 - F.col("uid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
+    full = base.where(F.col("size") == capacity).select("row", (-1 - F.col("uid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     waiting.pop(capacity, None)
     top, left, late = capacity - 1, None, {}              # base sizes up to top are not yet active
-    open_, gaps, opened = None, {}, 0                     # (seq, free) and its histogram
+    open_, gaps, opened, placed = None, {}, 0, []         # (seq, free) and its histogram
     while waiting or late:
         most = max([*waiting, *late])
-        cut = most // 2 if most > SMALL else 0
+        cut = most // 2 if most > capacity // SMALL else 0
         now = {s: n for s, n in waiting.items() if s > cut}
         waiting = {s: n for s, n in waiting.items() if s <= cut}
         fresh = base.where((F.col("size") > cut) & (F.col("size") <= top))
@@ -216,30 +226,27 @@ def pack(pieces: DataFrame, capacity: int = 2048, length_col: str = "length", ro
         more = spark.range(opened, opened + new).select(F.col("id").alias("seq"), F.lit(capacity).cast("long").alias("free"))
         opened += new
         state = more if open_ is None else open_.unionByName(more)
-        parts = F.when(F.col("free") >= 2 * most, F.floor(F.col("free") / most)).otherwise(1)
+        several = F.col("free") >= 2 * most
         slots = state.where(F.col("free") >= least).select(
-            "seq", "free", F.when(F.col("free") >= 2 * most, F.lit(most)).otherwise(F.col("free")).cast("long").alias("size"),
-            F.explode(F.sequence(F.lit(1).cast("long"), parts.cast("long"))).alias("slot"))
+            "seq", F.when(several, F.lit(most)).otherwise(F.col("free")).cast("long").alias("size"),
+            F.explode(F.sequence(F.lit(1).cast("long"), F.when(several, F.floor(F.col("free") / most)).otherwise(1).cast("long"))).alias("slot"))
         count = sum(now.values()) + sum(late.values()) + sum(
             n * max(1, f // most) for f, n in [*gaps.items(), (capacity, new)] if f >= least)
-        got = match(active, slots, count, rows)
-        w = Window.partitionBy("seq").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-        place = F.lit(capacity) - F.col("free") + F.coalesce(F.sum("size").over(w), F.lit(0))
-        placed = got.where("met").withColumn("offset", place.cast("long")).select("uid", "size", "row", "seq", "offset")
-        missed = got.where("not met").select("uid", "size", "row", F.lit(None).cast("long").alias("seq"), F.lit(None).cast("long").alias("offset"))
-        result = materialize(placed.unionByName(missed), "best-fit-round")
-        placed = result.where("seq is not null")
-        out.append(placed.select("row", F.col("seq").alias("sequence_id"), "offset"))
-        left = result.where("seq is null").select("uid", "size", "row")
+        done, left = match(active, slots, count, rows)
+        placed.append(done.select("seq", F.lit(len(placed)).alias("round"), "slot", "size", "row"))
         late = _histogram(left, "size")
-        floor_ = min([*waiting, *late], default=capacity)
-        open_ = materialize(state.unionByName(placed.select("seq", (-F.col("size")).alias("free"))).groupBy("seq")
-                            .agg(F.sum("free").alias("free")).where(F.col("free") >= floor_), "best-fit-gaps")
-        gaps = _histogram(open_, "free") if waiting or late else {}
-    all_ = out[0]
-    for o in out[1:]:
-        all_ = all_.unionByName(o)
-    return all_.select("row.*", "sequence_id", "offset")
+        if waiting or late:
+            taken = state.unionByName(done.select("seq", (-F.col("size")).alias("free"))).groupBy("seq").agg(F.sum("free").alias("free"))
+            open_ = materialize(few(taken.where(F.col("free") >= min([*waiting, *late])), sum(gaps.values()) + new), "best-fit-gaps")
+            gaps = _histogram(open_, "free")
+    if not placed:
+        return full.select("row.*", "sequence_id", "offset")
+    every = placed[0]
+    for p in placed[1:]:
+        every = every.unionByName(p)
+    w = Window.partitionBy("seq").orderBy("round", "slot").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("size").over(w), F.lit(0)).cast("long").alias("offset")
+    return full.unionByName(every.select("row", F.col("seq").alias("sequence_id"), offset)).select("row.*", "sequence_id", "offset")
 
 
 def sequences(packed: DataFrame, ids_col: str = "ids") -> DataFrame:
