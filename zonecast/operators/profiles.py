@@ -115,31 +115,33 @@ def dataset_kpis(features: DataFrame, rides: DataFrame) -> DataFrame:
         raw.alias("raw_rides"))
 
 
-QUANTILE_BLOCKS = 1024
-
-
-def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """Exact quantiles (linear interpolation) at any size: (column_name, q).
-
-    Equal values of a column are counted first (combined map-side), then the
-    running counts of the distinct values are taken in two levels, over at most
-    ``QUANTILE_BLOCKS`` value ranges of a column and inside each range, and the
-    values at the wanted ranks picked. No task holds a column.
+def ranked_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, v, c, last, n, block): every distinct value of each column, how
+    often it occurs, how many rows are not above it, and the column's rows.
+
+    Equal values are counted first (combined map-side). The counted values are then
+    dealt into ranges of about equally many of them (``repartitionByRange``, so an
+    outlier or a crowded stretch makes no range heavier), and the running counts are
+    taken inside each range and over one row a range. No task holds a column.
     """
     pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns]
     counts = (df.select(F.inline(F.array(*pairs))).where("v is not null")
               .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("c")))
-    counts = materialize(counts, "value-counts")
-    extent = counts.groupBy("column_name").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"))
-    place = F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * (QUANTILE_BLOCKS - 1))
-    rows = counts.join(extent, "column_name").withColumn(
-        "block", F.when(F.col("hi") > F.col("lo"), place).otherwise(0).cast("int"))
+    rows = materialize(counts.repartitionByRange("column_name", "v").withColumn("block", F.spark_partition_id()), "value-ranges")
     earlier = Window.partitionBy("column_name").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     before = (rows.groupBy("column_name", "block").agg(F.sum("c").alias("b"))
-              .select("column_name", "block", F.coalesce(F.sum("b").over(earlier), F.lit(0)).alias("before")))
+              .select("column_name", "block", F.coalesce(F.sum("b").over(earlier), F.lit(0)).alias("before"),
+                      F.sum("b").over(Window.partitionBy("column_name")).alias("n")))
     inside = Window.partitionBy("column_name", "block").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("upto", F.sum("c").over(inside)).join(before, ["column_name", "block"])
-    last = F.col("before") + F.col("upto")
+    return (rows.withColumn("upto", F.sum("c").over(inside)).join(before, ["column_name", "block"])
+            .select("column_name", "v", "c", (F.col("before") + F.col("upto")).alias("last"), "n", "block"))
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact quantiles (linear interpolation) at any size: (column_name, q), the
+    values at the wanted ranks of ``ranked_values``."""
+    rows = ranked_values(df, columns)
+    last = F.col("last")
     aggs = []
     for i, p in enumerate(probs):
         pos = (F.col("n") - 1) * F.lit(float(p))

@@ -21,11 +21,10 @@ from ..operators.demand import demand_grid, supply_fill, zone_demand
 from ..operators.fleet import (action_mix, add_revenue, allocate, fleet_kpis, revenue_share,
                                top_by_demand)
 from ..operators.features import FEATURE_ORDER
-from ..operators.forecast import importance_table, metrics, model_card, train
+from ..operators.forecast import importance_table, metrics, model_card, prepare, train
 from ..operators.policy import batch_q, transitions
 from ..operators.scenario import (allocation_records, baseline_forecast, scenario_alloc,
                                   scenario_grid, scenario_kpis)
-from ..operators.split import chronological_split
 from ..operators.zones import fit_kmeans, kmeans_zone_table
 from ..streaming.demand_stream import events_stream, run_to_table, zone_demand_stream
 from ..streaming.request_scoring import history_lookup, score_requests
@@ -456,12 +455,25 @@ _models: dict = {}
 _models_lock = threading.Lock()
 
 
+_splits: dict = {}
+_splits_lock = threading.Lock()
+
+
+def _split(spark, sf_dir):
+    """The split rows of the feature table, written once for all their readers."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _splits_lock:
+        if key not in _splits:
+            _splits[key] = prepare(_ft(spark, sf_dir))
+        return _splits[key]
+
+
 def _forecaster(spark, sf_dir, learner="gbt", max_iter=None):
     iters = max_iter or (ML_ITER if learner == "gbt" else RF_TREES)
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), learner, iters)
     with _models_lock:
         if key not in _models:
-            _models[key] = train(_ft(spark, sf_dir), max_iter=iters, learner=learner)
+            _models[key] = train(_ft(spark, sf_dir), max_iter=iters, learner=learner, data=_split(spark, sf_dir))
         return _models[key]
 
 
@@ -480,7 +492,7 @@ def q_kmeans_zones(spark, sf_dir):
 def _baseline_test(spark, sf_dir):
     """The test slice with the forecast of J11 fitted on the training slice:
     an exact predictor on the models' path to the allocation."""
-    data = materialize(chronological_split(_ft(spark, sf_dir)), "split")
+    data = _split(spark, sf_dir)
     keys = ["zone_id", "hour", "day_of_week"]
     fit = baseline_forecast(data.where(F.col("split") == "train"))
     test = data.where(F.col("split") == "test").join(fit, keys, "left")
@@ -524,7 +536,7 @@ def q_forecast_kpis(spark, sf_dir):
 
 @register("time_split")
 def q_time_split(spark, sf_dir):
-    s = chronological_split(_ft(spark, sf_dir))
+    s = _split(spark, sf_dir)
     return s.select("time_bin", "zone_id", "row_idx", "split")
 
 

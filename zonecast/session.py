@@ -39,6 +39,17 @@ def get_session(master: str | None = None, app: str = "zonecast",
     return spark
 
 
+def reach(spark: SparkSession) -> None:
+    """Puts this package's folder on the Python path of tasks, so that a local
+    session finds it wherever the driver was started; a cluster gets the package
+    with ``--py-files`` or on its machines."""
+    env = spark.sparkContext.environment
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if top not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, top])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
