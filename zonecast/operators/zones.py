@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import params as P
+from ..session import materialize
+from . import kmeans
 from ..functions.geo import cell_count, cell_index, with_nearest_zone
 
 ZONE_SCHEMA = T.StructType([
@@ -61,53 +62,23 @@ def attach_centroids(df: DataFrame, zones: DataFrame) -> DataFrame:
 
 def fit_kmeans(rides: DataFrame, k: int = P.NUM_CLUSTERS, seed: int = P.SEED,
                n_init: int = 10, max_iter: int = 300, fold_duplicates: bool = True,
-               tol: float = 1e-4, rows_per_partition: int = 500_000):
-    """Fit zones (J2): Spark ML K-Means on raw degrees, best of ``n_init`` seeds.
-
-    Each fit is a distributed job (k-means|| init); only the k centroids
-    come back to the driver. With ``fold_duplicates`` identical pickup
-    points become one point weighted by its count (a count aggregate,
-    combined map-side, so a hot point costs nothing extra): the weighted
-    objective and Lloyd steps equal those over the raw points, and the
-    cached set every iteration reads shrinks by the duplicate factor.
-    """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
+               tol: float = 1e-4, rows_per_partition: int = 500_000) -> tuple[kmeans.Centers, float]:
+    """Fit zones (J2): K-Means on raw degrees, best of ``n_init`` starts, all starts in
+    the same passes (``kmeans.fit``). Returns the model and its cost.
 
-    xy = rides.select("pickup_lat", "pickup_long").where(
-        F.col("pickup_lat").isNotNull() & F.col("pickup_long").isNotNull())
+    With ``fold_duplicates`` identical pickup points become one point weighted by its
+    count (a count aggregate, combined map-side, so a hot point costs nothing extra):
+    the weighted objective and Lloyd steps equal those over the raw points.
+    """
+    xy = rides.select(F.col("pickup_lat").cast("double").alias("lat"), F.col("pickup_long").cast("double").alias("lon")).where(
+        F.col("lat").isNotNull() & F.col("lon").isNotNull())
     if fold_duplicates:
-        xy = xy.groupBy("pickup_lat", "pickup_long").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+        xy = xy.groupBy("lat", "lon").agg(F.count(F.lit(1)).cast("double").alias("weight"))
     else:
         xy = xy.withColumn("weight", F.lit(1.0))
-    # A fixed layout: the seeded k-means|| sampling depends on where points
-    # sit, so the partition count follows the point count (not AQE's
-    # size-based coalescing) and each partition is sorted. The folded set is
-    # cached first, so the rides are read once.
-    xy = xy.persist()
-    n_pts = xy.count()
-    parts = max(1, -(-n_pts // rows_per_partition))
-    xy_fixed = (xy.repartition(parts, "pickup_lat", "pickup_long")
-                .sortWithinPartitions("pickup_lat", "pickup_long", "weight"))
-    pts = VectorAssembler(inputCols=["pickup_lat", "pickup_long"], outputCol="features") \
-        .transform(xy_fixed).select("features", "weight")
-    pts = pts.persist()
-
-    def fit(i):
-        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, initMode="k-means||",
-                       weightCol="weight", tol=tol).fit(pts)
-        return model, model.summary.trainingCost
-
-    try:
-        pts.count()
-        xy.unpersist()
-        with ThreadPoolExecutor(max_workers=n_init) as pool:   # independent restarts, side by side
-            fits = list(pool.map(fit, range(n_init)))
-    finally:
-        pts.unpersist()
-        xy.unpersist()
-    best = min(fits, key=lambda mc: mc[1])
-    return best[0], best[1]
+    points = materialize(xy, "kmeans-points")          # the rides are read once
+    model = kmeans.fit(points, k, seed, n_init, max_iter, tol, rows_per_partition)
+    return model, model.cost
 
 
 def kmeans_zone_table(spark: SparkSession, model, cost: float | None = None) -> DataFrame:
@@ -117,14 +88,13 @@ def kmeans_zone_table(spark: SparkSession, model, cost: float | None = None) ->
     return spark.createDataFrame(rows, schema=schema)
 
 
-def save_kmeans(model, path: str) -> None:
+def save_kmeans(model: kmeans.Centers, path: str) -> None:
     """Persist the cluster model."""
-    model.write().overwrite().save(path)
+    model.save(path)
 
 
-def load_kmeans(path: str):
-    from pyspark.ml.clustering import KMeansModel
-    return KMeansModel.load(path)
+def load_kmeans(path: str) -> kmeans.Centers:
+    return kmeans.Centers.load(path)
 
 
 def grid_dims(lat_min: float = P.CITY_LAT_MIN, lat_max: float = P.CITY_LAT_MAX,
