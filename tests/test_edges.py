@@ -312,10 +312,9 @@ def test_feature_forms_agree_hourly(spark):
     form still agree, and lag_4 is the demand four hours earlier."""
     from zonecast.plans import context as C
     sf = "/root/testdata/sf0.01"
-    shift = C.features(spark, sf, interval=3600, method="shift")
-    window = C.features(spark, sf, interval=3600, method="window")
-    assert shift.count() > 0
-    assert shift.exceptAll(window).count() == 0 and window.exceptAll(shift).count() == 0
+    shift, window, halo = (C.features(spark, sf, interval=3600, method=m).cache() for m in ("shift", "window", "halo"))
+    assert shift.count() == window.count() == halo.count() > 0
+    assert shift.exceptAll(window).count() == 0 and halo.exceptAll(window).count() == 0
     a = shift.select("time_bin", "zone_id", "lag_4")
     b = shift.select((F.col("time_bin") + F.expr("INTERVAL 4 HOURS")).alias("time_bin"), "zone_id",
                      F.col("demand").alias("lag_4"))
@@ -375,3 +374,45 @@ def test_sample_is_spread(spark):
     ids = sorted(r.ride_id for r in QUERIES["ride_sample"](spark, "/root/testdata/sf0.01").collect())
     gaps = {b - a for a, b in zip(ids, ids[1:], strict=False)}
     assert len(ids) == 1000 and len(gaps) > 30
+
+
+def test_halo_blocks_equal_the_window(spark):
+    """Blocks barely wider than their halo, zones of every length, one of a single bin;
+    rows shuffled stay near one a grid row at the default block."""
+    import datetime as dt
+    import random
+
+    from zonecast.operators.features import BLOCK, _halo_columns, _window_columns
+    rng, start = random.Random(4), dt.datetime(2023, 2, 27, 22, 15)
+    rows = [(start + dt.timedelta(minutes=15 * (i + 50 * z)), str(z), rng.randrange(9))
+            for z, n in enumerate((1, 5, 96, 97, 400)) for i in range(n)]
+    grid = spark.createDataFrame(rows, "time_bin timestamp_ntz, zone_id string, demand long").repartition(3).cache()
+    want = _window_columns(grid)
+    for block in (96, 100, BLOCK):
+        got = _halo_columns(grid, 900, block).select(*want.columns)
+        assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    with pytest.raises(ValueError, match="block"):
+        _halo_columns(grid, 900, 95)
+    assert (96 + 4) / BLOCK <= 0.2
+
+
+def test_policy_solves_its_equation(spark):
+    """q equals reward + 0.9 E[max q(next)] to 1e-6, with several actions a state; a state
+    without a way on is worth nothing; ties go to the first action."""
+    from zonecast.operators.policy import policy
+    t = [("Balanced", "Day", "Hold", "Balanced", "Day", 3, 30.0), ("Balanced", "Day", "Hold", "Surplus", "Day", 1, 2.0),
+         ("Balanced", "Day", "Move Out", "Surplus", "Day", 2, 40.0), ("Surplus", "Day", "Hold", "Balanced", "Day", 5, 5.0),
+         ("Surplus", "Day", "Request Influx", "Balanced", "Day", 5, 5.0), ("Surplus", "Day", "Move Out", "Shortage", "Night", 1, 9.0)]
+    names = "gap_level string, time_of_day string, action string, next_gap_level string, next_time_of_day string, transitions long, reward_sum double"
+    rows = policy(spark.createDataFrame(t, names)).collect()
+    q = {tuple(r[:3]): r.q for r in rows}
+    v: dict = {}
+    for (g, d, _), x in q.items():
+        v[g, d] = max(v.get((g, d), x), x)
+    for key, value in q.items():
+        own = [r for r in t if r[:3] == key]
+        n = sum(r[5] for r in own)
+        assert value == pytest.approx(sum(r[6] for r in own) / n + 0.9 * sum(r[5] * v.get(r[3:5], 0.0) for r in own) / n, abs=1e-6)
+    assert {(r.gap_level, r.greedy_action) for r in rows} == {("Balanced", "Move Out"), ("Surplus", "Hold")}
+    assert sum(r.is_greedy for r in rows) == 2 and len(rows) == 5
+    assert policy(spark.createDataFrame([], names)).count() == 0

@@ -2,14 +2,14 @@
 
 E1-E3 G1-G3 H13 B7 B13 C3 F1.
 
-On the dense grid a lag of n rows is the value n intervals earlier, so the
-default ``method="shift"`` builds lags and leads without a per-zone window:
-every grid row emits shifted copies of its demand (8 offsets), and one
-aggregate on (time_bin, zone_id) gathers them. Work spreads over
-(zone, bin) pairs, whatever the number of zones or the length of the
-history. ``method="window"`` is the textbook ``lag/lead over
-partitionBy(zone)`` form, kept as a cross-check (tests assert both agree);
-it puts a whole zone history into one task.
+The default ``method="halo"`` cuts each zone's history into blocks of ``BLOCK`` bins
+and copies into every block the 96 bins before it and the 4 bins after it, so that the
+ordinary window functions find all they need inside (zone, block). About 1.15 rows are
+shuffled a grid row, and work spreads over the blocks whatever the number of zones or
+the length of the history. Two other forms are kept as cross-checks (tests assert that
+all agree): ``method="shift"``, where every grid row emits shifted copies of its demand
+(9 rows shuffled a grid row), and ``method="window"``, the textbook ``lag/lead over
+partitionBy(zone)``, which puts a whole zone history into one task.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from .zones import assign_zone, attach_centroids
 LAGS = (1, 4, 96)
 LEADS = ((1, "target_15m"), (2, "target_30m"), (4, "target_60m"))
 ROLL = 4
+#: Bins of a block: a week of quarter hours.
+BLOCK = 672
 
 
 def _shift_columns(grid: DataFrame, step: int) -> DataFrame:
@@ -57,14 +59,36 @@ def _shift_columns(grid: DataFrame, step: int) -> DataFrame:
     return g.withColumn("rolling_mean_4", roll).drop("_self", *[f"_l{k}" for k in range(1, ROLL) if k not in LAGS])
 
 
-def _window_columns(grid: DataFrame) -> DataFrame:
-    w = Window.partitionBy("zone_id").orderBy("time_bin")
-    w4 = w.rowsBetween(-(ROLL - 1), Window.currentRow)
+def _over(window) -> dict:
+    """Lags, rolling mean and leads of ``demand`` as columns over ``window``."""
+    w4 = window.rowsBetween(-(ROLL - 1), Window.currentRow)
     d = F.col("demand")
-    cols = {f"lag_{k}": F.lag(d, k).over(w) for k in LAGS}
+    cols = {f"lag_{k}": F.lag(d, k).over(window) for k in LAGS}
     cols["rolling_mean_4"] = F.when(F.count(d).over(w4) == ROLL, F.avg(d).over(w4))
-    cols.update({name: F.lead(d, k).over(w) for k, name in LEADS})
-    return grid.withColumns(cols)
+    cols.update({name: F.lead(d, k).over(window) for k, name in LEADS})
+    return cols
+
+
+def _window_columns(grid: DataFrame) -> DataFrame:
+    return grid.withColumns(_over(Window.partitionBy("zone_id").orderBy("time_bin")))
+
+
+def _halo_columns(grid: DataFrame, step: int, block: int = BLOCK) -> DataFrame:
+    head, tail = max(*LAGS, ROLL - 1), max(k for k, _ in LEADS)
+    if block < max(head, tail):
+        raise ValueError(f"a block needs {max(head, tail)} bins at least")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    number = F.floor(F.timestamp_diff("SECOND", epoch, F.col("time_bin")) / step)
+    own, place = F.floor(number / block), F.pmod(number, F.lit(block))
+
+    def at(b, is_own):
+        return F.struct(b.alias("_block"), F.lit(is_own).alias("_own"))
+
+    homes = F.array_compact(F.array(at(own, True), F.when(place >= block - head, at(own + 1, False)),
+                                    F.when(place < tail, at(own - 1, False))))
+    rows = grid.select("*", F.inline(homes))
+    w = Window.partitionBy("zone_id", "_block").orderBy("time_bin")
+    return rows.withColumns(_over(w)).where("_own").drop("_block", "_own")
 
 
 FEATURE_ORDER = (
@@ -77,11 +101,13 @@ FEATURE_ORDER = (
 
 
 def add_features(grid: DataFrame, zones: DataFrame, interval: str | int = P.INTERVAL_SECONDS,
-                 method: str = "shift", keep_rank: bool = False) -> DataFrame:
+                 method: str = "halo", keep_rank: bool = False) -> DataFrame:
     """Features of a filled grid (F2 schema); rows with any null dropped
     after the final projection (B7), as the reference does."""
     step = interval_seconds(interval)
-    if method == "shift":
+    if method == "halo":
+        g = _halo_columns(grid, step)
+    elif method == "shift":
         g = _shift_columns(grid, step)
     elif method == "window":
         g = _window_columns(grid)
@@ -97,7 +123,7 @@ def add_features(grid: DataFrame, zones: DataFrame, interval: str | int = P.INTE
 
 
 def build_features(rides: DataFrame, zones: DataFrame, interval: str | int = P.INTERVAL_SECONDS,
-                   method: str = "shift", keep_rank: bool = False,
+                   method: str = "halo", keep_rank: bool = False,
                    centroids=None, cut: bool = True) -> DataFrame:
     """Whole processing chain: rides -> zones -> demand -> grid -> fill -> features.
 

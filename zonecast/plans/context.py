@@ -38,7 +38,7 @@ def centroids():
 
 
 def features(spark: SparkSession, sf_dir: str, interval: int = P.INTERVAL_SECONDS,
-             method: str = "shift", keep_rank: bool = False) -> DataFrame:
+             method: str = "halo", keep_rank: bool = False) -> DataFrame:
     """The features, built from scratch; two small tables are written on the way."""
     return build_features(rides(spark, sf_dir), zones(spark), interval,
                           method=method, keep_rank=keep_rank, centroids=centroids())
