@@ -22,7 +22,7 @@ from ..operators.fleet import (action_mix, add_revenue, allocate, fleet_kpis, re
                                top_by_demand)
 from ..operators.features import FEATURE_ORDER
 from ..operators.forecast import importance_table, metrics, model_card, prepare, train
-from ..operators.policy import batch_q, transitions
+from ..operators.policy import policy, transitions
 from ..operators.scenario import (allocation_records, baseline_forecast, scenario_alloc,
                                   scenario_grid, scenario_kpis)
 from ..operators.zones import fit_kmeans, kmeans_zone_table
@@ -595,10 +595,24 @@ def q_policy_states(spark, sf_dir):
                     "transitions", r6("reward_sum"))
 
 
+def _history_transitions(spark, sf_dir):
+    """States from the historical gap (H13), actions and rewards from the allocation."""
+    f = C.features_table(spark, sf_dir).select(
+        "time_bin", "zone_id", F.col("rolling_mean_4").alias("predicted_demand"), F.col("gap").alias("history_gap"))
+    a = add_revenue(allocate(f, ["time_bin"], fleet=P.PIPELINE_FLEET))
+    return transitions(a, gap_col="history_gap")
+
+
+@register("policy_states_history")
+def q_policy_states_history(spark, sf_dir):
+    return _history_transitions(spark, sf_dir).select(
+        "gap_level", "time_of_day", "action", "next_gap_level", "next_time_of_day", "transitions", r6("reward_sum"))
+
+
 @register("policy_q")
 def q_policy_q(spark, sf_dir):
-    q = batch_q(transitions(_bin_alloc(spark, sf_dir)), sweeps=10)
-    return q.select("gap_level", "time_of_day", "action", r6("q"), "greedy_action", "is_greedy")
+    q = policy(_history_transitions(spark, sf_dir))
+    return q.select("gap_level", "time_of_day", "action", (F.round("q", 4) + F.lit(0.0)).alias("q"), "greedy_action", "is_greedy")
 
 
 @register("stream_zone_demand")

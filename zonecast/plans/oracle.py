@@ -513,43 +513,53 @@ SELECT a.gap_level, a.time_of_day, a.action, b.gap_level AS next_gap_level, b.ti
 FROM st a JOIN st b ON b.zone_id = a.zone_id AND b.time_bin = a.time_bin + INTERVAL 15 MINUTE
 GROUP BY ALL""")
 
-def _policy_q_sql(sweeps: int = 10, alpha: float = 0.1, gamma: float = 0.9) -> str:
-    """Batch Q sweeps unrolled as one CTE per sweep (q0 = 0)."""
-    a, g, keep = f"{alpha!r}::DOUBLE", f"{gamma!r}::DOUBLE", f"{1 - alpha!r}::DOUBLE"
-    ctes = [""", st AS (
-  SELECT time_bin, zone_id, action, revenue,
-    CASE WHEN gap > 5 THEN 'Shortage' WHEN gap < -3 THEN 'Surplus' ELSE 'Balanced' END AS gap_level,
-    CASE WHEN extract(hour FROM time_bin) >= 6 AND extract(hour FROM time_bin) < 11 THEN 'Morning'
-         WHEN extract(hour FROM time_bin) >= 11 AND extract(hour FROM time_bin) < 17 THEN 'Day'
-         WHEN extract(hour FROM time_bin) >= 17 AND extract(hour FROM time_bin) < 22 THEN 'Evening'
+HISTORY_STATES = """, st AS (
+  SELECT rv.time_bin, rv.zone_id, rv.action, rv.revenue,
+    CASE WHEN f.gap > 5 THEN 'Shortage' WHEN f.gap < -3 THEN 'Surplus' ELSE 'Balanced' END AS gap_level,
+    CASE WHEN extract(hour FROM rv.time_bin) >= 6 AND extract(hour FROM rv.time_bin) < 11 THEN 'Morning'
+         WHEN extract(hour FROM rv.time_bin) >= 11 AND extract(hour FROM rv.time_bin) < 17 THEN 'Day'
+         WHEN extract(hour FROM rv.time_bin) >= 17 AND extract(hour FROM rv.time_bin) < 22 THEN 'Evening'
          ELSE 'Night' END AS time_of_day
-  FROM rv)""", """tr AS (
-  SELECT a.gap_level, a.time_of_day, a.action, b.gap_level AS ng, b.time_of_day AS nt,
+  FROM rv JOIN feat f USING (time_bin, zone_id)),
+tr AS (
+  SELECT a.gap_level, a.time_of_day, a.action, b.gap_level AS next_gap_level, b.time_of_day AS next_time_of_day,
     count(*) AS transitions, sum(a.revenue) AS reward_sum
   FROM st a JOIN st b ON b.zone_id = a.zone_id AND b.time_bin = a.time_bin + INTERVAL 15 MINUTE
-  GROUP BY ALL)""", """sa AS (
-  SELECT gap_level, time_of_day, action, sum(transitions) AS n, sum(reward_sum) AS r FROM tr GROUP BY ALL)""",
-            """q0 AS (SELECT gap_level, time_of_day, action, 0.0::DOUBLE AS q FROM sa)"""]
-    for i in range(1, sweeps + 1):
-        ctes.append(f"""q{i} AS (
+  GROUP BY ALL)"""
+
+SQL["policy_states_history"] = over_alloc(
+    HISTORY_STATES + """
+SELECT gap_level, time_of_day, action, next_gap_level, next_time_of_day, transitions,
+  round(reward_sum, 6) + 0.0 AS reward_sum FROM tr""")
+
+
+def _policy_q_sql(steps: int = 400, gamma: float = 0.9) -> str:
+    """The fixed-point equation q = r + gamma E[max q(next)], iterated from 0 until
+    0.9^400 of the distance is left, which is below the rounding of the values."""
+    return over_alloc(HISTORY_STATES + f""", sa AS (
+  SELECT gap_level, time_of_day, action, sum(transitions) AS n, sum(reward_sum) / sum(transitions) AS r FROM tr GROUP BY ALL),
+it AS (
+  SELECT 0 AS step, gap_level, time_of_day, max(0.0::DOUBLE) AS v FROM sa GROUP BY ALL
+  UNION ALL
+  SELECT step + 1, gap_level, time_of_day, max(q) AS v FROM (
+    SELECT i.step, s.gap_level, s.time_of_day, s.action,
+      s.r + {gamma!r}::DOUBLE * sum(t.transitions * i.v) / s.n AS q
+    FROM it i JOIN tr t ON t.next_gap_level = i.gap_level AND t.next_time_of_day = i.time_of_day
+    JOIN sa s ON s.gap_level = t.gap_level AND s.time_of_day = t.time_of_day AND s.action = t.action
+    WHERE i.step < {steps} GROUP BY i.step, s.gap_level, s.time_of_day, s.action, s.r, s.n)
+  GROUP BY step, gap_level, time_of_day),
+q AS (
   SELECT s.gap_level, s.time_of_day, s.action,
-    {keep} * p.q + {a} * ((s.r + {g} * f.nv) / s.n) AS q
-  FROM q{i - 1} p JOIN sa s USING (gap_level, time_of_day, action)
-  JOIN (SELECT t.gap_level, t.time_of_day, t.action, sum(t.transitions * coalesce(v.v, 0.0)) AS nv
-        FROM tr t LEFT JOIN (SELECT gap_level, time_of_day, max(q) AS v FROM q{i - 1} GROUP BY ALL) v
-          ON v.gap_level = t.ng AND v.time_of_day = t.nt
-        GROUP BY ALL) f USING (gap_level, time_of_day, action))""")
-    last = f"q{sweeps}"
-    return over_alloc(f"""SELECT q.gap_level, q.time_of_day, q.action, round(q.q, 6) + 0.0 AS q,
-  b.greedy_action, (q.action = b.greedy_action)::INTEGER AS is_greedy
-FROM {last} q JOIN (
-  SELECT gap_level, time_of_day, action AS greedy_action FROM (
-    SELECT *, row_number() OVER (PARTITION BY gap_level, time_of_day ORDER BY q DESC,
-      CASE action WHEN 'Hold' THEN 1 WHEN 'Request Influx' THEN 2 ELSE 3 END) AS rn FROM {last})
-  WHERE rn = 1) b USING (gap_level, time_of_day)""", ",\n".join(ctes)[2:])
-
-
-SQL["policy_q"] = _policy_q_sql()
+    s.r + {gamma!r}::DOUBLE * coalesce(sum(t.transitions * i.v), 0) / s.n AS q
+  FROM sa s JOIN tr t USING (gap_level, time_of_day, action)
+  LEFT JOIN it i ON i.step = {steps} AND i.gap_level = t.next_gap_level AND i.time_of_day = t.next_time_of_day
+  GROUP BY s.gap_level, s.time_of_day, s.action, s.r, s.n)
+SELECT gap_level, time_of_day, action, round(q, 4) + 0.0 AS q, best AS greedy_action, (action = best)::INTEGER AS is_greedy
+FROM (SELECT *, first_value(action) OVER (PARTITION BY gap_level, time_of_day ORDER BY q DESC,
+        CASE action WHEN 'Hold' THEN 1 WHEN 'Request Influx' THEN 2 ELSE 3 END) AS best FROM q)""")
+
+
+SQL["policy_q"] = _policy_q_sql().replace("WITH ", "WITH RECURSIVE ", 1)
 
 SQL["stream_zone_demand"] = SQL["zone_demand"]
 
