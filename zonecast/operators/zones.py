@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from .. import params as P
 from ..session import materialize
 from . import kmeans
+from .zone_index import assign_many
 from ..functions.geo import cell_count, cell_index, with_nearest_zone
 
 ZONE_SCHEMA = T.StructType([
@@ -47,9 +48,12 @@ def zone_centroids(zones: DataFrame | Centroids,
 
 def assign_zone(rides: DataFrame, zones: DataFrame | Centroids,
                 lat: str = "pickup_lat", lon: str = "pickup_long") -> DataFrame:
-    """Nearest-centroid zone per ride (C4, J3): a narrow projection."""
-    cents = zone_centroids(zones)
-    return with_nearest_zone(rides, lat, lon, cents)
+    """Nearest-centroid zone per ride (C4, J3): a narrow projection for up to
+    ``MAX_INLINE_ZONES`` zones, candidate cells (``zone_index``) beyond; both are
+    exact. Ties go to the zone that comes first in zone order."""
+    if isinstance(zones, DataFrame) and zones.count() > P.MAX_INLINE_ZONES:
+        return assign_many(rides, zones, lat, lon)
+    return with_nearest_zone(rides, lat, lon, zone_centroids(zones))
 
 
 def attach_centroids(df: DataFrame, zones: DataFrame) -> DataFrame:
