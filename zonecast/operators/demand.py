@@ -21,12 +21,14 @@ Plan shape (rides are the only large input):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions.timefn import interval_seconds, time_floor
-from .scans import carry_last_before, time_spine
+from .scans import DAY_SECONDS, time_spine
+
+DAY = "__day"
 
 
 def zone_demand(rides: DataFrame, interval: str | int = P.INTERVAL_SECONDS,
@@ -72,9 +74,24 @@ def demand_grid(demand: DataFrame, interval: str | int = P.INTERVAL_SECONDS) ->
     """C1 + C2: dense grid; demand and cancellations 0 where no ride was seen,
     supply left null (``supply_fill`` fills it).
 
-    Output partitioned by ``time_bin``; columns time_bin, zone_id,
+    Output partitioned by day; columns time_bin, zone_id,
     zone_rank, demand, active_drivers (raw), is_cancelled.
     """
+    return _day_rows(demand, interval).drop(DAY)
+
+
+def filled_grid(demand: DataFrame, interval: str | int = P.INTERVAL_SECONDS) -> DataFrame:
+    """``supply_fill`` of the ``demand_grid``, in the grid's own partitioning."""
+    return supply_fill(_day_rows(demand, interval))
+
+
+def _day(time_bin: str = "time_bin") -> Column:
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.floor(F.timestamp_diff("SECOND", epoch, F.col(time_bin)) / DAY_SECONDS)
+
+
+def _day_rows(demand: DataFrame, interval: str | int) -> DataFrame:
+    """The grid with its day, partitioned by it."""
     extent = zone_extent(demand)
     spine = grid_spine(extent, interval)
     has_supply = "active_drivers" in demand.columns
@@ -88,12 +105,12 @@ def demand_grid(demand: DataFrame, interval: str | int = P.INTERVAL_SECONDS) ->
         "time_bin", "zone_id", "zone_rank", "demand",
         (F.col("active_drivers") if has_supply else null_d).alias("active_drivers"),
         (F.col("is_cancelled") if has_cancel else F.lit(0).cast("long")).alias("is_cancelled"))
-    merged = (grid_rows.unionByName(seen).repartition("time_bin")
-              .groupBy("time_bin", "zone_id", "zone_rank")
+    merged = (grid_rows.unionByName(seen).withColumn(DAY, _day()).repartition(DAY)
+              .groupBy(DAY, "time_bin", "zone_id", "zone_rank")
               .agg(F.sum("demand").alias("demand"),
                    F.max("active_drivers").alias("active_drivers"),
                    F.sum("is_cancelled").alias("is_cancelled")))
-    cols = ["time_bin", "zone_id", "zone_rank", "demand"]
+    cols = [DAY, "time_bin", "zone_id", "zone_rank", "demand"]
     if has_supply:
         cols.append("active_drivers")
     if has_cancel:
@@ -105,15 +122,14 @@ def supply_fill(grid: DataFrame) -> DataFrame:
     """Carry supply forward in (time_bin, zone_rank) order across all
     zones, then 0. Grid must carry ``zone_rank`` (E5)."""
     if "active_drivers" not in grid.columns:
-        return grid
+        return grid.drop(DAY)
     ad = F.col("active_drivers")
-    w_bin = (Window.partitionBy("time_bin").orderBy("zone_rank")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    g = grid.withColumn("_ad_in", F.last(ad, ignorenulls=True).over(w_bin))
-    per_bin = g.groupBy("time_bin").agg(
-        F.max_by(ad, F.when(ad.isNotNull(), F.col("zone_rank"))).alias("_bin_last"))
-    carry = carry_last_before(per_bin, "time_bin", "_bin_last", "_carry").select("time_bin", "_carry")
-    return (g.join(carry, "time_bin")
-            .withColumn("active_drivers",
-                        F.coalesce(F.col("_ad_in"), F.col("_carry"), F.lit(0.0)))
-            .drop("_ad_in", "_carry"))
+    g = grid if DAY in grid.columns else grid.withColumn(DAY, _day())
+    upto = (Window.partitionBy(DAY).orderBy("time_bin", "zone_rank")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    last = g.groupBy(DAY).agg(F.max_by(ad, F.when(ad.isNotNull(), F.struct("time_bin", "zone_rank"))).alias("_last"))
+    earlier = Window.orderBy(DAY).rowsBetween(Window.unboundedPreceding, -1)          # one row a day
+    carry = last.select(DAY, F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
+    return (g.withColumn("_in", F.last(ad, ignorenulls=True).over(upto)).join(carry, DAY)
+            .withColumn("active_drivers", F.coalesce(F.col("_in"), F.col("_carry"), F.lit(0.0)))
+            .drop("_in", "_carry", DAY))

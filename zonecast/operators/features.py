@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..session import materialize
 from ..functions.timefn import add_seconds, calendar_columns, interval_seconds
-from .demand import demand_grid, supply_fill, zone_demand
+from .demand import filled_grid, zone_demand
 from .zones import assign_zone, attach_centroids
 
 LAGS = (1, 4, 96)
@@ -138,7 +138,7 @@ def build_features(rides: DataFrame, zones: DataFrame, interval: str | int = P.I
     demand = zone_demand(assign_zone(rides, centroids if centroids is not None else zones), interval)
     if cut:
         demand = materialize(demand, "zone-demand")
-    grid = supply_fill(demand_grid(demand, interval))
+    grid = filled_grid(demand, interval)
     if cut:
         grid = materialize(grid, "demand-grid")
     return add_features(grid, zones, interval, method=method, keep_rank=keep_rank)

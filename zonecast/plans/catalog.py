@@ -17,7 +17,7 @@ from pyspark.sql import Window
 
 from ..functions.pricing import gap_sign, point_surge, surge_band, trip_price, zone_label
 from ..functions.timefn import time_floor
-from ..operators.demand import demand_grid, supply_fill, zone_demand
+from ..operators.demand import demand_grid, filled_grid, zone_demand
 from ..operators.fleet import (action_mix, add_revenue, allocate, fleet_kpis, revenue_share,
                                top_by_demand)
 from ..operators.features import FEATURE_ORDER
@@ -96,7 +96,7 @@ def q_demand_grid(spark, sf_dir):
 
 @register("supply_fill")
 def q_supply_fill(spark, sf_dir):
-    g = supply_fill(demand_grid(_demand_table(spark, sf_dir), P.INTERVAL_SECONDS))
+    g = filled_grid(_demand_table(spark, sf_dir), P.INTERVAL_SECONDS)
     return g.select("time_bin", "zone_id", "zone_rank", r6("active_drivers"))
 
 
@@ -267,7 +267,7 @@ def q_trip_price(spark, sf_dir):
     # its price; one surge row per (bin, zone): broadcast it when its checked size
     # allows (a written table: the count reads parquet footers), else a shuffle
     # join that AQE splits if one (bin, zone) holds many of the rides
-    grid = materialize(supply_fill(demand_grid(_demand_table(spark, sf_dir), P.INTERVAL_SECONDS)), "surge-grid")
+    grid = materialize(filled_grid(_demand_table(spark, sf_dir), P.INTERVAL_SECONDS), "surge-grid")
     f = grid.select("time_bin", "zone_id", point_surge(F.col("demand"), F.col("active_drivers")).alias("surge"))
     if grid.count() <= MAX_BROADCAST_ROWS:
         f = F.broadcast(f)
