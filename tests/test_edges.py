@@ -416,3 +416,23 @@ def test_policy_solves_its_equation(spark):
     assert {(r.gap_level, r.greedy_action) for r in rows} == {("Balanced", "Move Out"), ("Surplus", "Hold")}
     assert sum(r.is_greedy for r in rows) == 2 and len(rows) == 5
     assert policy(spark.createDataFrame([], names)).count() == 0
+
+
+def test_a_zone_without_a_centroid_is_an_error(spark):
+    """The feature build names the zone instead of dropping its rows."""
+    from zonecast.operators.features import build_features
+    from zonecast.operators.zones import fixed_zones
+    rides = spark.createDataFrame([(i, dt.datetime(2023, 1, 1) + dt.timedelta(minutes=9 * i), 37.7, -122.4, 3.0, 0) for i in range(400)],
+                                  "ride_id long, ride_ts timestamp_ntz, pickup_lat double, pickup_long double, active_drivers double, is_cancelled int")
+    known, centroids = fixed_zones(spark, [("0", 37.7, -122.4)]), [("99", 37.7, -122.4)]
+    with pytest.raises(Exception, match="unknown zone 99"):
+        build_features(rides, known, centroids=centroids).collect()
+    assert build_features(rides, known).count() > 0
+
+
+def test_labels(spark):
+    from zonecast.functions.pricing import gap_label, surge_label
+    values = [0.25, -0.25, 0.75, 12.0, -3.5, 0.0, 1.0625]
+    df = spark.createDataFrame([(v,) for v in values], "g double")
+    assert [r[0] for r in df.select(gap_label(F.col("g"))).collect()] == [f"{v:+.1f}" for v in values]
+    assert [r[0] for r in df.select(surge_label(F.col("g"))).collect()][3:6] == ["12.0x", "-3.5x", "0.0x"]

@@ -72,3 +72,14 @@ def gap_sign(gap: Column) -> Column:
 def zone_label(zone_id: Column) -> Column:
     """G17: 'Z-{id}'."""
     return F.concat(F.lit("Z-"), zone_id)
+
+
+def gap_label(gap: Column) -> Column:
+    """A signed gap with one decimal, ties of its decimal form to the even digit
+    (gaps of an allocation are multiples of 1/1024, which decimals hold exactly)."""
+    return F.format_string("%+.1f", F.bround(gap, 1))
+
+
+def surge_label(surge: Column) -> Column:
+    """The multiplier with up to two decimals and an x."""
+    return F.concat(F.round(surge, 2).cast("string"), F.lit("x"))

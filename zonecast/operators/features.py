@@ -117,6 +117,9 @@ def add_features(grid: DataFrame, zones: DataFrame, interval: str | int = P.INTE
     if "active_drivers" in g.columns:
         g = g.withColumn("gap", F.col("demand") - F.col("active_drivers"))
     g = attach_centroids(g, zones)
+    # A zone that the zone table lacks is an error, not a row that dropna hides
+    unknown = F.raise_error(F.concat(F.lit("unknown zone "), F.coalesce("zone_id", F.lit("null")))).cast("double")
+    g = g.withColumn("zone_lat", F.coalesce(F.col("zone_lat"), unknown))
     cols = [c for c in FEATURE_ORDER if c in g.columns]
     out = g.select(*cols, *(["zone_rank"] if keep_rank else []))
     return out.dropna(subset=cols)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import params as P
 from pyspark.sql import Window
 
-from ..functions.pricing import gap_sign, point_surge, surge_band, trip_price, zone_label
+from ..functions.pricing import gap_label, gap_sign, point_surge, surge_band, surge_label, trip_price, zone_label
 from ..functions.timefn import time_floor
 from ..operators.demand import demand_grid, filled_grid, zone_demand
 from ..operators.fleet import (action_mix, add_revenue, allocate, fleet_kpis, revenue_share,
@@ -229,7 +229,8 @@ def q_surge_bands(spark, sf_dir):
     w = Window.partitionBy("time_bin").orderBy("surge_multiplier", "zone_id")
     return a.select("time_bin", "zone_id", r6("surge_multiplier"),
                     surge_band(F.col("surge_multiplier")).alias("surge_band"),
-                    gap_sign(F.col("gap")).alias("gap_sign"),
+                    gap_sign(F.col("gap")).alias("gap_sign"), gap_label(F.col("gap")).alias("gap_label"),
+                    surge_label(F.col("surge_multiplier")).alias("surge_label"),
                     F.row_number().over(w).alias("surge_rank"))
 
 

@@ -230,6 +230,7 @@ SQL["surge_bands"] = over_alloc(
     """SELECT time_bin, zone_id, round(surge_multiplier, 6) + 0.0 AS surge_multiplier,
   CASE WHEN surge_multiplier <= 1.1 THEN 'low' WHEN surge_multiplier <= 1.5 THEN 'mid' ELSE 'high' END AS surge_band,
   CASE WHEN gap > 0 THEN 'shortage' ELSE 'surplus' END AS gap_sign,
+  printf('%+.1f', gap) AS gap_label, CAST(round(surge_multiplier, 2) AS VARCHAR) || 'x' AS surge_label,
   CAST(row_number() OVER (PARTITION BY time_bin ORDER BY surge_multiplier, zone_id) AS INT) AS surge_rank
 FROM rv""")
 SQL["action_mix"] = over_alloc(
