@@ -1,7 +1,6 @@
 """Ordered scans over time without a single-partition window on fine rows.
 
-A running total or a carry-forward over a time-ordered table is a prefix
-scan. Done with one unpartitioned window it pulls every row into one task.
+A running total over a time-ordered table is a prefix scan. Done with one unpartitioned window it pulls every row into one task.
 Here it is two-level, as a distributed prefix scan is usually built:
 
 1. inside each coarse block (a day by default) a window partitioned by the
@@ -42,26 +41,6 @@ def running_sum(df: DataFrame, time_col: str, value_col: str, out_col: str,
             .drop("__blk", "__in", "__off"))
 
 
-def carry_last_before(df: DataFrame, time_col: str, value_col: str, out_col: str,
-                      block_seconds: int = DAY_SECONDS) -> DataFrame:
-    """``out_col`` = last non-null ``value_col`` of strictly earlier rows.
-
-    ``df`` has one row per ``time_col`` value.
-    """
-    d = df.withColumn("__blk", _block(time_col, block_seconds))
-    w_in = (Window.partitionBy("__blk").orderBy(time_col)
-            .rowsBetween(Window.unboundedPreceding, -1))
-    d = d.withColumn("__in", F.last(value_col, ignorenulls=True).over(w_in))
-    v = F.col(value_col)
-    blocks = d.groupBy("__blk").agg(
-        F.max_by(v, F.when(v.isNotNull(), F.col(time_col))).alias("__bl"))
-    w_blk = Window.orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("__blk", F.last("__bl", ignorenulls=True).over(w_blk).alias("__carry"))
-    return (d.join(blocks, "__blk")
-            .withColumn(out_col, F.coalesce(F.col("__in"), F.col("__carry")))
-            .drop("__blk", "__in", "__carry"))
-
-
 def time_spine(bounds: DataFrame, start_col: str, end_col: str, step_seconds: int,
                keys: Sequence[str] = (), out_col: str = "ts", chunk: int = 2048,
                parts: int | None = None) -> DataFrame:
