@@ -11,12 +11,12 @@ Plan shape (rides are the only large input):
   as many rows as the zone table (k). The bin sequence is generated in
   chunks of ``chunk`` bins that are spread over tasks, so no task makes a
   whole zone's history.  The left join of demand onto the grid is written
-  as union + aggregate on a ``time_bin`` partitioning, which the fill
-  window below then reuses without another shuffle.
+  as union + aggregate on a partitioning by day, which the fill then reuses
+  without another shuffle.
 * ``supply_fill``: the reference carries the last seen supply forward in
-  (bin, zone order) across *all* zones. Two levels: a window inside each
-  bin (at most k rows), then the last value of each earlier bin through
-  the blocked scan in ``scans.carry_last_before``.
+  (bin, zone order) across *all* zones. One scan a day (a window over 96 bins x
+  k zones at 15 minutes), one row a day with the day's last value, carried over
+  the days, and one join of that small table.
 """
 
 from __future__ import annotations
