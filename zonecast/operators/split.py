@@ -29,11 +29,15 @@ def chronological_split(df: DataFrame, frac: float = 0.8, time_col: str = "time_
             .drop("__before"))
 
 
-def first_test_bin(df: DataFrame, frac: float = 0.8, time_col: str = "time_bin") -> Column:
-    """Scalar subquery: the time bin of row int(frac * N), i.e. the first
-    bin of the chronological test slice (the reference's simulation bin)."""
-    per_bin = df.groupBy(time_col).agg(F.count(F.lit(1)).alias("__n"))
-    per_bin = running_sum(per_bin, time_col, "__n", "__upto", inclusive=True)
-    total = per_bin.agg(F.sum("__n")).scalar()
+def bin_counts(df: DataFrame, time_col: str = "time_bin") -> DataFrame:
+    """(time bin, rows): one row a bin, what the simulation bin is taken from."""
+    return df.groupBy(time_col).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def first_test_bin(counts: DataFrame, frac: float = 0.8, time_col: str = "time_bin") -> Column:
+    """Scalar subquery over ``bin_counts``: the time bin of row int(frac * N), i.e.
+    the first bin of the chronological test slice (the reference's simulation bin)."""
+    upto = running_sum(counts, time_col, "rows", "__upto", inclusive=True)
+    total = counts.agg(F.sum("rows")).scalar()
     cut = (F.lit(frac) * total).cast("long")
-    return per_bin.where(F.col("__upto") > cut).agg(F.min(time_col)).scalar()
+    return upto.where(F.col("__upto") > cut).agg(F.min(time_col)).scalar()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from .. import params as P
 from ..session import materialize
+from ..sources.tables import path_exists
 from . import kmeans
 from .zone_index import assign_many
 from ..functions.geo import cell_count, cell_index, with_nearest_zone
@@ -101,6 +102,20 @@ def load_kmeans(path: str) -> kmeans.Centers:
     return kmeans.Centers.load(path)
 
 
+def zones_of_model(spark: SparkSession, path: str, rides: Callable[[], DataFrame],
+                   k: int = P.NUM_CLUSTERS, **fit) -> kmeans.Centers:
+    """The stored zones at ``path``; where there are none, zones fitted on ``rides()``
+    are stored first (A6, A7). What is returned is always read back."""
+    if not path_exists(spark, path):
+        save_kmeans(fit_kmeans(rides(), k, **fit)[0], path)
+    return load_kmeans(path)
+
+
+def model_centroids(model: kmeans.Centers) -> list[tuple[str, float, float]]:
+    """The zone list of a fitted model, labels '0'..'k-1' (J4)."""
+    return [(str(i), float(c[0]), float(c[1])) for i, c in enumerate(model.clusterCenters())]
+
+
 def grid_dims(lat_min: float = P.CITY_LAT_MIN, lat_max: float = P.CITY_LAT_MAX,
               lon_min: float = P.CITY_LON_MIN, lon_max: float = P.CITY_LON_MAX,
               size_lat: float = P.GRID_SIZE_LAT, size_lon: float = P.GRID_SIZE_LON):

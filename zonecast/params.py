@@ -44,6 +44,7 @@ DAY_NAMES = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 
 # Fleet allocation and revenue rules.
 DEFAULT_FLEET = 100           # API default fleet
+DEFAULT_REQUEST_DRIVERS = 10  # API default active drivers of a prediction request
 PIPELINE_FLEET = 150          # batch pipeline fleet
 DEFAULT_FARE = 15.0
 CAPACITY_PER_DRIVER = 3.0     # rides per driver per period

@@ -23,11 +23,12 @@ from ..operators.fleet import (action_mix, add_revenue, allocate, fleet_kpis, re
 from ..operators.features import FEATURE_ORDER
 from ..operators.forecast import importance_table, metrics, model_card, prepare, train
 from ..operators.policy import policy, transitions
-from ..operators.scenario import (allocation_records, baseline_forecast, scenario_alloc,
-                                  scenario_grid, scenario_kpis)
-from ..operators.zones import fit_kmeans, kmeans_zone_table
+from ..operators.scenario import (LAG_COLUMNS, allocation_records, baseline_forecast, lag_profile, read_records,
+                                  scenario_alloc, scenario_forecast, scenario_grid, scenario_kpis)
+from ..operators.zones import fit_kmeans, kmeans_zone_table, model_centroids
 from ..streaming.demand_stream import events_stream, run_to_table, zone_demand_stream
 from ..streaming.request_scoring import history_lookup, score_requests
+from ..streaming.requests import allocate_requests
 from ..operators.profiles import (corr_matrix, cumulative_demand, dataset_kpis, describe, describe_time,
                                   dow_profile, head_rows, histogram, histograms, hour_day, hour_day_pivot,
                                   hourly_profile, pickup_density, sample_rides, zone_hourly,
@@ -36,6 +37,7 @@ from ..operators.rates import cancel_by_regime, expected_rate
 from ..operators.split import first_test_bin
 from ..operators.zones import assign_zone, attach_centroids, grid_cell_table, point_to_cell
 from ..session import materialize
+from ..sources.tables import read_table
 from . import context as C
 
 # Trip quote distance scale (ours): km per degree, and a mean speed.
@@ -137,10 +139,13 @@ def q_alloc(spark, sf_dir):
 
 
 def _sim_bin_alloc(spark, sf_dir):
-    f = C.features_table(spark, sf_dir)
-    sim_bin = first_test_bin(f)
-    a = _bin_alloc(spark, sf_dir)
-    return a.where(F.col("time_bin") == sim_bin)
+    """Allocation of the simulation bin: found from the rows per bin, read from the
+    folder of its date alone."""
+    table, counts = C.features_by_date(spark, sf_dir)
+    sim_bin = first_test_bin(counts)
+    f = table.where((F.col("date") == sim_bin.cast("date")) & (F.col("time_bin") == sim_bin)).select(
+        "time_bin", "zone_id", F.col("rolling_mean_4").alias("predicted_demand"))
+    return add_revenue(allocate(f, ["time_bin"], fleet=P.PIPELINE_FLEET), fare=P.DEFAULT_FARE)
 
 
 DAY_SECONDS = 86400
@@ -450,6 +455,37 @@ def q_alloc_json(spark, sf_dir):
     return allocation_records(_bin_alloc(spark, sf_dir), ["time_bin"], ts_col="time_bin")
 
 
+@register("alloc_json_fields")
+def q_alloc_json_fields(spark, sf_dir):
+    """The JSON records of ``alloc_json`` parsed again."""
+    d = read_records(q_alloc_json(spark, sf_dir))
+    return d.select("time_bin", F.col("Total_Revenue").alias("total_revenue"), F.col("Service_Level").alias("service_level"),
+                    F.col("Avg_Surge").alias("avg_surge"), "zone_id", "predicted_demand", "allocated_drivers", "action",
+                    r6("surge_multiplier"))
+
+
+@register("lag_profile")
+def q_lag_profile(spark, sf_dir):
+    p = lag_profile(_ft(spark, sf_dir))
+    return p.select("zone_id", "hour", "day_of_week", *[r6(c) for c in LAG_COLUMNS], "month")
+
+
+def _scenario_forecast(spark, sf_dir):
+    fc, data = _forecaster(spark, sf_dir, with_supply=False)
+    f = _ft(spark, sf_dir)
+    return materialize(scenario_forecast(lag_profile(f), fc, C.zones(spark), baseline_forecast(f)), "scenario-forecast")
+
+
+@register("scenario_forecast_alloc")
+def q_scenario_forecast_alloc(spark, sf_dir):
+    """The scenarios of ``scenario_alloc`` under the models' forecast."""
+    grid = scenario_grid(_ft(spark, sf_dir), WHAT_IF_FLEETS, WHAT_IF_FARES, WHAT_IF_CAPACITIES)
+    a = scenario_alloc(grid, _scenario_forecast(spark, sf_dir))
+    return a.select("fleet", "fare", "capacity", "day_of_week", "hour", "zone_id", "predicted_demand", "pred_30m",
+                    "pred_60m", "source", "prob", "allocated_drivers", "gap", r6("dsr"), r6("surge_multiplier"),
+                    "action", r6("revenue"))
+
+
 # ---------------------------------------------------------------- M7 ML
 
 _models: dict = {}
@@ -462,19 +498,20 @@ _splits_lock = threading.Lock()
 
 def _split(spark, sf_dir):
     """The split rows of the feature table, written once for all their readers."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = C.source_key(spark, sf_dir)
     with _splits_lock:
         if key not in _splits:
             _splits[key] = prepare(_ft(spark, sf_dir))
         return _splits[key]
 
 
-def _forecaster(spark, sf_dir, learner="gbt", max_iter=None):
+def _forecaster(spark, sf_dir, learner="gbt", max_iter=None, with_supply=True):
     iters = max_iter or (ML_ITER if learner == "gbt" else RF_TREES)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), learner, iters)
+    key = (*C.source_key(spark, sf_dir), learner, iters, with_supply)
     with _models_lock:
         if key not in _models:
-            _models[key] = train(_ft(spark, sf_dir), max_iter=iters, learner=learner, data=_split(spark, sf_dir))
+            _models[key] = train(_ft(spark, sf_dir), max_iter=iters, learner=learner, with_supply=with_supply,
+                                 data=_split(spark, sf_dir))
         return _models[key]
 
 
@@ -488,6 +525,20 @@ def q_kmeans_zones(spark, sf_dir):
     return kmeans_zone_table(spark, model, cost)
 
 
+@register("kmeans_assign")
+def q_kmeans_assign(spark, sf_dir):
+    """Rides with the nearest of the fitted zones, fitted and stored if absent."""
+    return assign_zone(C.rides(spark, sf_dir), model_centroids(C.fitted_zones(spark, sf_dir))) \
+        .select("ride_id", "ride_ts", "pickup_lat", "pickup_long", "zone_id")
+
+
+@register("kmeans_demand")
+def q_kmeans_demand(spark, sf_dir):
+    """Demand per bin and fitted zone."""
+    rides = assign_zone(C.rides(spark, sf_dir), model_centroids(C.fitted_zones(spark, sf_dir)))
+    return zone_demand(rides, P.INTERVAL_SECONDS)
+
+
 # ------------------------------------------------- forecast -> allocation -> revenue
 
 def _baseline_test(spark, sf_dir):
@@ -622,6 +673,34 @@ def q_stream_zone_demand(spark, sf_dir):
     return run_to_table(spark, s, "zone-demand", keys=("time_bin", "zone_id"))
 
 
+def allocation_lines(events):
+    """Events as allocation requests, one JSON line each: eight kinds by event id,
+    three of them bad (cut off, a timestamp that is none, a driver count that is none)."""
+    eid = F.col("event_id")
+    name = F.concat(F.lit('{"request_id": "'), eid.cast("string"), F.lit('"'))
+    at = lambda pattern: F.concat(F.lit(', "timestamp": "'), F.date_format("ts", pattern), F.lit('"'))
+    iso, plain = at("yyyy-MM-dd'T'HH:mm:ss"), at("yyyy-MM-dd HH:mm:ss")
+    fleet = ((eid % 5 + 1) * 60).cast("string")
+    number, text = F.concat(F.lit(', "total_drivers": '), fleet), F.concat(F.lit(', "total_drivers": "'), fleet, F.lit('"'))
+    end = F.lit("}")
+    kinds = [F.concat(name, end), F.concat(name, number, end), F.concat(name, iso, end), F.concat(name, iso),
+             F.concat(name, F.lit(', "timestamp": "noon"'), number, end),
+             F.concat(name, plain, F.lit(', "total_drivers": "many"'), end),
+             F.concat(name, plain, text, end), F.concat(name, iso, number, end)]
+    return events.select(F.get(F.array(*kinds), F.pmod(eid, F.lit(8)).cast("int")).alias("value"))
+
+
+@register("allocate_requests")
+def q_allocate_requests(spark, sf_dir):
+    """L3 over the events replayed as a stream of JSON requests; a request without a
+    time is of the last event's."""
+    now = read_table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
+    a = allocate_requests(spark, allocation_lines(events_stream(spark, sf_dir)), materialize(_baseline(spark, sf_dir), "baseline"),
+                          now=F.lit(now).cast("timestamp_ntz"))
+    return a.select("request_id", "request_ts", "fleet", "zone_id", r6("predicted_demand"), "allocated_drivers", "action",
+                    r6("surge_multiplier"), r6("revenue"), "error")
+
+
 # ---------------------------------------------------------------- flagship
 
 def pipeline_kpis(spark, sf_dir, fleet=P.PIPELINE_FLEET, fare=P.DEFAULT_FARE):

@@ -233,6 +233,12 @@ SQL["surge_bands"] = over_alloc(
   printf('%+.1f', gap) AS gap_label, CAST(round(surge_multiplier, 2) AS VARCHAR) || 'x' AS surge_label,
   CAST(row_number() OVER (PARTITION BY time_bin ORDER BY surge_multiplier, zone_id) AS INT) AS surge_rank
 FROM rv""")
+SQL["alloc_json_fields"] = over_alloc(
+    """SELECT time_bin, round(sum(revenue) OVER (PARTITION BY time_bin), 2) AS total_revenue,
+  round(CASE WHEN sum(predicted_demand) OVER (PARTITION BY time_bin) <> 0 THEN sum(fulfilled_rides) OVER (PARTITION BY time_bin)
+    / sum(predicted_demand) OVER (PARTITION BY time_bin) END * 100, 1) AS service_level,
+  round(avg(surge_multiplier) OVER (PARTITION BY time_bin), 2) AS avg_surge,
+  zone_id, predicted_demand, allocated_drivers, action, round(surge_multiplier, 6) + 0.0 AS surge_multiplier FROM rv""")
 SQL["action_mix"] = over_alloc(
     """SELECT action, count(*) AS zones,
   round(count(*) / sum(count(*)) OVER (), 6) + 0.0 AS share FROM rv GROUP BY action""")
@@ -467,6 +473,32 @@ SQL["scenario_kpis"] = with_ctes(*BASE, *SCEN) + """SELECT fleet, fare, capacity
   CAST(sum(allocated_drivers) AS BIGINT) AS allocated_total
 FROM rv GROUP BY fleet, fare, capacity, day_of_week, hour"""
 
+SQL["lag_profile"] = with_ctes(*BASE) + """SELECT zone_id, hour, day_of_week, round(avg(lag_1), 6) + 0.0 AS lag_1,
+  round(avg(lag_4), 6) + 0.0 AS lag_4, round(avg(lag_96), 6) + 0.0 AS lag_96,
+  round(avg(rolling_mean_4), 6) + 0.0 AS rolling_mean_4, CAST(extract(month FROM max(time_bin)) AS INT) AS month
+FROM feat GROUP BY ALL"""
+
+# Requests: events by the last three bits of their id, as the JSON lines state them.
+REQUESTS = (BASELINE, """wk AS (SELECT z.zone_id, CAST(h.h AS INT) AS hour, CAST(d.d AS INT) AS day_of_week, coalesce(bl.pred_15m, z.m) AS predicted_demand
+  FROM (SELECT zone_id, avg(pred_15m) AS m FROM bl GROUP BY zone_id) z CROSS JOIN (SELECT unnest(range(24)) AS h) h
+  CROSS JOIN (SELECT unnest(range(7)) AS d) d LEFT JOIN bl ON bl.zone_id = z.zone_id AND bl.hour = h.h AND bl.day_of_week = d.d)""",
+            """rq0 AS (SELECT event_id, event_id % 8 AS kind, CAST((event_id % 5 + 1) * 60 AS INT) AS f,
+  date_trunc('second', ts) AS t, (SELECT max(ts) FROM events) AS last FROM events)""",
+            """rq AS (SELECT CASE WHEN kind = 3 THEN 'raw:' || sha256('{"request_id": "' || event_id || '", "timestamp": "'
+    || strftime(t, '%Y-%m-%dT%H:%M:%S') || '"') ELSE CAST(event_id AS VARCHAR) END AS request_id,
+  CASE WHEN kind IN (0, 1) THEN last WHEN kind IN (2, 6, 7) THEN t END AS request_ts,
+  CASE WHEN kind IN (0, 2) THEN 100 WHEN kind IN (1, 6, 7) THEN f END AS fleet,
+  CASE kind WHEN 3 THEN 'bad JSON' WHEN 4 THEN 'bad timestamp' WHEN 5 THEN 'bad driver count' END AS error FROM rq0)""",
+            """cs AS (SELECT DISTINCT isodow(request_ts) - 1 AS dw, extract(hour FROM request_ts) AS hr, fleet FROM rq WHERE error IS NULL)""",
+            """cz AS (SELECT cs.dw, cs.hr, cs.fleet, wk.zone_id, CAST(wk.zone_id AS INT) AS zone_num, wk.predicted_demand
+  FROM cs JOIN wk ON wk.day_of_week = cs.dw AND wk.hour = cs.hr)""",
+            alloc_ctes("cz", "dw, hr, fleet", fleet="fleet", tie="zone_num"))
+
+SQL["allocate_requests"] = with_ctes(*BASE, *REQUESTS) + """SELECT rq.request_id, rq.request_ts, CAST(rq.fleet AS INT) AS fleet, rv.zone_id,
+  round(predicted_demand, 6) + 0.0 AS predicted_demand, allocated_drivers, action,
+  round(surge_multiplier, 6) + 0.0 AS surge_multiplier, round(revenue, 6) + 0.0 AS revenue, error
+FROM rq LEFT JOIN rv ON rv.dw = isodow(rq.request_ts) - 1 AND rv.hr = extract(hour FROM rq.request_ts) AND rv.fleet = rq.fleet"""
+
 # ---------------------------------------------------------------- M7 split
 
 SQL["time_split"] = over_features(""", o AS (SELECT time_bin, zone_id,

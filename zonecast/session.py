@@ -78,13 +78,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir is not set: give the cluster a shared folder")
 
 
-def materialize(df, name: str = "table"):
+def materialize(df, name: str = "table", partition_by: tuple[str, ...] = ()):
     """Write ``df`` once as parquet under the cluster's checkpoint folder and
     read it back: a lineage cut that survives executor loss and costs one
     pass over the input (``DataFrame.checkpoint`` computes an unpersisted
-    plan twice: once for the action, once for the checkpoint file)."""
+    plan twice: once for the action, once for the checkpoint file). With
+    ``partition_by`` the table has a folder for each value of these columns."""
     import uuid
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/zonecast-tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return spark.read.parquet(path)

@@ -10,13 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 # Ride-log timestamp layout (pandas writes 'YYYY-MM-DD HH:MM:SS'); microseconds optional.
 CSV_TS_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
-DRIVER_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-    "events", "documents", "embeddings", "pages", "benchmark", "labels",
-    "conversations",
-)
-
-
 def _is_local(path: str) -> bool:
     return "://" not in path or path.startswith("file://")
 
@@ -42,6 +35,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)  # an error is an error
 
 
+def table_version(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """(files, bytes, latest change) of a table's files, a file or a folder of part
+    files: what a memo of results made from the table is keyed by."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = p.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(p, True)
+    count = size = latest = 0
+    while files.hasNext():
+        f = files.next()
+        count, size, latest = count + 1, size + f.getLen(), max(latest, f.getModificationTime())
+    return count, size, latest
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
