@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from zonecast.llm import components, jaccard_join, multi_index, suffix_dedup
 
@@ -181,3 +182,54 @@ def test_multi_sequence_walk_visits_nearest_cells():
     a, b = grid.halves(x)
     cost = (a[:, :, None] + b[:, None, :]).reshape(30, -1)
     assert (np.sort(np.take_along_axis(cost, grid.visited(x), 1)) == np.sort(cost, axis=1)[:, :7]).all()
+
+
+def by_hand(rows, k, percent):
+    """(sets, group number of each row, smallest id of each group) by all pairs."""
+    sets = [shingles(t, k) for _, t in rows]
+    links = [(a, b) for a in range(len(sets)) for b in range(a)
+             if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    of, least = groups(links, range(len(sets))), {}
+    for i, g in of.items():
+        if rows[i][0] is not None:
+            least[g] = min(least.get(g, rows[i][0]), rows[i][0])
+    return sets, of, least
+
+
+def ids_that_repeat(seed):
+    """The verdict's rows (different linked texts under one id; a near copy under a null
+    id), and many texts, copies and near copies under few ids, a fifth of them null."""
+    rng = random.Random(seed)
+    a, b, c = (prose(rng, 120) for _ in range(3))
+    rows = [(10, a), (10, b), (2, a + " tail"), (3, b + " tail"), (None, c), (5, c + " tail"), (None, c), (None, ""), (7, ""), (7, None)]
+    base = [prose(rng, rng.randrange(8, 90)) for _ in range(25)]
+    for _ in range(150):
+        t = rng.choice(base)
+        t = rng.choice([t, t + " more", "more " + t, t.rsplit(" ", 1)[0]])
+        rows.append((None if rng.random() < 0.2 else rng.randrange(20, 50), t))
+    only = prose(rng, 60)  # a chain that hangs together by a row without an id only
+    return rows + [(60, only), (None, only + " x y"), (None, only + " x y z u"), (61, prose(rng, 60))]
+
+
+@pytest.mark.parametrize("k,percent", [(3, 90), (5, 80)])
+def test_jaccard_with_repeated_and_null_ids_equals_all_pairs(spark, k, percent):
+    rows = ids_that_repeat(k)
+    sets, of, least = by_hand(rows, k, percent)
+    want = collections.Counter((i, len(s), least.get(of[n]) if s else i) for n, ((i, _), s) in enumerate(zip(rows, sets, strict=True)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert collections.Counter(map(tuple, jaccard_join.near_duplicates(df, k, percent).collect())) == want
+
+
+def test_one_row_of_each_group_is_left(spark):
+    rows = ids_that_repeat(8)
+    sets, of, least = by_hand(rows, 5, 80)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).withColumn("__row", F.lit(1))
+    left = jaccard_join.one_of_each(df)
+    assert left.columns == df.columns
+    got = [(r.doc_id, r.text) for r in left.collect()]
+    group_of = {(i, t): of[n] for n, (i, t) in enumerate(rows)}
+    full = [x for x in got if shingles(x[1], 5)]
+    found = collections.Counter(group_of[x] for x in full)
+    assert found == collections.Counter({of[n] for n, s in enumerate(sets) if s})
+    assert all(x[0] == least.get(group_of[x]) for x in full)
+    assert sorted((str(i), t or "") for i, t in got if not shingles(t, 5)) == [("7", ""), ("None", "")]

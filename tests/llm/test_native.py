@@ -288,5 +288,5 @@ def test_pipeline_odd_and_empty_tables(spark, odd, odd_rows, empty, tmp_path):
 def test_registered():
     import __spark_entry__ as e
     ops = sorted((int(m[1]) for q in e.queries() if (m := re.match(r"op(\d+)_", q))))
-    assert ops == list(range(1, 11)) and "pipeline" in e.queries()
+    assert ops == list(range(1, 14)) and "pipeline" in e.queries()
     assert set(SQL) <= set(QUERIES) and [n for n, _ in corpus_pipeline.STAGES] and corpus_pipeline.ORACLE_SQL is None

@@ -23,10 +23,12 @@ their shingles several times over (``DEALS``), which puts a miss below 1e-11.
 
 Defined results: null or empty text, or one without words, has an empty set and
 links with nothing; a text of fewer words than a shingle has one shingle, its
-whole sequence; repeated rows are equal sets; a row with a null id is in the
-group of the rows it links with, named by their smallest id (null if all are
-null, and then it ties nothing); an empty table gives an empty result; other
-columns are not read.
+whole sequence; repeated rows are equal sets. Texts link, not ids: sets are known
+by their digests throughout, and a group gets its name, its smallest id, at the end.
+So rows of different texts that share an id are documents of their own, each in the
+group of its text, and a text that only rows with a null id hold links like any
+other (a group has a null name if all its ids are null). An empty table gives an
+empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -112,13 +114,14 @@ def digests(s: np.ndarray) -> tuple[int, int]:
 def _described(k: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offs in blocks(batch.column(1)):
+            for lo, hi, data, offs in blocks(batch.column(2)):
                 sets = shingle_sets(data, offs, k)
                 d = [digests(s) for s in sets]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(lo, hi - lo), pa.array([len(s) for s in sets], type=pa.int64()),
+                    batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo),
+                    pa.array([len(s) for s in sets], type=pa.int64()),
                     pa.array([x for x, _ in d], type=pa.int64()), pa.array([x for _, x in d], type=pa.int64()),
-                    pa.array([sketch(s).tobytes() for s in sets], type=pa.binary())], names=["id", "n", "d1", "d2", "sketch"])
+                    pa.array([sketch(s).tobytes() for s in sets], type=pa.binary())], names=["id", "text_key", "n", "d1", "d2", "sketch"])
 
     return work
 
@@ -319,19 +322,27 @@ def _elements(k: int):
                     [part.column("id"), part.column("cluster"), part.column("n"), part.column("sketch"),
                      pa.array([s.tobytes() for s in sets], type=pa.binary())],
                     names=["id", "cluster", "n", "sketch", "elements"])
-                # of rows that share an id, only the text that stands for the class
+                # a text key is a hash: only the text that stands for the class
                 yield out.filter(pa.compute.equal(same, part.column("d1")))
 
     return work
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) of every row."""
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    seen = materialize(map_batches(base, _described(k), "id long, n long, d1 long, d2 long, sketch binary"), "op2-seen")
-    full = seen.where("n > 0")
-    classes = materialize(full.groupBy("n", "d1", "d2").agg(F.min("id").alias("id"), F.first("sketch").alias("sketch")), "op2-sets")
+def text_key(text_col: str = "text"):
+    """What tells texts under one id apart (null and empty: the same)."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def grouped(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text_key, n, component_id, set_group) of every row: ``component_id`` is the
+    smallest id of the row's group, ``set_group`` a number that no other group has (null
+    for an empty set)."""
+    base = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text_col).alias("text_key"), F.col(text_col).alias("text"))
+    seen = materialize(map_batches(base, _described(k), "id long, text_key long, n long, d1 long, d2 long, sketch binary"), "op2-seen")
+    # a class is a set; one of its rows, with an id where it has one, stands for it
+    row = F.struct(F.col("id").isNull().alias("nameless"), "id", "text_key")
+    classes = seen.where("n > 0").groupBy("n", "d1", "d2").agg(F.min(row).alias("row"), F.first("sketch").alias("sketch"))
+    classes = materialize(classes.select(F.monotonically_increasing_id().alias("id"), "n", "d1", "d2", "row", "sketch"), "op2-sets")
 
     values = map_batches(base.select("text"), _valued(k, percent), _ROWS)
     met = materialize(map_batches(values.repartition("key").sortWithinPartitions("key", "kind", "a"), _met, _ROWS), "op2-met")
@@ -341,22 +352,55 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     units = (ties.join(lead, ["value", "least"], "left").select(F.coalesce("head", "least").alias("head"), "member")
              .unionByName(lead.select("head", F.col("least").alias("member"))).distinct())
     units = units.unionByName(units.select("head", F.col("head").alias("member")).distinct())
-    named = classes.where("id is not null").select("id", "n", F.col("d1").alias("member"), "sketch")
-    close = _by_unit(in_chunks(units.join(named, "member").select("head", "id", "n", "sketch"), "head"))
+    known = classes.select("id", "n", F.col("d1").alias("member"), "sketch")
+    close = _by_unit(in_chunks(units.join(known, "member").select("head", "id", "n", "sketch"), "head"))
     close = materialize(map_batches(close.select("unit", "side", "id", "n", "sketch"), _compared(percent, False),
                                     "a long, b long"), "op2-close")
 
     cluster = components(close).select("id", F.col("component").alias("cluster"))
-    wanted = materialize(cluster.join(classes.select("id", "n", "d1", "sketch"), "id"), "op2-wanted")
-    sets = map_batches(
-        base.join(wanted, "id").select("id", "cluster", "n", "d1", "sketch", "text"), _elements(k),
-        "id long, cluster long, n long, sketch binary, elements binary")
+    wanted = cluster.join(classes.select("id", "n", "d1", "row", "sketch"), "id").select(
+        "id", "cluster", "n", "d1", "sketch", F.col("row.id").alias("row_id"), "row.text_key")
+    wanted = materialize(wanted, "op2-wanted")
+    cols = ["id", "cluster", "n", "d1", "sketch", "text"]
+    named = (base.where("id is not null").withColumnRenamed("id", "row_id")
+             .join(wanted.where("row_id is not null"), ["row_id", "text_key"]).select(*cols))
+    # rows without an id meet by their text alone: one of each text goes on
+    nameless = (base.where("id is null").dropDuplicates(["text_key"]).drop("id")
+                .join(wanted.where("row_id is null"), "text_key").select(*cols))
+    sets = map_batches(named.unionByName(nameless), _elements(k),
+                       "id long, cluster long, n long, sketch binary, elements binary")
     sets = materialize(sets.dropDuplicates(["id"]), "op2-elements")
     links = _by_unit(in_chunks(sets, "cluster")).select("unit", "side", "id", "n", "sketch", "elements")
-    groups = components(map_batches(links, _compared(percent, True), "a long, b long"))
+    groups = materialize(components(map_batches(links, _compared(percent, True), "a long, b long")), "op2-groups")
 
-    of_class = (classes.select("n", "d1", "d2", "id").join(groups, "id", "left")
-                .select("n", "d1", "d2", F.coalesce("component", "id").alias("group")))
-    return (seen.drop("sketch").join(of_class, ["n", "d1", "d2"], "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.coalesce("group", "id").alias("component_id")))
+    own = classes.select("id", "n", "d1", "d2", F.col("row.id").alias("least"))
+    names = own.join(groups, "id").groupBy("component").agg(F.min("least").alias("name"))
+    linked = groups.join(names, "component")
+    of_class = own.join(linked, "id", "left").select(
+        "n", "d1", "d2", F.coalesce("component", "id").alias("set_group"),
+        F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("name")).alias("name"))
+    return seen.drop("sketch").join(of_class, ["n", "d1", "d2"], "left").select(
+        "id", "text_key", "n", F.when(F.col("n") > 0, F.col("name")).otherwise(F.col("id")).alias("component_id"), "set_group")
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id) of every row."""
+    return grouped(docs, k, percent, id_col, text_col).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one row left of each group: that of the smallest id
+    (one without an id only if the group has none other), of its texts that of the least
+    text key. Rows with an empty set stay, but of rows that share id and text one is left."""
+    found = grouped(docs, k, percent, id_col, text_col)
+    keys = ["__nameless", "__id", "__key"]
+    row = F.struct(F.col("id").isNull().alias("__nameless"), F.coalesce("id", F.lit(0)).alias("__id"), F.col("text_key").alias("__key"))
+    rows = found.select("set_group", row.alias("row"))
+    heads = (rows.where("set_group is not null").groupBy("set_group").agg(F.min("row").alias("row")).select("row.*")
+             .unionByName(rows.where("set_group is null").select("row.*").distinct()))
+    own = F.col(id_col).cast("long")
+    at = docs.select(F.struct(*docs.columns).alias("__row"), own.isNull().alias("__nameless"),
+                     F.coalesce(own, F.lit(0)).alias("__id"), text_key(text_col).alias("__key"))
+    return at.join(heads, keys, "left_semi").dropDuplicates(keys).select("__row.*")
