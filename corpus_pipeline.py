@@ -12,8 +12,9 @@ Each stage takes (spark, docs, sf_dir); ``run`` writes a stage's rows as Parquet
 in the shared checkpoint folder and hands what it reads back to the next one.
 
 Defined results: rows with a null or empty text are judged like any other text;
-of repeated rows one is left by stage 2; a null id never stands for a group of
-others and stays if its group has no other id; an empty table stays empty, with
+of repeated rows one is left by stage 2, and different texts under one id are judged
+apart; a null id stands for its group only if the group has no other id; an empty
+table stays empty, with
 the same columns; columns beside those of ``documents`` are handed through up to
 the last stage.
 """
@@ -36,10 +37,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard_join.near_duplicates(docs, k=5, percent=80)
-    heads = found.where("component_id is null or doc_id = component_id").select(F.col("doc_id").alias("__head")).distinct()
-    left = docs.join(heads, F.col("doc_id").eqNullSafe(F.col("__head")), "left_semi")
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+    return jaccard_join.one_of_each(docs, k=5, percent=80)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
