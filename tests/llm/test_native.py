@@ -3,6 +3,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -118,6 +119,77 @@ def test_secret_scan(leaks, empty):
     assert secret_scan.find(empty).count() == 0
 
 
+def battery(run):
+    """(length, steps against text, whether a key is not rejected) of a run, by numpy."""
+    body = run.rstrip("=").translate(str.maketrans("-_", "+/"))
+    letters = next((a for p, a in secret_scan.ENCODINGS if re.match(p, body)), secret_scan.BASE64)
+    s, a, n = np.array([letters.index(c) for c in body]), len(letters), len(body)
+    chi = (np.bincount(s) ** 2).sum() * a / n - n
+    up = s >= a / 2
+    mean = 1 + 2 * up.sum() * (n - up.sum()) / n
+    var = (mean - 1) * (mean - 2) / (n - 1)
+    runs = ((up[1:] != up[:-1]).sum() + 1 - mean) / math.sqrt(var) if var > 0 else 99.0
+    d = s - s.mean()
+    r = (d[1:] * d[:-1]).sum() / (d * d).sum() if d.any() else None
+    serial = (r + 1 / n) * math.sqrt(n) if d.any() else 99.0
+    key = max((chi - (a - 1)) / math.sqrt(2 * (a - 1)), 0) ** 2 + runs ** 2 + serial ** 2
+    equal = max(secret_scan.TEXT_EQUAL * a, 1.3)
+    even = ((a - 1) + (n - 1) * (equal - 1) - chi) / math.sqrt(2 * (a - 1) * equal + 4 * (n - 1) * (equal - 1))
+    kind = [1 if c.isdigit() else 2 if c.isupper() else 3 if c.islower() else 4 for c in body]
+    c = secret_scan.TEXT_CHANGE
+    change = (sum(x != y for x, y in zip(kind, kind[1:])) - (n - 1) * c) / math.sqrt((n - 1) * c * (1 - c))
+    calm = (secret_scan.TEXT_SERIAL - (1.0 if r is None else r)) * math.sqrt(n)
+    z = np.dot(secret_scan.WEIGHTS, (even, change, calm)) / np.linalg.norm(secret_scan.WEIGHTS)
+    p = (z * z / 2 + math.log((z + math.sqrt(z * z + 2.546479)) * 1.2533141)) / math.log(10) if z > 0 else 0.0
+    return n, min(math.floor(p * secret_scan.STEPS), secret_scan.MOST), key <= secret_scan.VETO
+
+
+def all_spans(rows):
+    """Every span of every row, from loops and the false-discovery rule by hand."""
+    tested = [[(m.start(), m.end(), *battery(m.group())) for m in re.finditer(secret_scan.RUN, t or "")] for _, t in rows]
+    band = lambda n: sum(n >= b for b in secret_scan.BANDS)
+    least = {}
+    for b in range(1, len(secret_scan.BANDS) + 1):
+        steps = sorted((x[3] for r in tested for x in r if band(x[2]) == b), reverse=True)
+        good = [v for v in set(steps) if 10 ** (-v / secret_scan.STEPS) <= secret_scan.FALSE_SHARE * sum(u >= v for u in steps) / len(steps)]
+        least[b] = min(good, default=math.inf)
+    out = []
+    for (_, t), runs in zip(rows, tested, strict=True):
+        base = base_spans(t)
+        out.append(sorted(base + [(s, 3, e) for s, e, n, v, ok in runs
+                                  if ok and v >= least[band(n)] and not any(x < e and s < y for x, _, y in base)]))
+    return out
+
+
+def test_added_spans_equal_numpy(leaks):
+    df, rows, _ = leaks
+    got = collections.Counter((r.doc_id, str([(s.start, s.kind, s.end) for s in r.spans])) for r in secret_scan.find(df).collect())
+    assert got == collections.Counter((i, str(s)) for (i, _), s in zip(rows, all_spans(rows), strict=True))
+
+
+def test_secrets_of_a_text_with_thousands_of_keys(spark):
+    """All spans and the redacted text, in time that follows the length."""
+    rng = random.Random(9)
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    b64 = lambda n: "".join(rng.choice(secret_scan.BASE64[:62]) for _ in range(n))
+    one = [f"{'é🎉' * (k % 3)}{hexes(32)} token={b64(12)} {b64(40)}{hexes(3) if k % 2 else ''}" for k in range(4000)]
+    rows = [(0, " ".join(one)), (1, "password=" + "ab" * 30_000 + "\n" + b64(36)), (2, "plain words only"), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = all_spans(rows)
+    start = time.monotonic()
+    got = {r.doc_id: [(s.start, s.kind, s.end) for s in r.spans] for r in secret_scan.find(df).collect()}
+    assert got == {i: s for (i, _), s in zip(rows, want, strict=True)} and len(got[0]) > 9000
+    done = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    assert time.monotonic() - start < 60
+    for (i, text), found in zip(rows, want, strict=True):
+        out, at = [], 0
+        for s, _, e in found:
+            if s >= at:
+                out += [text[at:s], "[SECRET]"]
+            at = max(at, e)
+        assert done[i] == (None if text is None else "".join(out) + text[at:])
+
+
 def test_secret_report_and_redaction(leaks):
     df, rows, _ = leaks
     report = {(r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in secret_scan.report(secret_scan.find(df)).collect()}

@@ -6,17 +6,23 @@ characters gets an inferred encoding (hex, base 32, base 36, base 64) and, on
 its symbol numbers,
 
 * a chi-squared test of a uniform alphabet,
-* a runs test (symbols in the upper or lower half of the alphabet),
-* a lag-1 serial correlation test,
-
-each against a random key, and two scores against ordinary text: how far the
-chi-squared value lies below what letters of a language give, and how often
-the character class (digit, upper, lower, sign) changes. A run counts as
-random when none of the three tests rejects a random key at ``VETO`` and its
-combined p-value as ordinary text survives the Benjamini-Hochberg rule at
-``FALSE_SHARE`` among the runs of its length band, over all documents. For
-that rule the p-values are counted in steps of a 20th of a power of ten, so the
-corpus gathers bands x 801 counts at most, whatever its size.
+* a runs test (against a key: runs of the upper or lower half of the alphabet;
+  against text: runs of one character class, digit, upper, lower or sign),
+* a lag-1 serial correlation test.
+
+Each gives a normal score against a random key and one against ordinary text
+(how far the chi-squared value lies below what letters of a language give, how
+much oftener the class changes, how much less neighbours agree). The scores
+against a key are combined by their squares (chi-squared, 3 degrees of freedom),
+those against text as one weighted normal score. A run counts as random when a
+random key is not rejected at 0.001 and its combined p-value as text survives
+the Benjamini-Hochberg rule at ``FALSE_SHARE`` among the runs of its length
+band, over all documents. For that rule the p-values are counted in steps of a
+20th of a power of ten, so the corpus gathers bands x 801 counts at most,
+whatever its size.
+
+A text's cost grows as n log n with its matches n: positions and overlaps come
+from running sums and maxima of whole arrays in doubling steps (``running``).
 
 Defined results: null or empty text has no spans; a run that overlaps a base
 span is not added; base spans of different kinds may overlap; repeated rows are
@@ -26,6 +32,8 @@ scanned alike; an empty table gives an empty result; other columns are kept by
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,10 +50,12 @@ RUN = r"[A-Za-z0-9+/_-]{16,}={0,2}"
 #: Lower lengths of the bands of the false-discovery rule.
 BANDS = (16, 20, 24, 32, 40, 64, 128)
 FALSE_SHARE = 0.001
-VETO_Z = 3.3  # two-sided 0.001
+VETO = 16.266  # 0.999 quantile of chi-squared with 3 degrees of freedom
 STEPS, MOST = 20, 800
 #: Share of equal pairs of symbols in running text, and of class changes inside its words.
 TEXT_EQUAL, TEXT_CHANGE = 0.075, 0.08
+#: Lag-1 correlation of symbol numbers in running text, and the tests' weights: it tells text from keys least.
+TEXT_SERIAL, WEIGHTS = 0.1, (1.0, 1.0, 0.5)
 UPPER, LOWER, DIGIT = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 ENCODINGS = (
     ("^[0-9a-f]+$", DIGIT + "abcdef"),
@@ -55,23 +65,35 @@ ENCODINGS = (
     ("^[0-9A-Z]+$", DIGIT + UPPER),
 )
 BASE64 = UPPER + LOWER + DIGIT + "+/"
+#: Code points of a part of a text that is cut apart.
+PART = 4096
+
+
+def running(rows: Column, join) -> Column:
+    """Prefix results of an array of structs: ``join(row, earlier)`` puts the
+    earlier row's value (null: none) into the row. Every step doubles the reach,
+    so an array is passed over log2 of its size times."""
+    return F.aggregate(
+        F.array(*(F.lit(1 << i) for i in range(31))), rows,
+        lambda acc, d: F.when(d >= F.size(acc), acc).otherwise(F.transform(acc, lambda x, i: join(x, F.get(acc, i - d)))))
+
+
+def _let(value: Column, f) -> Column:
+    """f of a value that is computed once, however often f reads it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
 def matches(text: Column, pattern: str, group: int) -> Column:
     """array<struct<start, end, size>> of all matches, in code points; size is
-    the length of the group. The pieces between matches give the positions."""
+    the length of the group. The lengths of matches and of the pieces between them
+    add up to the positions."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     part = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     rows = F.arrays_zip(F.transform(whole, F.length).alias("m"), F.transform(part, F.length).alias("g"),
                         F.transform(F.slice(F.split(text, pattern, -1), 1, F.size(whole)), F.length).alias("p"))
-    return F.aggregate(
-        rows,
-        F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,size:int>>)").alias("out")),
-        lambda a, x: F.struct(
-            (a["at"] + x["p"] + x["m"]).alias("at"),
-            F.concat(a["out"], F.array(F.struct((a["at"] + x["p"]).alias("start"), (a["at"] + x["p"] + x["m"]).alias("end"),
-                                                x["g"].alias("size")))).alias("out")),
-        lambda a: a["out"])
+    ends = running(F.transform(rows, lambda x: F.struct((x["p"] + x["m"]).alias("end"), x["m"].alias("m"), x["g"].alias("size"))),
+                   lambda x, y: F.struct((x["end"] + F.coalesce(y["end"], F.lit(0))).alias("end"), x["m"].alias("m"), x["size"].alias("size")))
+    return F.transform(ends, lambda x: F.struct((x["end"] - x["m"]).alias("start"), x["end"].alias("end"), x["size"].alias("size")))
 
 
 def _none() -> Column:
@@ -157,12 +179,14 @@ def _verdict(c: Column) -> Column:
     text_sd = F.sqrt(2 * (a - 1) * equal + 4 * (n - 1) * (equal - 1))
     even = (text_mean - chi) / text_sd
     change = (c["changes"] - (n - 1) * TEXT_CHANGE) / F.sqrt((n - 1) * TEXT_CHANGE * (1 - TEXT_CHANGE))
+    calm = (F.lit(TEXT_SERIAL) - F.when(c["spread"] > 0, c["lagged"] / c["spread"]).otherwise(1.0)) * F.sqrt(n)
+    against_text = sum(w * z for w, z in zip(WEIGHTS, (even, change, calm), strict=True)) / math.sqrt(sum(w * w for w in WEIGHTS))
+    against_key = F.pow(F.greatest(uniform, F.lit(0.0)), F.lit(2.0)) + runs * runs + serial * serial
     band = F.lit(len(BANDS))
     for i in range(len(BANDS) - 1, 0, -1):
         band = F.when(n < BANDS[i], F.lit(i)).otherwise(band)
-    return F.struct(c["start"], c["end"], band.cast("int").alias("band"),
-                    _tail_steps((even + change) / F.sqrt(F.lit(2.0))).alias("steps"),
-                    ((uniform <= VETO_Z) & (F.abs(runs) <= VETO_Z) & (F.abs(serial) <= VETO_Z)).alias("even"))
+    return F.struct(c["start"], c["end"], band.cast("int").alias("band"), _tail_steps(against_text).alias("steps"),
+                    (against_key <= VETO).alias("even"))
 
 
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -214,11 +238,15 @@ def spans(least: dict[int, int]) -> Column:
             limit = F.when(r["band"] == band, F.lit(steps)).otherwise(limit)
         return r["steps"] >= limit
 
-    extra = F.filter("__runs", lambda r: r["even"] & enough(r) & ~F.exists(
-        "__base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    kind = F.lit(KINDS.index("random"))
-    more = F.transform(extra, lambda r: F.struct(r["start"], r["end"], kind.alias("kind")))
-    return in_order(F.concat("__base", more))
+    # by start (base) or end (run): the ends of all base spans that start before a run's end lie before it
+    event = lambda key, base, x, kind, top: F.struct(
+        key.alias("key"), base.alias("base"), x["start"].alias("start"), x["end"].alias("end"), kind.alias("kind"), top.alias("top"))
+    events = F.array_sort(F.concat(
+        F.transform("__base", lambda b: event(b["start"], F.lit(1), b, b["kind"], b["end"])),
+        F.transform(F.filter("__runs", lambda r: r["even"] & enough(r)),
+                    lambda r: event(r["end"], F.lit(0), r, F.lit(KINDS.index("random")), F.lit(0)))))
+    seen = running(events, lambda x, y: event(x["key"], x["base"], x, x["kind"], F.greatest(x["top"], y["top"])))
+    return in_order(F.filter(seen, lambda x: (x["base"] == 1) | (x["top"] <= x["start"])))
 
 
 def in_order(found: Column) -> Column:
@@ -246,20 +274,41 @@ def report(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
                         as_text(F.col("spans")).alias("spans"))
 
 
+def _cut(parts: Column, lo: Column, hi: Column) -> Column:
+    """Code points lo to hi (exclusive) of a text in parts of ``PART``."""
+    def piece(k: Column) -> Column:
+        first = F.greatest(lo - k * PART, F.lit(0))
+        return F.substring(F.get(parts, k), first + 1, F.least(hi - k * PART, F.lit(PART)) - first)
+
+    at = F.sequence(F.floor(lo / PART).cast("int"), F.floor((hi - 1) / PART).cast("int"))
+    return F.when(hi > lo, F.array_join(F.transform(at, piece), "")).otherwise("")
+
+
+def splice(text: Column, found: Column, mark: str) -> Column:
+    """The text with every span (by start) replaced, overlapping spans by one mark."""
+    tops = running(F.transform(found, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("top"))),
+                   lambda x, y: F.struct(x["start"].alias("start"), F.greatest(x["top"], y["top"]).alias("top")))
+
+    def done(c: Column) -> Column:
+        def piece(x: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(c["tops"], i - 1)["top"], F.lit(0))
+            return F.when(x["start"] >= before, F.concat(_cut(c["parts"], before, x["start"]), F.lit(mark))).otherwise("")
+
+        return F.concat(F.array_join(F.transform(c["tops"], piece), ""),
+                        _cut(c["parts"], F.element_at(c["tops"], -1)["top"], c["n"]))
+
+    parts = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PART}}}"), F.lit(0))
+    return _let(F.struct(parts.alias("parts"), tops.alias("tops"), F.length(text).alias("n")), done)
+
+
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The documents with every span replaced by ``mark`` (overlapping spans
-    by one). The texts are scanned where they are, once for the counts and once
-    for the replacement; nothing is shuffled."""
-    least = thresholds(scan(docs.select(F.col(text_col).alias("__text")), "__text"))
+    by one). The texts are scanned once and written with what was found; nothing
+    is shuffled."""
     rows = docs.select(F.struct(*docs.columns).alias("__row"), F.col(text_col).alias("__text"))
-    df = scan(rows, "__text").withColumn("__spans", spans(least))
-    text = F.coalesce(F.col("__text"), F.lit(""))
-    done = F.aggregate(
-        "__spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-        lambda a, x: F.when(x["end"] <= a["at"], a).when(x["start"] < a["at"], F.struct(a["out"].alias("out"), x["end"].alias("at")))
-        .otherwise(F.struct(F.concat(a["out"], F.substring(text, a["at"] + 1, x["start"] - a["at"]), F.lit(mark)).alias("out"),
-                            x["end"].alias("at"))),
-        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    clean = F.when(F.size("__spans") > 0, done).otherwise(F.col("__text"))
-    return df.withColumn("__clean", clean).select(
+    seen = materialize(scan(rows, "__text").select("__row", "__base", "__runs"), "op7-redact")
+    text = F.col("__row")[text_col]
+    df = seen.select("__row", spans(thresholds(seen)).alias("__spans"))
+    clean = F.when(F.size("__spans") > 0, splice(text, F.col("__spans"), mark)).otherwise(text)
+    return df.select("__row", clean.alias("__clean")).select(
         *(F.col("__clean").alias(c) if c == text_col else F.col("__row")[c].alias(c) for c in docs.columns))
