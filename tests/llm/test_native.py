@@ -241,6 +241,48 @@ def test_source_mix(spark, odd, odd_rows, empty):
     assert source_mix.apply(empty).count() == 0 and source_mix.apply(df.where("source = 'big'")).count() == sum(r[3] == "big" for r in rows)
 
 
+@pytest.mark.parametrize("share", [0.0, 0.3, 0.9, 1.7, 5.0])
+def test_source_mix_budget(spark, share):
+    """Documents out below the corpus, repeated above it, no source over the limit."""
+    rng = random.Random(12)
+    rows = [(i, prose(rng, rng.randrange(1, 40)), "en", "big" if i % 10 else f"s{i % 40}" if i % 70 else None, 1) for i in range(900)]
+    rows += [(1000, None, None, "silent", 0), (1001, "", "en", "silent", 0), (None, "a b c", "en", "big", 5)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    size, total = {}, collections.Counter()
+    for i, t, _, s, _ in rows:
+        size[s, i] = len((t or "").split())
+        total[s] += size[s, i]
+    every = sum(total.values())
+    budget = int(share * every)
+    got = source_mix.plan(df, budget=budget).collect()
+    assert len(got) == len(rows)
+    b, shares = min(budget, 2 * every), sorted(t / every for t in total.values() if t)
+    most = lambda a: b / every * shares[0] ** (a - 1) / sum(x ** a for x in shares)
+    low, high = 0.0, 0.0 if most(0) <= 2 else 1.0
+    for _ in range(45):
+        m = (low + high) / 2
+        low, high = (low, m) if most(m) <= 2 else (m, high)
+    want = {s: b * (t / every) ** high / sum(x ** high for x in shares) / t if t else 1.0 for s, t in total.items()}
+    want_copies = {}
+    for s, n in want.items():
+        left = (round(n, 6) - math.floor(round(n, 6))) * total[s]
+        key = lambda i: hashlib.md5(f"mix:{math.floor(round(n, 6))}:{'null' if i is None else i}".encode()).hexdigest()  # noqa: B023, E731
+        for i in sorted((i for x, i in size if x == s), key=key):
+            left -= size[s, i]
+            want_copies[s, i] = math.floor(round(n, 6)) + (left >= 0 and size[s, i] > 0)
+    assert {(r["__source"][1:] or None, r["__id"]): r["copies"] for r in got} == want_copies
+    assert max(want.values()) <= 2 + 1e-6 and sum(want_copies[k] * size[k] for k in size) <= b
+    out = [(r.source, r.doc_id) for r in source_mix.apply(df, budget=budget).collect()]
+    assert collections.Counter(out) == collections.Counter({k: n for k, n in want_copies.items() if n})
+    # in the order of the mix: a half of it has a half of each large source, an epoch ends before the next one, and epochs differ
+    if share == 1.7:
+        half = collections.Counter(s for s, _ in out[:len(out) // 2])
+        assert abs(half["big"] / sum(s == "big" for s, _ in out) - 0.5) < 0.08
+        seen = [i for s, i in out if s == "big"]
+        n = len({*seen})
+        assert len(set(seen[:n])) == n and seen[n:] != [i for i in seen[:n] if i in set(seen[n:])]
+
+
 def test_quality_rules(spark, odd, odd_rows, empty):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rules = quality_rules.train(docs, labels, remainder("doc_id", 5) != 0)

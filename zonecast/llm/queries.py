@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.llm import best_fit, bpe_codec, centroid_tree, fill_middle, jaccard_join, lm_score, multi_index, quality_rules, secret_scan, source_mix, suffix_dedup, token_counts, winnowing
+from zonecast.session import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,10 +60,17 @@ def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Copies of each document under the default mix, with its place in the order."""
-    return source_mix.plan(table(spark, sf_dir, "documents")).select(
+    """Copies of each document under the default mix, with its place in the last
+    epoch, and under budgets of a half and of three halves of all tokens."""
+    rows = materialize(source_mix.sizes(table(spark, sf_dir, "documents")), "op9-sizes")
+    every = rows.agg(F.sum("__tokens")).first()[0] or 0
+    out = source_mix.taken(rows).withColumnsRenamed({"copies": "n_copies", "__place": "place"}).drop("weight", "epochs")
+    for name, budget in (("half", every * 0.5), ("more", every * 1.5)):
+        out = materialize(out, "op9-mix")
+        out = source_mix.taken(out, budget=budget).withColumnRenamed("copies", f"n_copies_{name}").drop("weight", "epochs", "__place")
+    return out.select(
         F.col("__id").alias("doc_id"), F.when(F.col("__source") != "", F.substr("__source", F.lit(2))).alias("source"),
-        F.col("__tokens").alias("n_tokens"), F.col("copies").alias("n_copies"), F.col("__place").alias("place"))
+        F.col("__tokens").alias("n_tokens"), "n_copies", "place", "n_copies_half", "n_copies_more")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,22 +167,35 @@ select e.vec_id, coalesce(n.n, 0)::bigint as n_links, r.c as component_id, e.vec
 from embeddings e left join n on n.a = e.vec_id
 join (select vec_id, min(c) as c from r group by vec_id) r on r.vec_id = e.vec_id""",
     "op9_source_mix": r"""
-with d as (
-  select source, doc_id, sum(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0))::bigint as n,
-         md5('mix:' || coalesce(doc_id::varchar, 'null')) as place
+with recursive d as (
+  select source, doc_id, sum(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0))::bigint as n
   from documents group by source, doc_id),
 s as (select source, sum(n)::double as t from d group by source),
-x as (select case when max(t) > min(t) then greatest(0, 1 - ln(2) / (ln(max(t)) - ln(min(t)))) else 0 end as a
-      from s where t > 0),
-w as (select source, t, pow(t, a) / t as r from s, x where t > 0),
-e as (select source, t, round(r / (select min(r) from w), 6) as epochs from w
-      union all select source, t, 1.0 from s where t = 0),
-p as (select d.*, e.epochs, (e.epochs - floor(e.epochs)) * e.t as budget,
-             sum(n) over (partition by d.source order by place, doc_id rows unbounded preceding) as upto
-      from d join e on d.source is not distinct from e.source)
-select doc_id, source, n as n_tokens,
-       (floor(epochs) + case when upto <= budget and n > 0 then 1 else 0 end)::bigint as n_copies, place
-from p""",
+z as (select sum(t) as every, list(t / (select sum(t) from s) order by t) as shares, max(t) as most, min(t) as least from s where t > 0),
+f(mix, share) as (values ('half', 0.5::double), ('more', 1.5::double)),
+-- the exponent is bisected: high meets the repetition limit of 2, low does not
+b as (
+  select mix, share, shares, 0 as i, 0::double as low,
+         case when share / shares[1] / len(shares) <= 2 then 0::double else 1::double end as high from f, z
+  union all
+  select mix, share, shares, i + 1,
+         case when share * pow(shares[1], m - 1) / list_sum(list_transform(shares, lambda x: pow(x, m))) <= 2 then low else m end,
+         case when share * pow(shares[1], m - 1) / list_sum(list_transform(shares, lambda x: pow(x, m))) <= 2 then m else high end
+  from (select *, (low + high) / 2 as m from b where i < 45)),
+x as (select 'all' as mix, case when most > least then greatest(0, 1 - ln(2) / (ln(most) - ln(least))) else 0 end as a from z
+      union all select mix, high from b where i = 45),
+w as (select mix, source, t, pow(t / every, a) as w, every from s, x, z where t > 0),
+e as (select mix, source, t, round(case mix when 'all' then w / t / min(w / t) over (partition by mix)
+             else w / sum(w) over (partition by mix) * every * case mix when 'half' then 0.5 else 1.5 end / t end, 6) as epochs from w
+      union all select mix, source, t, 1.0 from s, x where t = 0),
+q as (select d.*, mix, epochs, (epochs - floor(epochs)) * e.t as budget,
+             md5('mix:' || floor(epochs)::bigint || ':' || coalesce(doc_id::varchar, 'null')) as place
+      from d join e on d.source is not distinct from e.source),
+p as (select *, sum(n) over (partition by mix, source order by place, doc_id rows unbounded preceding) as upto from q),
+c as (select *, (floor(epochs) + case when upto <= budget and n > 0 then 1 else 0 end)::bigint as copies from p)
+select doc_id, source, n as n_tokens, max(copies) filter (mix = 'all') as n_copies, max(place) filter (mix = 'all') as place,
+       max(copies) filter (mix = 'half') as n_copies_half, max(copies) filter (mix = 'more') as n_copies_more
+from c group by all""",
     "op11_centroid_tree": _lloyd_sql(16, 3, 64),
     "op13_fill_middle": """
 with h as (

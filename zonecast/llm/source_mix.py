@@ -8,15 +8,23 @@ just large enough that every source is taken whole at least once. Each round
 sums 31 exponents at once over the source table, five halvings in one pass;
 the driver gets those sums only.
 
-The weights are realised as budgeted block permutations: a document's place is
-a seeded digest of its id, the first hex digits of it are its block. Blocks are
-taken in that order until the fractional part of the source's epochs is spent:
-the running token count goes over block sums first and then inside each block,
-so no window holds a source; a hot source is dealt over its 4096 blocks.
+A budget of tokens, if given, replaces "just large enough": the epochs of a source
+are its weight's part of the budget over its tokens, so a budget below the corpus
+leaves documents out and one above it repeats them, no source more than ``repeat``
+times (a budget above ``repeat`` times the corpus counts as just that).
+
+The weights are realised as budgeted block permutations, one for each epoch: a
+document's place in an epoch is a digest of seed, epoch and id, its first hex
+digits are its block. Of the last, partial epoch, blocks are taken in that order
+until the fractional part of the epochs is spent: the running token count goes
+over block sums first and then inside each block, so no window holds a source; a
+hot source is dealt over its 4096 blocks. ``apply`` returns the rows in the order
+of the mix: every source runs through its epochs at an even pace, so that each
+stretch of the order has the target weights.
 
 Defined results: a null source is a source of its own; null text has no tokens,
 and a document without tokens is taken once for every whole epoch of its source;
-sources without tokens are taken once; repeated rows share one place and are
+sources without tokens are taken once, whatever the budget; repeated rows share one place and are
 taken alike (a row counts its own tokens); one source alone is taken once; an
 empty table gives an empty result; other columns are kept by ``apply``.
 """
@@ -40,12 +48,16 @@ def _key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
 
 
+def place(epoch: Column, of: Column) -> Column:
+    """Where a document stands in an epoch's permutation (hex digits)."""
+    return F.md5(F.concat(F.lit(f"{SEED}:"), epoch.cast("string"), F.lit(":"), F.coalesce(of.cast("string"), F.lit("null"))).cast("binary"))
+
+
 def sizes(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """(source key, id, tokens, place): one row for each source and id."""
+    """(source key, id, tokens): one row for each source and id."""
     tokens = F.coalesce(F.regexp_count(text_col, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     return (docs.select(_key(F.col(source_col)).alias("__source"), F.col(id_col).alias("__id"), tokens.alias("t"))
-            .groupBy("__source", "__id").agg(F.sum("t").alias("__tokens"))
-            .withColumn("__place", F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col("__id").cast("string"), F.lit("null"))).cast("binary"))))
+            .groupBy("__source", "__id").agg(F.sum("t").alias("__tokens")))
 
 
 def _exponent(totals: DataFrame, good) -> float:
@@ -74,18 +86,24 @@ def _exponent(totals: DataFrame, good) -> float:
     return high
 
 
-def epochs(rows: DataFrame, repeat: float = REPEAT, entropy: float | None = None) -> DataFrame:
+def epochs(rows: DataFrame, repeat: float = REPEAT, entropy: float | None = None, budget: float | None = None) -> DataFrame:
     """(source key, tokens, weight, epochs) of each source. ``entropy``, if
     given, is the share of the largest possible entropy that the weights are to
-    reach; the repetition limit holds in any case."""
+    reach; the repetition limit holds in any case. ``budget``: tokens to take."""
     total = rows.groupBy("__source").agg(F.sum("__tokens").alias("t"))
     total = materialize(total, "op9-sources")
     some = total.where("t > 0")
     every, count = some.agg(F.sum("t"), F.count("t")).first()
     some = some.withColumn("every", F.lit(float(every or 1)))
+    if budget is not None:
+        budget = min(max(float(budget), 0.0), repeat * float(every or 0))
 
-    def limited(lnz, mean, most, least, e):  # repeats of the least source when the largest is taken once
-        return (1 - e) * (most - least) <= math.log(repeat) + 1e-12
+    def limited(lnz, mean, most, least, e):
+        if budget is None:  # repeats of the least source when the largest is taken once
+            return (1 - e) * (most - least) <= math.log(repeat) + 1e-12
+        if not budget:
+            return True
+        return math.log(budget / every) + (e - 1) * least - lnz <= math.log(repeat) + 1e-12
 
     found = _exponent(some, limited)
     if entropy is not None and count and count > 1:
@@ -94,35 +112,45 @@ def epochs(rows: DataFrame, repeat: float = REPEAT, entropy: float | None = None
     share = F.col("t") / F.lit(float(every or 1))
     raw = total.withColumn("weight", F.when(F.col("t") > 0, F.pow(share, F.lit(found))).otherwise(0.0))
     norm, ratio = raw.agg(F.sum("weight"), F.min(F.when(F.col("t") > 0, F.col("weight") / F.col("t")))).first()
+    times = F.col("weight") / F.col("t") / F.lit(ratio or 1.0)
+    if budget is not None:
+        times = F.col("weight") / F.lit(norm or 1.0) * F.lit(budget) / F.col("t")
     return raw.select("__source", "t", (F.col("weight") / F.lit(norm or 1.0)).alias("weight"),
-                      F.when(F.col("t") > 0, F.round(F.col("weight") / F.col("t") / F.lit(ratio or 1.0), 6))
-                      .otherwise(1.0).alias("epochs"))
+                      F.when(F.col("t") > 0, F.round(times, 6)).otherwise(1.0).alias("epochs"))
 
 
-def plan(docs: DataFrame, repeat: float = REPEAT, entropy: float | None = None, id_col: str = "doc_id",
-         source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """(__source, __id, __tokens, __place, epochs, copies): how often each
-    document is taken."""
-    rows = materialize(sizes(docs, id_col, source_col, text_col), "op9-sizes")
-    rows = rows.withColumn("__block", F.substring("__place", 1, BLOCK_DIGITS))
-    of_block = rows.groupBy("__source", "__block").agg(F.sum("__tokens").alias("bt"))
+def taken(rows: DataFrame, repeat: float = REPEAT, entropy: float | None = None, budget: float | None = None) -> DataFrame:
+    """The rows of ``sizes`` (and what else they carry) with weight, epochs,
+    __place (in the last, partial epoch) and copies."""
+    own = rows.columns
+    mixed = rows.join(materialize(epochs(rows, repeat, entropy, budget), "op9-epochs"), "__source")
+    mixed = mixed.withColumn("__place", place(F.floor("epochs"), F.col("__id"))).withColumn("__block", F.substring("__place", 1, BLOCK_DIGITS))
+    of_block = mixed.groupBy("__source", "__block").agg(F.sum("__tokens").alias("bt"))
     w = Window.partitionBy("__source").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     before = of_block.select("__source", "__block", F.coalesce(F.sum("bt").over(w), F.lit(0)).alias("before"))
     # every block's rows meet in one window of a 4096th of a source; that is the permutation's unit
     inside = Window.partitionBy("__source", "__block").orderBy("__place", "__id").rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.withColumn("upto", F.sum("__tokens").over(inside)).join(before, ["__source", "__block"])
-    budget = (F.col("epochs") - F.floor("epochs")) * F.col("t")
-    more = (F.col("before") + F.col("upto") <= budget) & (F.col("__tokens") > 0)
-    return (placed.join(epochs(rows, repeat, entropy), "__source")
-            .select("__source", "__id", "__tokens", "__place", "weight", "epochs",
-                    (F.floor("epochs") + more.cast("int")).cast("long").alias("copies")))
+    placed = mixed.withColumn("upto", F.sum("__tokens").over(inside)).join(before, ["__source", "__block"])
+    rest = (F.col("epochs") - F.floor("epochs")) * F.col("t")
+    more = (F.col("before") + F.col("upto") <= rest) & (F.col("__tokens") > 0)
+    return placed.select(*own, "weight", "epochs", "__place", (F.floor("epochs") + more.cast("int")).cast("long").alias("copies"))
+
+
+def plan(docs: DataFrame, repeat: float = REPEAT, entropy: float | None = None, id_col: str = "doc_id",
+         source_col: str = "source", text_col: str = "text", budget: float | None = None) -> DataFrame:
+    """(__source, __id, __tokens, weight, epochs, __place, copies): how often
+    each document is taken."""
+    return taken(materialize(sizes(docs, id_col, source_col, text_col), "op9-sizes"), repeat, entropy, budget)
 
 
 def apply(docs: DataFrame, repeat: float = REPEAT, entropy: float | None = None, id_col: str = "doc_id",
-          source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """The documents, each as often as the mix takes it."""
-    picks = plan(docs, repeat, entropy, id_col, source_col, text_col).select("__source", "__id", F.col("copies").alias("__copies"))
+          source_col: str = "source", text_col: str = "text", budget: float | None = None) -> DataFrame:
+    """The documents, each as often as the mix takes it, in the order of the mix."""
+    picks = plan(docs, repeat, entropy, id_col, source_col, text_col, budget).select(
+        "__source", "__id", F.col("epochs").alias("__epochs"), F.col("copies").alias("__copies"))
     rows = docs.select(F.struct(*docs.columns).alias("__row"), _key(F.col(source_col)).alias("__key"), F.col(id_col).alias("__doc"))
     both = rows.join(picks, (F.col("__key") == F.col("__source")) & F.col("__doc").eqNullSafe(F.col("__id")))
-    return (both.where("__copies >= 1").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
-            .select("__row.*"))
+    each = both.where("__copies >= 1").withColumn("__epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1)))
+    within = F.conv(F.substring(place(F.col("__epoch"), F.col("__id")), 1, 13), 16, 10).cast("double") / float(16 ** 13)
+    return (each.withColumn("__at", (F.col("__epoch") + within) / F.col("__epochs"))
+            .orderBy("__at", "__id").select("__row.*"))
