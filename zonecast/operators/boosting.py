@@ -6,9 +6,11 @@ once in a fixed layout and kept as a persisted RDD: each of the hundreds of shor
 passes reads them again, and a DataFrame job would plan a query for each (the one
 place of this library that needs an RDD). A pass over the blocks serves all targets:
 it routes the rows through the trees under way and adds up (residual sum, rows) per
-leaf, feature and code; partial histograms are merged in a tree reduction, so the
-driver gets one set whose size follows leaves, features and codes, never rows. Only
-the smaller child of a split is counted, its sibling is the parent less it.
+leaf, feature and code. The partial histograms are added up in tasks, ``FAN`` sets at
+most in one, always in the order of the partitions, and stay in the cluster: the driver
+gets the rows, the residual sum and the best split of each leaf, whose size follows
+neither features nor codes. Only the smaller child of a split is counted, its sibling
+is the parent less it; the leaves' histograms are persisted from one level to the next.
 
 A tree grows level by level by the splits of greatest gain, to at most ``leaves``
 leaves and ``levels`` levels: one pass a level, and none for the last leaves, whose
@@ -23,6 +25,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,8 @@ from .profiles import ranked_values
 CODES = 255
 #: Rounds between two cuts of the blocks' lineage.
 CUT = 32
+#: Sets of partial histograms that one task adds up.
+FAN = 32
 #: Rows that a prediction holds at once.
 STEP = 4096
 NODE_FIELDS = ("feature", "cut", "left", "right", "value", "gain", "rows")
@@ -116,9 +121,10 @@ def _packed(rows: DataFrame, features: Sequence[str], targets: Sequence[str], va
 
 
 def _histograms(blocks, plans: dict[int, dict], total: int, errors: bool):
-    """One pass: for each target of ``plans`` the histograms (slot, code) of residual
-    sums and rows over its wanted leaves, and the validation errors."""
-    def work(part):
+    """(target, (partition, sums)) for each target of ``plans`` and partition of the blocks:
+    the histograms (slot, code) of residual sums and rows over the target's wanted leaves,
+    and the validation errors."""
+    def work(number, part):
         out = {}
         for _, codes, y, val, now in part:
             fit = ~val
@@ -135,24 +141,101 @@ def _histograms(blocks, plans: dict[int, dict], total: int, errors: bool):
                        (r[val] @ r[val], float(val.sum())) if errors else (0.0, 0.0)]
                 have = out.get(h)
                 out[h] = got if have is None else _added(have, got)
-        yield out
+        for h, sums in out.items():
+            yield h, (number, sums)
 
-    found = blocks.mapPartitions(work).treeReduce(
-        lambda a, b: {h: _added(a[h], b[h]) if h in a and h in b else a.get(h) or b.get(h) for h in {*a, *b}})
-    return {h: (g.reshape(-1, total), n.reshape(-1, total), e) for h, (g, n, e) in found.items()}
+    return blocks.mapPartitionsWithIndex(work)
 
 
 def _added(a, b):
     return [a[0] + b[0], a[1] + b[1], (a[2][0] + b[2][0], a[2][1] + b[2][1])]
 
 
+def _add_up(sets):
+    """(key, (first number, sum)) of the (key, (number, sums)) at hand, added in the order
+    of their numbers: the same sums on every run."""
+    found: dict = {}
+    for key, numbered in sets:
+        found.setdefault(key, []).append(numbered)
+    for key, own in found.items():
+        own.sort(key=lambda s: s[0])
+        yield key, (own[0][0], reduce(_added, [s for _, s in own]))
+
+
+def _fewer(sums, fan: int, targets: int, groups: int):
+    """Each ``fan`` neighbouring sets of a target as one; ``groups`` remain of it."""
+    near = sums.map(lambda s: ((s[0], s[1][0] // fan), s[1])).partitionBy(targets * groups, lambda k: k[0] * groups + k[1])
+    return near.mapPartitions(_add_up).map(lambda s: (s[0][0], (s[0][1], s[1][1])))
+
+
+def _grown(sums, held, made: dict[int, list], targets: int, total: int):
+    """(target, (-1, (leaf -> histograms, errors))): the leaves that ``made`` lists as
+    (parent, smaller child, larger child), from the sums over the smaller ones and the
+    parents in ``held``; a root has no parent and no sibling. A target's sets meet in one
+    partition, where its parents are already."""
+    sets = sums.getNumPartitions()
+    if sets == 1:
+        both = sums if held is None else held.union(sums).coalesce(1)
+    else:
+        while sets > FAN:
+            sets = -(-sets // FAN)
+            sums = _fewer(sums, FAN, targets, sets)
+        both = sums.partitionBy(targets)
+        if held is not None:
+            both = held.union(both).partitionBy(targets)     # placed alike, so nothing moves
+
+    def work(part):
+        parents, new = {}, []
+        for h, (number, what) in part:
+            if number < 0:
+                parents[h] = what[0]
+            else:
+                new.append((h, (number, what)))
+        for h, (_, (g, n, errors)) in _add_up(new):
+            g, n, leaves = g.reshape(-1, total), n.reshape(-1, total), {}
+            for i, (parent, small, large) in enumerate(made[h]):
+                leaves[small] = (g[i], n[i])
+                if parent is not None:
+                    leaves[large] = (parents[h][parent][0] - g[i], parents[h][parent][1] - n[i])
+            yield h, (-1, (leaves, errors))
+
+    return both.mapPartitions(work, preservesPartitioning=True).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _best_split(g: np.ndarray, n: np.ndarray, start: np.ndarray, min_rows: int):
+    """(residual sum, rows, best split) of a leaf's histogram; the split is (gain, feature,
+    code, residual sum and rows of the left side), or None."""
+    total, rows = g[:start[1]].sum(), n[:start[1]].sum()
+    # sums up to each code of its feature: running sums less what came before the feature
+    gl, nl = (np.cumsum(a) - np.repeat(np.concatenate([[0], np.cumsum(a)])[start[:-1]], np.diff(start)) for a in (g, n))
+    able = np.flatnonzero((nl >= min_rows) & (rows - nl >= min_rows))
+    best = None
+    if len(able):
+        gl, nl = gl[able], nl[able]
+        gain = gl * gl / nl + (total - gl) ** 2 / (rows - nl) - total * total / rows
+        i = int(gain.argmax())
+        if gain[i] > 1e-9:
+            feature = int(np.searchsorted(start, able[i], side="right")) - 1
+            best = (float(gain[i]), feature, int(able[i]), float(gl[i]), int(nl[i]))
+    return float(total), int(rows), best
+
+
+def _splits(held, start: np.ndarray, min_rows: int) -> dict[int, tuple[dict, tuple]]:
+    """What the driver gets of a pass: target -> (leaf -> its best split, errors)."""
+    def best(what):
+        leaves, errors = what[1]
+        return {i: _best_split(g, n, start, min_rows) for i, (g, n) in leaves.items()}, errors
+
+    return dict(held.mapValues(best).collect())
+
+
 class _Tree:
-    """A tree under way: its nodes, and the histograms of leaves that may be split."""
+    """A tree under way: its nodes, and the best splits of leaves that may be split."""
 
-    def __init__(self, cuts, rate: float, min_rows: int):
-        self.cuts, self.start, self.rate, self.min_rows = cuts, starts(cuts), rate, min_rows
+    def __init__(self, cuts, rate: float):
+        self.cuts, self.start, self.rate = cuts, starts(cuts), rate
         self.nodes = {f: [] for f in (*NODE_FIELDS, "code")}
-        self.hist, self.best = {}, {}
+        self.best = {}
         self.add(0.0, 0)
 
     def add(self, total: float, rows: int) -> int:
@@ -160,22 +243,12 @@ class _Tree:
             self.nodes[f].append(v)
         return len(self.nodes["feature"]) - 1
 
-    def learn(self, node: int, g: np.ndarray, n: np.ndarray) -> None:
-        """Keeps a leaf's histogram and its best split."""
-        self.hist[node] = (g, n)
-        total, rows = g[:self.start[1]].sum(), n[:self.start[1]].sum()
-        self.nodes["rows"][node], self.nodes["value"][node] = int(rows), self.rate * total / max(rows, 1)
-        # sums up to each code of its feature: running sums less what came before the feature
-        gl, nl = (np.cumsum(a) - np.repeat(np.concatenate([[0], np.cumsum(a)])[self.start[:-1]], np.diff(self.start)) for a in (g, n))
-        able = np.flatnonzero((nl >= self.min_rows) & (rows - nl >= self.min_rows))
-        if not len(able):
-            return
-        gl, nl = gl[able], nl[able]
-        gain = gl * gl / nl + (total - gl) ** 2 / (rows - nl) - total * total / rows
-        i = int(gain.argmax())
-        if gain[i] > 1e-9:
-            feature = int(np.searchsorted(self.start, able[i], side="right")) - 1
-            self.best[node] = (float(gain[i]), feature, int(able[i]), float(gl[i]), int(nl[i]), float(total), int(rows))
+    def learn(self, found: dict[int, tuple]) -> None:
+        """Keeps the leaves' sums and best splits (``_best_split``)."""
+        for node, (total, rows, best) in found.items():
+            self.nodes["rows"][node], self.nodes["value"][node] = rows, self.rate * total / max(rows, 1)
+            if best:
+                self.best[node] = (*best, total, rows)
 
     def split(self, count: int) -> list[tuple[int, int, int]]:
         """Splits the ``count`` best leaves: (parent, smaller child, larger child)."""
@@ -220,22 +293,26 @@ def fit(rows: DataFrame, features: Sequence[str], targets: Sequence[tuple[str, s
     state = loaded.map(lambda b: (*b, np.tile(base, (len(b[1]), 1)))).persist(StorageLevel.MEMORY_AND_DISK)
     grown: dict[int, list] = {h: [] for h in range(len(targets))}
     best: dict[int, tuple[float, int]] = {}
-    going, older, total = list(grown), None, int(starts(cuts)[-1])
+    going, older, start = list(grown), None, starts(cuts)
+    total = int(start[-1])
     for turn in range(rounds + 1):
-        trees = {h: _Tree(cuts, rate, min_rows) for h in going}
-        found = _histograms(state, {h: t.plan([0]) for h, t in trees.items()}, total, True)
+        trees = {h: _Tree(cuts, rate) for h in going}
+        made = {h: [(None, 0, None)] for h in going}
+        held = _grown(_histograms(state, {h: t.plan([0]) for h, t in trees.items()}, total, True), None, made, len(targets), total)
+        found = _splits(held, start, min_rows)
         if older is not None:
             older.unpersist()                                # the pass has filled the blocks that follow it
         for h in list(going):
-            error, judged = found[h][2]
+            error, judged = found[h][1]
             if judged and (h not in best or error < best[h][0]):
                 best[h] = (error, turn)
             if judged and turn - best[h][1] >= patience:
                 going.remove(h)
         if turn == rounds or not going:
+            held.unpersist()
             break
         for h in going:
-            trees[h].learn(0, found[h][0][0], found[h][1][0])
+            trees[h].learn(found[h][0])
         budget = dict.fromkeys(going, leaves - 1)
         for level in range(levels):
             made = {h: trees[h].split(budget[h]) for h in going}
@@ -244,12 +321,13 @@ def fit(rows: DataFrame, features: Sequence[str], targets: Sequence[tuple[str, s
             made = {h: m for h, m in made.items() if m and budget[h]}
             if not made or level == levels - 1:
                 break
-            found = _histograms(state, {h: trees[h].plan([c for _, c, _ in m]) for h, m in made.items()}, total, False)
-            for h, m in made.items():
-                for i, (parent, small, large) in enumerate(m):
-                    g, k = trees[h].hist.pop(parent)
-                    trees[h].learn(small, found[h][0][i], found[h][1][i])
-                    trees[h].learn(large, g - found[h][0][i], k - found[h][1][i])
+            sums = _histograms(state, {h: trees[h].plan([c for _, c, _ in m]) for h, m in made.items()}, total, False)
+            parents, held = held, _grown(sums, held, made, len(targets), total)
+            found = _splits(held, start, min_rows)
+            parents.unpersist()
+            for h in made:
+                trees[h].learn(found[h][0])
+        held.unpersist()
         for h in going:
             grown[h].append(trees[h].done())
         older, state = state, _updated(state, {h: trees[h].plan([]) | {"value": grown[h][-1]["value"]} for h in going}, (turn + 1) % CUT == 0)
